@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference is batch only: it has no streaming source, watermark, event-time window, state or
+late-data handling, so kestrel defines no streaming operator.  The batch operators are plain
+DataFrame -> DataFrame functions; the stateless ones (parsers, projections, filters) apply
+unchanged to a DataFrame from ``spark.readStream``.
+"""
