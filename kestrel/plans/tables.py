@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.session import spread
+
 # Fixed parameters of the driver queries.  The documents carry none of the reference's language
 # names, so the mention queries use common words; "C++" and "Scala" match nothing and exercise
 # the zero fill.  Order priorities play the language list of the clustering (5 strata x 3 = 15).
@@ -21,7 +23,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Key used to spread a table whose scan has fewer splits than task slots.
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table (see ``kestrel.session.spread`` for small single-split files)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, SPREAD_KEYS.get(name))

@@ -80,3 +80,22 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
         warnings.warn(f"{exc}; falling back to persist()", RuntimeWarning)
         return df.persist()
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None, slots: int | None = None) -> DataFrame:
+    """Spread an input that has fewer partitions than task slots over all slots.
+
+    A scan yields one partition per file split; a small file stored as one row group is one
+    task, which leaves every per-row expression (tokenising, parsing) on a single core.  Such an
+    input is hash-repartitioned on ``key`` (round-robin without one).  An input with at least
+    ``slots`` partitions, which is every large input, is returned unchanged, so no shuffle is
+    added at scale.
+    """
+    try:
+        want = slots or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no partition count without running a job
+        return df
+    if have >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

@@ -6,7 +6,7 @@ type 2 an answer.  Ids are parsed as BIGINT so that ids beyond 2^31 still fit at
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,19 +23,13 @@ POSTING_SCHEMA = T.StructType([
 
 MODES = ("strict", "lenient")
 
-
-def _number(raw: Column, dtype: str, name: str, optional: bool, strict: bool) -> Column:
-    """Parse one numeric field.  Optional fields map '' (and a missing field) to NULL."""
-    text = nullif_empty(raw) if optional else raw
-    value = text.try_cast(dtype)
-    if not strict:
-        return value
-    if optional:
-        bad = text.isNotNull() & value.isNull()
-    else:
-        bad = value.isNull()
-    msg = F.concat(F.lit(f"bad posting field {name}: '"), F.coalesce(raw, F.lit("<missing>")), F.lit("'"))
-    return check(value, bad, msg)
+FIELDS = (  # (name, SQL type, optional)
+    ("posting_type", "int", False),
+    ("id", "bigint", False),
+    ("accepted_answer", "bigint", True),
+    ("parent_id", "bigint", True),
+    ("score", "int", False),
+)
 
 
 def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict") -> DataFrame:
@@ -44,19 +38,29 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
     Plain comma split, no quoting.  Empty accepted/parent fields are NULL; tags is NULL when
     the sixth field is absent or empty.  ``mode="strict"`` fails on a bad or missing number,
     ``mode="lenient"`` yields NULL instead.
+
+    Staged projections: the line is split once, each field is cast once, and the strict checks
+    only read the cast results, so no parse work is repeated per row.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    strict = mode == "strict"
-    fields = F.split(col(column), ",")
-    return lines.select(
-        _number(F.get(fields, 0), "int", "posting_type", False, strict).alias("posting_type"),
-        _number(F.get(fields, 1), "bigint", "id", False, strict).alias("id"),
-        _number(F.get(fields, 2), "bigint", "accepted_answer", True, strict).alias("accepted_answer"),
-        _number(F.get(fields, 3), "bigint", "parent_id", True, strict).alias("parent_id"),
-        _number(F.get(fields, 4), "int", "score", False, strict).alias("score"),
-        nullif_empty(F.get(fields, 5)).alias("tags"),
-    )
+    split = lines.select(F.split(col(column), ",").alias("_f"))
+    raw = [(nullif_empty(F.get("_f", i)) if optional else F.get("_f", i)).alias(f"_r{i}")
+           for i, (_, _, optional) in enumerate(FIELDS)]
+    tags = nullif_empty(F.get("_f", len(FIELDS))).alias("tags")
+    texts = split.select(*raw, tags)
+    typed = texts.select(*[F.col(f"_r{i}") for i in range(len(FIELDS))],
+                         *[F.col(f"_r{i}").try_cast(dtype).alias(name) for i, (name, dtype, _) in enumerate(FIELDS)],
+                         "tags")
+    if mode == "lenient":
+        return typed.select(*[name for name, _, _ in FIELDS], "tags")
+    out = []
+    for i, (name, _, optional) in enumerate(FIELDS):
+        raw_i, value = F.col(f"_r{i}"), F.col(name)
+        bad = (raw_i.isNotNull() & value.isNull()) if optional else value.isNull()
+        msg = F.concat(F.lit(f"bad posting field {name}: '"), F.coalesce(raw_i, F.lit("<missing>")), F.lit("'"))
+        out.append(check(value, bad, msg).alias(name))
+    return typed.select(*out, "tags")
 
 
 def read_postings(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:

@@ -1,0 +1,93 @@
+import pytest
+
+from conftest import SF01, rows
+from kestrel.operators import kmeans
+from kestrel.plans import catalog
+from kestrel.plans.tables import K, MAX_ITERATIONS
+
+LANGS = ["JavaScript", "Java", "PHP"]
+
+
+def points(spark, data):
+    return spark.createDataFrame(data, "x int, y int")
+
+
+def test_assign_ties_go_to_lowest_index(spark):
+    p = points(spark, [(0, 1), (50000, 9)])
+    got = rows(kmeans.assign(p, [(0, 0), (0, 0), (50000, 7)]), "x", "cluster")
+    assert sorted(got) == [(0, 0), (50000, 2)]
+
+
+def test_step_keeps_empty_clusters(spark):
+    p = points(spark, [(0, 1), (50000, 9)])
+    got = sorted(rows(kmeans.step(p, [(0, 0), (0, 0), (50000, 7)])))
+    assert got == [(0, 0, 1), (1, 0, 0), (2, 50000, 9)]
+    assert rows(kmeans.movement_frame(p, [(0, 0), (0, 0), (50000, 7)])) == [(5.0,)]
+
+
+def test_fit_stops_below_eta_and_returns_new_centres(spark):
+    p = points(spark, [(0, 1), (50000, 9)])
+    result = kmeans.fit(p, [(0, 0), (0, 0), (50000, 7)], eta=20.0)
+    assert result.iterations == 1 and result.movements == [5.0]
+    assert result.centres == [(0, 1), (0, 0), (50000, 9)]
+
+
+def test_integer_mean_truncates(spark):
+    p = points(spark, [(0, 1), (0, 2)])
+    assert rows(kmeans.centroids(p, [(0, 0)])) == [(0, 0, 1)]
+    neg = points(spark, [(0, -1), (0, -2)])
+    assert rows(kmeans.centroids(neg, [(0, 0)])) == [(0, 0, -1)]  # toward zero, not floor
+
+
+def test_weighted_points_fit_equals_raw(spark):
+    raw = points(spark, [(0, 1), (0, 1), (0, 1), (0, 40), (50000, 3), (50000, 100), (100000, 7), (100000, 7)])
+    centres = [(0, 1), (50000, 3), (100000, 7), (0, 40)]
+    a = kmeans.fit(raw, centres, eta=0.5, max_iterations=10)
+    b = kmeans.fit(kmeans.weighted_points(raw), centres, eta=0.5, max_iterations=10)
+    assert a.centres == b.centres and a.movements == b.movements
+    sa = rows(kmeans.cluster_summary(raw, a.centres, LANGS))
+    sb = rows(kmeans.cluster_summary(kmeans.weighted_points(raw), b.centres, LANGS))
+    assert sa == sb
+
+
+def test_max_iterations_cap(spark):
+    p = points(spark, [(0, 0), (0, 100), (0, 200), (0, 300)])
+    result = kmeans.fit(p, [(0, 0), (0, 1)], eta=0.0, max_iterations=3)
+    assert result.iterations <= 3
+
+
+def test_summary_median_label_share(spark):
+    # cluster 0: Java (x=50000) x3 + JavaScript (x=0) x1 -> Java 75 %; y = 1,4,8,9 -> median 6
+    p = points(spark, [(50000, 1), (50000, 4), (50000, 8), (0, 9),
+                       # cluster 1: tie JavaScript / PHP -> lower index (JavaScript), 50 %; median truncated
+                       (0, 100001), (100000, 100002)])
+    centres = [(40000, 5), (50000, 100000)]
+    got = rows(kmeans.cluster_summary(p, centres, LANGS))
+    assert got == [("Java", 75.0, 4, 6), ("JavaScript", 50.0, 2, 100001)]
+
+
+def test_weighted_median(spark):
+    p = spark.createDataFrame([(0, 1, 3), (0, 7, 1), (0, 8, 1), (0, 9, 1)], "x int, y int, n long")
+    assert rows(kmeans.cluster_summary(p, [(0, 0)], LANGS), "median") == [(4,)]
+    p5 = spark.createDataFrame([(0, 5, 1)], "x int, y int, n long")
+    assert rows(kmeans.cluster_summary(p5, [(0, 0)], LANGS), "median") == [(5,)]
+
+
+def test_report_line(spark):
+    s = spark.createDataFrame([("Java", 97.5, 120, 4)], "label string, percent double, size long, median int")
+    assert rows(kmeans.cluster_report(s)) == [("      4  Java              (97.5 %)     120",)]
+
+
+def test_driver_fit_properties(spark):
+    result = catalog._fit(spark, SF01, keep_trace=True)[1]
+    assert 1 <= result.iterations <= MAX_ITERATIONS
+    assert len(result.centres) == K
+    assert len(result.trace) == K * result.iterations
+    summary = catalog.cluster_summary(spark, SF01)
+    total = sum(r.size for r in summary.collect())
+    assert total == catalog.qa_vectors(spark, SF01).count()
+
+
+def test_centres_required():
+    with pytest.raises(ValueError):
+        kmeans.centres_literal([])

@@ -1,0 +1,60 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import SF01, plan_text
+from kestrel.operators import sampling
+from kestrel.plans import catalog
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    # 4 strata of 50 rows, skewed: stratum 0 holds a third more
+    return spark.range(0, 260).select(
+        F.col("id"), (F.when(F.col("id") < 110, 0).otherwise(F.col("id") % 3 + 1) * 50000).cast("int").alias("x"),
+        (F.col("id") % 7).cast("int").alias("y"))
+
+
+def as_set(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_exactly_n_per_stratum(vectors):
+    s = sampling.stratified_sample(vectors, 3, n_strata=4)
+    got = s.groupBy("x").count().collect()
+    assert sorted((r.x, r["count"]) for r in got) == [(0, 3), (50000, 3), (100000, 3), (150000, 3)]
+
+
+def test_deterministic_under_repartition(vectors):
+    base = as_set(sampling.stratified_sample(vectors, 3, n_strata=4))
+    assert as_set(sampling.stratified_sample(vectors.repartition(1), 3, n_strata=4)) == base
+    assert as_set(sampling.stratified_sample(vectors.repartition(17), 3, n_strata=4)) == base
+    u = as_set(sampling.uniform_sample(vectors, 12))
+    assert as_set(sampling.uniform_sample(vectors.repartition(17), 12)) == u and len(u) == 12
+
+
+def test_seed_changes_sample(vectors):
+    a = as_set(sampling.stratified_sample(vectors, 3, n_strata=4, seed="1:"))
+    b = as_set(sampling.stratified_sample(vectors, 3, n_strata=4, seed="2:"))
+    assert a != b
+
+
+def test_short_stratum_fails(vectors):
+    with pytest.raises(PySparkException, match="fewer than|must hold"):
+        sampling.stratified_sample(vectors, 60, n_strata=4).collect()
+
+
+def test_missing_stratum_fails(vectors):
+    with pytest.raises(PySparkException, match="must hold"):
+        sampling.stratified_sample(vectors, 3, n_strata=5).collect()
+
+
+def test_uniform_too_few_rows_fails(vectors):
+    with pytest.raises(PySparkException, match="must hold"):
+        sampling.uniform_sample(vectors.limit(5), 12).collect()
+
+
+def test_window_group_limit_prunes_before_shuffle(spark):
+    df = catalog.stratified_sample(spark, SF01)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
