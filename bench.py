@@ -38,7 +38,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="kestrel-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # optional stage/task timings, written to a scratch folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="kestrel-bench", extra=extra)
     # warm the JVM (class loading, codegen caches) on a query outside the timed set
     QUERIES["mention_count"](spark, sf_dir).collect()
     timings = {}

@@ -64,6 +64,20 @@ def round_half_up(c: str | Column, scale: int = 1) -> Column:
     return F.floor(col(c) * factor + F.lit(0.5)) / F.lit(factor)
 
 
+def require(value: Column, message: Column | str, when_missing: Column | None = None) -> Column:
+    """``value``, failing the task with ``message`` where it is NULL (and ``when_missing`` holds).
+
+    Written as ``coalesce(value, raise_error(..))``: ``value`` appears once and the error
+    branch is only evaluated for NULLs, so the check stays cheap even when the optimizer copies
+    it into a pushed-down filter.
+    """
+    msg = F.lit(message) if isinstance(message, str) else message
+    err = F.raise_error(msg)
+    if when_missing is not None:
+        err = F.when(when_missing, err)
+    return F.coalesce(value, err)
+
+
 def check(value: Column, bad: Column, message: Column | str) -> Column:
     """Return ``value``, failing the task with ``message`` on rows where ``bad`` is true.
 

@@ -2,10 +2,11 @@
 
 Input is a postings DataFrame with ``POSTING_SCHEMA`` columns (type 1 question, 2 answer).
 
-Scale notes: answers are aggregated per question id *before* the join (partial aggregation, so a
-question with a third of all answers becomes one row per map task), and both join sides are then
-hash-partitioned on the same key, so the join adds no exchange of its own.  The raw pair join
-(``qa_pairs``) relies on AQE skew-join splitting for hot question ids.
+Scale notes: grouping and scoring need no join at all: one aggregation keyed by question id
+covers questions and answers together (one scan, one shuffle, partial aggregation, so a question
+holding a third of all answers becomes one row per map task).  Only the raw pair list
+(``qa_pairs``), whose output is one row per pair, joins; it relies on AQE skew-join splitting for
+hot question ids.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import check, position_in
+from kestrel.functions import position_in, require
 
 QUESTION, ANSWER = 1, 2
 
@@ -34,8 +35,7 @@ def answers(postings: DataFrame, strict: bool = False) -> DataFrame:
     a = postings.where(F.col("posting_type") == ANSWER)
     parent = F.col("parent_id")
     if strict:
-        parent = check(parent, parent.isNull(),
-                       F.concat(F.lit("answer without parent: "), F.col("id").cast("string")))
+        parent = require(parent, F.concat(F.lit("answer without parent: "), F.col("id").cast("string")))
     return a.select(F.col("id").alias("answer_id"), parent.alias("parent_id"), "score")
 
 
@@ -46,18 +46,30 @@ def qa_pairs(postings: DataFrame, strict: bool = False) -> DataFrame:
     return q.join(a, "id", "inner").select("id", "tags", "answer_id", "score")
 
 
-def _answer_stats(postings: DataFrame, strict: bool) -> DataFrame:
-    """Per question id: answer count and highest answer score floored at 0."""
-    return (answers(postings, strict)
-            .groupBy(F.col("parent_id").alias("id"))
-            .agg(F.count(F.lit(1)).alias("a_n"),
-                 F.greatest(F.lit(0), F.max("score")).alias("high_score")))
+def question_stats(postings: DataFrame, strict: bool = False) -> DataFrame:
+    """Per answered question, in one pass over all postings.
 
-
-def _question_keys(postings: DataFrame) -> DataFrame:
-    """One row per question id.  Repeated ids keep the smallest non-null tag (stated order)."""
-    return (questions(postings).groupBy("id")
-            .agg(F.count(F.lit(1)).alias("q_n"), F.min("tags").alias("tags")))
+    Every posting is keyed by the question it belongs to (its own id for a question, its
+    parent for an answer) and aggregated once: (id, q_n, tags, a_n, max_score).  Only ids with
+    at least one question row and one answer survive, which is exactly the set the inner
+    question/answer join produces.  No join is needed, the input is scanned once, and partial
+    aggregation collapses the answers of a hot question on the map side.  Repeated question
+    ids keep the smallest non-null tag (stated order).
+    """
+    pt = F.col("posting_type")
+    parent = F.col("parent_id")
+    if strict:
+        parent = require(parent, F.concat(F.lit("answer without parent: "), F.col("id").cast("string")),
+                         pt == ANSWER)
+    key = F.when(pt == QUESTION, F.col("id")).when(pt == ANSWER, parent)
+    stats = postings.groupBy(key.alias("id")).agg(
+        # rows without a key (other types, parentless answers) form the NULL group; it has no
+        # question with an id, so the HAVING test below drops it without a pushed-down filter
+        F.count_if((pt == QUESTION) & F.col("id").isNotNull()).alias("q_n"),
+        F.min(F.when(pt == QUESTION, F.col("tags"))).alias("tags"),
+        F.count_if(pt == ANSWER).alias("a_n"),
+        F.max(F.when(pt == ANSWER, F.col("score"))).alias("max_score"))
+    return stats.where((F.col("q_n") > 0) & (F.col("a_n") > 0))
 
 
 def qa_grouped(postings: DataFrame, strict: bool = False) -> DataFrame:
@@ -66,16 +78,14 @@ def qa_grouped(postings: DataFrame, strict: bool = False) -> DataFrame:
     ``n_answers`` is the number of (question, answer) pairs, as the pair grouping counts them.
     The group is reported as its size, not as an array of whole pairs.
     """
-    q = _question_keys(postings)
-    a = _answer_stats(postings, strict)
-    return q.join(a, "id", "inner").select("id", (F.col("q_n") * F.col("a_n")).alias("n_answers"))
+    return question_stats(postings, strict).select(
+        "id", (F.col("q_n") * F.col("a_n")).alias("n_answers"))
 
 
 def qa_high_score(postings: DataFrame, strict: bool = False) -> DataFrame:
-    """Highest answer score per answered question, floor 0 (A7): (id, tags, high_score)."""
-    q = _question_keys(postings)
-    a = _answer_stats(postings, strict)
-    return q.join(a, "id", "inner").select("id", "tags", "high_score")
+    """Highest answer score per answered question, floored at 0 (A7): (id, tags, high_score)."""
+    return question_stats(postings, strict).select(
+        "id", "tags", F.greatest(F.lit(0), F.col("max_score")).alias("high_score"))
 
 
 def tag_index(df: DataFrame, langs: Sequence[str], tag_col: str = "tags") -> DataFrame:
@@ -95,8 +105,7 @@ def qa_vectors(scored: DataFrame, langs: Sequence[str], spread: int = 50000,
     idx = position_in(list(langs), "tags")
     out = scored
     if strict:
-        idx = check(idx, idx.isNull(), F.concat(F.lit("question without a known language: "),
-                                                F.col("id").cast("string")))
+        idx = require(idx, F.concat(F.lit("question without a known language: "), F.col("id").cast("string")))
     else:
         out = out.where(idx.isNotNull())
     return out.select("id", (idx * F.lit(spread)).cast("int").alias("x"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions import check, col, nullif_empty
+from kestrel.functions import col, nullif_empty, require
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("posting_type", T.IntegerType()),
@@ -57,9 +57,9 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
     out = []
     for i, (name, _, optional) in enumerate(FIELDS):
         raw_i, value = F.col(f"_r{i}"), F.col(name)
-        bad = (raw_i.isNotNull() & value.isNull()) if optional else value.isNull()
         msg = F.concat(F.lit(f"bad posting field {name}: '"), F.coalesce(raw_i, F.lit("<missing>")), F.lit("'"))
-        out.append(check(value, bad, msg).alias(name))
+        # an optional field may be empty (NULL text); a required one must parse
+        out.append(require(value, msg, raw_i.isNotNull() if optional else None).alias(name))
     return typed.select(*out, "tags")
 
 

@@ -68,8 +68,17 @@ def test_tag_index(spark):
     assert got == {10: 1, 20: 2, 30: None}
 
 
-def test_high_score_plan_aggregates_before_join(spark):
+def test_high_score_is_one_aggregate_without_join(spark):
     df = qa.qa_high_score(postings(spark))
     opt = df._jdf.queryExecution().optimizedPlan().toString()
-    join_at = opt.index("Join")
-    assert "Aggregate" in opt[join_at:]  # aggregates sit below the join
+    assert "Join" not in opt and opt.count("Aggregate") == 1
+
+
+def test_strict_parent_check_in_scoring(spark):
+    with pytest.raises(PySparkException, match="answer without parent"):
+        qa.qa_high_score(postings(spark, ["2,61,,,4,"]), strict=True).collect()
+
+
+def test_type_three_and_orphans_ignored(spark):
+    extra = ["3,10,,,100,", "2,98,,1234,50,"]
+    assert sorted(rows(qa.qa_high_score(postings(spark, extra)))) == [(10, "Java", 7), (20, "PHP", 0)]
