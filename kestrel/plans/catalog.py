@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import kmeans, mentions, qa, sampling, survey
-from kestrel.plans.tables import (COUNT_TERM, ETA, K, MAX_ITERATIONS, PER_STRATUM, PRIORITIES, SEED,
-                                  SPREAD, TERMS, table)
+from kestrel.plans import flows
+from kestrel.plans.tables import COUNT_TERM, K, PARAMS, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS, table
 from kestrel.session import reliable_checkpoint
 from kestrel.sources import derived
 from kestrel.sources.postings import parse_postings
@@ -102,19 +102,10 @@ def uniform_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- k-means ----------------------------------------------------------------------------------
 
-def initial_centres(vectors: DataFrame) -> list[kmeans.Centre]:
-    """Stratified sample, ordered by (x, id): at most k rows reach the driver."""
-    picked = sampling.stratified_sample(vectors, PER_STRATUM, len(PRIORITIES), seed=SEED)
-    rows = picked.orderBy("x", "id").select("x", "y").collect()
-    if len(rows) != K:
-        raise RuntimeError(f"expected {K} initial centres, got {len(rows)}")
-    return [(r["x"], r["y"]) for r in rows]
-
-
 def _model_inputs(spark: SparkSession, sf_dir: str):
     """Vectors and weighted points in reliable checkpoints, plus the initial centres."""
     vectors = reliable_checkpoint(qa_vectors(spark, sf_dir))
-    centres = initial_centres(vectors)
+    centres = flows.initial_centres(vectors, len(PRIORITIES), K, SEED)
     points = reliable_checkpoint(kmeans.weighted_points(vectors))
     return vectors, points, centres
 
@@ -134,28 +125,24 @@ def kmeans_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans.movement_frame(points, centres)
 
 
-def _fit(spark: SparkSession, sf_dir: str, keep_trace: bool = False):
-    _, points, centres = _model_inputs(spark, sf_dir)
-    return points, kmeans.fit(points, centres, ETA, MAX_ITERATIONS, keep_trace=keep_trace)
+def _model(spark: SparkSession, sf_dir: str, keep_trace: bool = False) -> flows.ClusterModel:
+    return flows.cluster_model(posting_parse(spark, sf_dir), PRIORITIES, PARAMS, SEED, keep_trace=keep_trace)
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _fit(spark, sf_dir)
-    return kmeans.centres_frame(spark, result.centres)
+    return kmeans.centres_frame(spark, _model(spark, sf_dir).fit.centres)
 
 
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _fit(spark, sf_dir, keep_trace=True)
-    return kmeans.trace_frame(spark, result)
+    return kmeans.trace_frame(spark, _model(spark, sf_dir, keep_trace=True).fit)
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points, result = _fit(spark, sf_dir)
-    return kmeans.cluster_summary(points, result.centres, PRIORITIES, SPREAD)
+    return _model(spark, sf_dir).summary
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kmeans.cluster_report(cluster_summary(spark, sf_dir))
+    return _model(spark, sf_dir).report
 
 
 # --- time use ---------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.operators.kmeans import KMeansParams
 from kestrel.session import spread
 
 # Fixed parameters of the driver queries.  The documents carry none of the reference's language
@@ -18,6 +19,7 @@ SPREAD = 50000
 ETA = 20.0
 MAX_ITERATIONS = 120
 SEED = "42:"
+PARAMS = KMeansParams(spread=SPREAD, k=K, eta=ETA, max_iterations=MAX_ITERATIONS)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")

@@ -79,7 +79,7 @@ def test_report_line(spark):
 
 
 def test_driver_fit_properties(spark):
-    result = catalog._fit(spark, SF01, keep_trace=True)[1]
+    result = catalog._model(spark, SF01, keep_trace=True).fit
     assert 1 <= result.iterations <= MAX_ITERATIONS
     assert len(result.centres) == K
     assert len(result.trace) == K * result.iterations
