@@ -218,3 +218,12 @@ REPORT_HEADER = ["Resulting clusters:",
 def cluster_report(summary: DataFrame) -> DataFrame:
     """Formatted report lines (S11): median, label, percent, size per cluster."""
     return summary.select(F.format_string(REPORT_FORMAT, "median", "label", "percent", "size").alias("line"))
+
+
+def report_text(summary: DataFrame) -> str:
+    """The printed report: header lines, then one line per cluster in summary order.
+
+    Collects the summary, which has at most k rows.
+    """
+    lines = [r["line"] for r in cluster_report(summary).collect()]
+    return "\n".join(REPORT_HEADER + lines)

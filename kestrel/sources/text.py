@@ -14,7 +14,7 @@ PAGE_DELIMITER = "</title><text>"
 TITLE_OFFSET = 14
 TEXT_TAIL = 16
 
-MODES = ("strict", "drop")
+MODES = ("strict", "drop", "flag")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +26,8 @@ def parse_page_records(lines: DataFrame, column: str = "value", mode: str = "str
     """Split each line into ``title`` and ``text`` at the first delimiter.
 
     Keeps every other input column and drops ``column``.  ``mode="strict"`` fails on a line
-    without a well-formed frame (as the reference does); ``mode="drop"`` skips such lines.
+    without a well-formed frame (as the reference does); ``mode="drop"`` skips such lines;
+    ``mode="flag"`` keeps them with NULL title and text and adds a boolean ``malformed``.
     Offsets count characters (code points).
     """
     if mode not in MODES:
@@ -40,11 +41,14 @@ def parse_page_records(lines: DataFrame, column: str = "value", mode: str = "str
     title = v.substr(F.lit(TITLE_OFFSET + 1), title_len)
     text = v.substr(text_start, text_len)
     out = lines
+    others = [c for c in lines.columns if c != column]
     if mode == "drop":
         out = out.where(~bad)
+    elif mode == "flag":
+        return out.select(*others, F.when(~bad, title).alias("title"), F.when(~bad, text).alias("text"),
+                          bad.alias("malformed"))
     else:
         title = check(title, bad, F.concat(F.lit("malformed page record: "), F.substring(v, 1, 80)))
-    others = [c for c in lines.columns if c != column]
     return out.select(*others, title.alias("title"), text.alias("text"))
 
 

@@ -76,6 +76,8 @@ def test_weighted_median(spark):
 def test_report_line(spark):
     s = spark.createDataFrame([("Java", 97.5, 120, 4)], "label string, percent double, size long, median int")
     assert rows(kmeans.cluster_report(s)) == [("      4  Java              (97.5 %)     120",)]
+    text = kmeans.report_text(s).splitlines()
+    assert text[0] == "Resulting clusters:" and text[-1] == "      4  Java              (97.5 %)     120"
 
 
 def test_driver_fit_properties(spark):

@@ -51,6 +51,12 @@ def test_page_records_malformed(spark):
     assert len(parse_page_records(bad, mode="drop").collect()) == 3
 
 
+def test_page_records_flag_mode(spark):
+    bad = lines(spark, PAGES[:1] + ["<page><title>x"])
+    got = rows(parse_page_records(bad, mode="flag"))
+    assert got == [("Alpha", "Java and C++ Java", False), (None, None, True)]
+
+
 def test_page_records_from_file(spark, tmp_path):
     path = tmp_path / "wiki.dat"
     path.write_text("\n".join(PAGES) + "\n")
