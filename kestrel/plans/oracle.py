@@ -166,6 +166,12 @@ def _build() -> dict[str, str]:
     q["kmeans_step"] = _with(one, "SELECT cluster, nx AS x, ny AS y FROM u1")
     q["kmeans_movement"] = _with(one, "SELECT mv AS movement FROM mv1")
     q["kmeans_fit"] = _with(kmeans_ctes(), f"SELECT cluster, x, y FROM c{KMEANS_STEPS}")
+    # an update i ran iff the centres it started from were not frozen yet
+    steps = " UNION ALL ".join(
+        f"SELECT {i} AS iteration, u.cluster, u.ox AS old_x, u.oy AS old_y, u.nx AS new_x, u.ny AS new_y, "
+        f"{_dist('u.nx', 'u.ny', 'u.ox', 'u.oy')} AS distance, mv.mv AS total_distance "
+        f"FROM u{i} u CROSS JOIN mv{i} mv WHERE NOT u.done" for i in range(1, KMEANS_STEPS + 1))
+    q["kmeans_trace"] = _with(kmeans_ctes(), steps)
     q["cluster_summary"] = _with(_summary_ctes(), "SELECT label, percent, size, median FROM summ")
     # Java's %-5.1f rounds the shortest decimal form of the double half-up; emulate that.
     pct = "CAST(round(CAST(CAST(percent AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DECIMAL(38, 1))"

@@ -35,14 +35,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (the server owns files and checkpoints)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by ``spark.checkpoint.dir`` (None when unset)."""
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the folder
+    sc = _context(spark)
+    if sc is None:
         return None
     return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
 
@@ -54,7 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting unset (tests) gets a fresh folder of its own; a cluster without it is an error,
     because a machine-local folder does not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        folder = checkpoint_dir(spark)
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
