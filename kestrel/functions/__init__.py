@@ -46,6 +46,21 @@ def label_at(values: Sequence[str], index: str | Column) -> Column:
     return F.get(string_array(values), col(index).cast("int"))
 
 
+def literal_table(spark, rows: Sequence[tuple], schema: str):
+    """A small driver-held table (a parameter list, never data) built from literals.
+
+    ``schema`` is a DDL list such as ``"term string, idx int"``.  The rows become one literal
+    array of structs exploded by ``inline``: planned JVM-side with no Python-side RDD.
+    """
+    from pyspark.sql.types import _parse_datatype_string
+
+    fields = _parse_datatype_string(schema).fields
+    if not rows:
+        raise ValueError("literal_table needs at least one row")
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def nullif_empty(c: str | Column) -> Column:
     """Empty string -> NULL."""
     return F.nullif(col(c), F.lit(""))

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions import label_at, squared_distance
+from kestrel.functions import label_at, literal_table, squared_distance
 
 Centre = tuple[int, int]
 
@@ -96,7 +96,7 @@ def centroids(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
 def centres_frame(spark: SparkSession, centres: Sequence[Centre], prefix: str = "") -> DataFrame:
     """Driver-held centre list as a k-row DataFrame (cluster, x, y)."""
     rows = [(i, int(cx), int(cy)) for i, (cx, cy) in enumerate(centres)]
-    return spark.createDataFrame(rows, f"cluster int, {prefix}x int, {prefix}y int")
+    return literal_table(spark, rows, f"cluster int, {prefix}x int, {prefix}y int")
 
 
 def step(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
@@ -175,7 +175,7 @@ TRACE_SCHEMA = ("iteration int, cluster int, old_x int, old_y int, new_x int, ne
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     """Iteration trace (K4) as a DataFrame of (iterations x k) rows."""
-    return spark.createDataFrame(result.trace, TRACE_SCHEMA)
+    return literal_table(spark, result.trace, TRACE_SCHEMA)
 
 
 def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequence[str],

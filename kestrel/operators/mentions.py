@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import col, mentions, position_in, string_array, tokens
+from kestrel.functions import col, literal_table, mentions, position_in, string_array, tokens
 
 DEFAULT_BLOCK = 1 << 16
 
@@ -99,7 +99,7 @@ def mention_rank_full(docs: DataFrame, terms: Sequence[str], id_col: str = "doc_
     """
     terms = validate_terms(terms)
     spark = docs.sparkSession
-    dim = spark.createDataFrame([(t,) for t in terms], "term string")
+    dim = literal_table(spark, [(t,) for t in terms], "term string")
     counted = (mention_postings(docs, terms, id_col, text_col)
                .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     full = dim.join(counted, "term", "left").select(
