@@ -28,10 +28,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Key used to spread a table whose scan has fewer splits than task slots.
 SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
 
+# Declared read schemas (the columns the queries use): no schema-inference job per read.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string",
+    "pages": "page_id bigint, url string, html string",
+    "orders": "o_orderkey bigint, o_orderpriority string",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double"),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (see ``kestrel.session.spread`` for small single-split files)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df, SPREAD_KEYS.get(name))
