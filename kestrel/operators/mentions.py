@@ -69,9 +69,10 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
             .agg(F.sort_array(F.collect_list(id_col)).alias(f"{id_col}s")))
 
 
-def _rank_order(df: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Descending count; ties in term-list order."""
-    return df.orderBy(F.col("n").desc(), position_in(terms, "term").asc())
+def _rank_order(df: DataFrame, terms: Sequence[str], reverse_ties: bool = False) -> DataFrame:
+    """Descending count; ties in term-list order (reversed with ``reverse_ties``)."""
+    pos = position_in(terms, "term")
+    return df.orderBy(F.col("n").desc(), pos.desc() if reverse_ties else pos.asc())
 
 
 def rank_from_index(index: DataFrame, terms: Sequence[str], ids_col: str = "doc_ids") -> DataFrame:
@@ -91,11 +92,13 @@ def mention_rank(docs: DataFrame, terms: Sequence[str], id_col: str = "doc_id",
 
 
 def mention_rank_full(docs: DataFrame, terms: Sequence[str], id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", reverse_ties: bool = False) -> DataFrame:
     """Ranking of every term, zero counts included.
 
     The term dimension is the caller's list (a literal inline table, size fixed by the
-    parameter); it is joined to at most len(terms) count rows.  Ties come out in list order.
+    parameter); it is joined to at most len(terms) count rows.  Ties come out in list order;
+    ``reverse_ties=True`` gives the reverse list order that an ascending stable sort followed
+    by a reversal produces.
     """
     terms = validate_terms(terms)
     spark = docs.sparkSession
@@ -104,4 +107,4 @@ def mention_rank_full(docs: DataFrame, terms: Sequence[str], id_col: str = "doc_
                .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     full = dim.join(counted, "term", "left").select(
         "term", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"))
-    return _rank_order(full, terms)
+    return _rank_order(full, terms, reverse_ties)

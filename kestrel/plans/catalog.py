@@ -105,7 +105,7 @@ def uniform_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _model_inputs(spark: SparkSession, sf_dir: str):
     """Vectors and weighted points in reliable checkpoints, plus the initial centres."""
     vectors = reliable_checkpoint(qa_vectors(spark, sf_dir))
-    centres = flows.initial_centres(vectors, len(PRIORITIES), K, SEED)
+    centres = flows.initial_centres(vectors, len(PRIORITIES), K, SEED, SPREAD)
     points = reliable_checkpoint(kmeans.weighted_points(vectors))
     return vectors, points, centres
 

@@ -58,11 +58,24 @@ class ClusterModel:
     report: DataFrame           # formatted lines
 
 
-def initial_centres(vectors: DataFrame, n_langs: int, k: int, seed: str) -> list[kmeans.Centre]:
-    """Stratified sample of k/n_langs vectors per language, ordered by (x, id); k rows to the driver."""
+# Below this spread the languages are too close for per-language sampling to matter, and the
+# initial centres are sampled from all vectors at once (fixed value of the reference).
+UNIFORM_SPREAD_LIMIT = 500
+
+
+def initial_centres(vectors: DataFrame, n_langs: int, k: int, seed: str,
+                    spread: int = kmeans.KMeansParams.spread) -> list[kmeans.Centre]:
+    """k initial centres ordered by (x, id); at most k rows reach the driver.
+
+    Stratified (k / n_langs vectors per language, M1), or uniform over all vectors (M2) when
+    ``spread`` is below ``UNIFORM_SPREAD_LIMIT``.
+    """
     if k % n_langs != 0:
         raise ValueError("k must be a multiple of the number of languages")
-    picked = sampling.stratified_sample(vectors, k // n_langs, n_langs, seed=seed)
+    if spread < UNIFORM_SPREAD_LIMIT:
+        picked = sampling.uniform_sample(vectors, k, seed=seed)
+    else:
+        picked = sampling.stratified_sample(vectors, k // n_langs, n_langs, seed=seed)
     rows = picked.orderBy("x", "id").select("x", "y").collect()
     if len(rows) != k:
         raise RuntimeError(f"expected {k} initial centres, got {len(rows)}")
@@ -74,7 +87,7 @@ def cluster_model(postings: DataFrame, langs: Sequence[str], params: kmeans.KMea
     """Score, vectorise, sample, fit and summarise parsed postings."""
     langs = list(langs)
     vectors = reliable_checkpoint(qa.qa_vectors(qa.qa_high_score(postings), langs, params.spread))
-    initial = initial_centres(vectors, len(langs), params.k, seed)
+    initial = initial_centres(vectors, len(langs), params.k, seed, params.spread)
     points = reliable_checkpoint(kmeans.weighted_points(vectors))
     result = kmeans.fit(points, initial, params.eta, params.max_iterations, keep_trace=keep_trace)
     summary = kmeans.cluster_summary(points, result.centres, langs, params.spread)

@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import rows
 from kestrel.operators.kmeans import KMeansParams
 from kestrel.plans import flows
@@ -33,3 +35,13 @@ def test_time_usage_flow(spark, tmp_path):
     out = flows.time_usage_by_life_period(spark, str(path))
     assert rows(out["grouped"]) == rows(out["grouped_sql"]) == rows(out["grouped_typed"])
     assert out["summary"].count() == 5
+
+
+def test_small_spread_samples_uniformly(spark):
+    from pyspark.sql import functions as F
+    vectors = spark.range(0, 50).select(F.col("id"), (F.col("id") % 2 * 100).cast("int").alias("x"),
+                                         (F.col("id") % 5).cast("int").alias("y"))
+    centres = flows.initial_centres(vectors, n_langs=2, k=4, seed="42:", spread=100)
+    assert len(centres) == 4 and centres == sorted(centres)
+    with pytest.raises(ValueError):
+        flows.initial_centres(vectors, n_langs=2, k=3, seed="42:", spread=100)

@@ -50,8 +50,10 @@ def test_rankings_agree(docs):
     assert rows(mentions.rank_from_index(idx, LANGS)) == rank
     full = rows(mentions.mention_rank_full(docs, LANGS))
     assert full[:2] == rank
-    # zero counts kept, ties in list order
+    # zero counts kept, ties in list order (or reversed)
     assert full[2:] == [("JavaScript", 0), ("PHP", 0), ("Python", 0), ("C#", 0)]
+    rev = rows(mentions.mention_rank_full(docs, LANGS, reverse_ties=True))
+    assert rev[2:] == [("C#", 0), ("Python", 0), ("PHP", 0), ("JavaScript", 0)]
 
 
 def test_terms_validated(docs):
