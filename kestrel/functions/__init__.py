@@ -46,18 +46,41 @@ def label_at(values: Sequence[str], index: str | Column) -> Column:
     return F.get(string_array(values), col(index).cast("int"))
 
 
+def _ddl_fields(schema: str) -> list[tuple[str, str]]:
+    """``"a int, b decimal(10,2)"`` -> [("a", "int"), ("b", "decimal(10,2)")] (top-level commas only)."""
+    parts, depth, cur = [], 0, ""
+    for ch in schema:
+        depth += ch in "(<"
+        depth -= ch in ")>"
+        if ch == "," and depth == 0:
+            parts.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    parts.append(cur)
+    fields = []
+    for part in parts:
+        part = part.strip()
+        if part.startswith("`"):
+            end = part.index("`", 1)
+            name, dtype = part[1:end], part[end + 1:]
+        else:
+            name, _, dtype = part.partition(" ")
+        fields.append((name, dtype.strip()))
+    return fields
+
+
 def literal_table(spark, rows: Sequence[tuple], schema: str):
     """A small driver-held table (a parameter list, never data) built from literals.
 
     ``schema`` is a DDL list such as ``"term string, idx int"``.  The rows become one literal
     array of structs exploded by ``inline``: planned JVM-side with no Python-side RDD.
     """
-    from pyspark.sql.types import _parse_datatype_string
-
-    fields = _parse_datatype_string(schema).fields
+    fields = _ddl_fields(schema)
     if not rows:
         raise ValueError("literal_table needs at least one row")
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    structs = [F.struct(*[F.lit(v).cast(dtype).alias(name) for v, (name, dtype) in zip(row, fields)])
+               for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
