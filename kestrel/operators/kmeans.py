@@ -209,6 +209,7 @@ def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequenc
         .drop("cluster"))
 
 
+# Fixed values of the printed cluster report: line format and header lines.
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%) %7d"
 REPORT_HEADER = ["Resulting clusters:",
                  "  Score  Dominant language (%percent)  Questions",
