@@ -1,0 +1,26 @@
+from kestrel.session import checkpoint_dir, ensure_checkpoint_dir, reliable_checkpoint, spread
+
+
+def test_spread_small_input(spark):
+    one = spark.range(0, 100, numPartitions=1)
+    out = spread(one, "id", slots=4)
+    assert out.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in out.collect()) == list(range(100))
+
+
+def test_spread_leaves_large_input_alone(spark):
+    many = spark.range(0, 100, numPartitions=6)
+    assert spread(many, "id", slots=4) is many
+
+
+def test_checkpoint_folder_from_session(spark):
+    folder = ensure_checkpoint_dir(spark)
+    assert folder and checkpoint_dir(spark)
+
+
+def test_reliable_checkpoint_cuts_lineage(spark):
+    df = spark.range(0, 50).selectExpr("id", "id * 2 AS twice").where("id % 3 = 0")
+    cut = reliable_checkpoint(df)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Filter" not in plan
+    assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
