@@ -72,13 +72,16 @@ def initial_centres(vectors: DataFrame, n_langs: int, k: int, seed: str,
     """
     if k % n_langs != 0:
         raise ValueError("k must be a multiple of the number of languages")
+    # Checked on the collected rows instead of inside the plan: every stratum gives at most
+    # k / n_langs rows, so a short or missing stratum always leaves fewer than k.
     if spread < UNIFORM_SPREAD_LIMIT:
-        picked = sampling.uniform_sample(vectors, k, seed=seed)
+        picked = sampling.uniform_sample(vectors, k, seed=seed, strict=False)
     else:
-        picked = sampling.stratified_sample(vectors, k // n_langs, n_langs, seed=seed)
+        picked = sampling.stratified_sample(vectors, k // n_langs, n_langs, seed=seed, strict=False)
     rows = picked.orderBy("x", "id").select("x", "y").collect()
     if len(rows) != k:
-        raise RuntimeError(f"expected {k} initial centres, got {len(rows)}")
+        raise RuntimeError(f"expected {k} initial centres, got {len(rows)}: a language has too few "
+                           "scored questions")
     return [(r["x"], r["y"]) for r in rows]
 
 

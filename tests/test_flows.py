@@ -45,3 +45,9 @@ def test_small_spread_samples_uniformly(spark):
     assert len(centres) == 4 and [c[0] for c in centres] == sorted(c[0] for c in centres)
     with pytest.raises(ValueError):
         flows.initial_centres(vectors, n_langs=2, k=3, seed="42:", spread=100)
+
+
+def test_short_stratum_fails_initial_centres(spark):
+    vectors = spark.createDataFrame([(1, 0, 5), (2, 0, 6), (3, 50000, 7)], "id long, x int, y int")
+    with pytest.raises(RuntimeError, match="too few"):
+        flows.initial_centres(vectors, n_langs=2, k=4, seed="42:")
