@@ -4,6 +4,10 @@
 
 Runs each query to completion (results written to Spark's ``noop`` sink, so nothing is pulled to
 the driver) and prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+
+Before timing, every query runs once on the smallest driver tables (``BENCH_WARMUP_DIR``,
+default /root/testdata/sf0.001; set it empty to skip) so that JIT and code generation warm-up
+is not counted.  Nothing is cached between runs: each timed query reads its tables again.
 """
 
 from __future__ import annotations
@@ -42,8 +46,12 @@ def main() -> None:
     if os.environ.get("BENCH_EVENT_LOG"):  # optional stage/task timings, written to a scratch folder
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="kestrel-bench", extra=extra)
-    # warm the JVM (class loading, codegen caches) on a query outside the timed set
-    QUERIES["mention_count"](spark, sf_dir).collect()
+    warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warmup_dir and os.path.isdir(warmup_dir):
+        for name in names:
+            run(spark, name, warmup_dir)
+    else:
+        QUERIES["mention_count"](spark, sf_dir).collect()
     timings = {}
     for name in names:
         timings[name] = round(run(spark, name, sf_dir), 3)
