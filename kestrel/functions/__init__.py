@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -70,18 +71,42 @@ def _ddl_fields(schema: str) -> list[tuple[str, str]]:
     return fields
 
 
+def _sql_number(value, dtype: str) -> str:
+    """A numeric (or NULL) value as a typed SQL literal."""
+    if value is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(value, bool):
+        return f"CAST({'TRUE' if value else 'FALSE'} AS {dtype})"
+    if isinstance(value, int):
+        return f"CAST({value} AS {dtype})"
+    if math.isnan(value):
+        return f"CAST('NaN' AS {dtype})"
+    if math.isinf(value):
+        return f"CAST('{'' if value > 0 else '-'}Infinity' AS {dtype})"
+    return f"CAST({float(value)!r}D AS {dtype})"
+
+
 def literal_table(spark, rows: Sequence[tuple], schema: str):
     """A small driver-held table (a parameter list, never data) built from literals.
 
     ``schema`` is a DDL list such as ``"term string, idx int"``.  The rows become one literal
-    array of structs exploded by ``inline``: planned JVM-side with no Python-side RDD.
+    array of structs exploded by ``inline``: planned JVM-side with no Python-side RDD.  Rows of
+    numbers are rendered as one SQL expression (one call to the JVM); other values go through
+    ``lit``.
     """
     fields = _ddl_fields(schema)
     if not rows:
         raise ValueError("literal_table needs at least one row")
-    structs = [F.struct(*[F.lit(v).cast(dtype).alias(name) for v, (name, dtype) in zip(row, fields)])
-               for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    numeric = all(v is None or isinstance(v, (int, float)) for row in rows for v in row)
+    if numeric:
+        structs = ", ".join(
+            "named_struct(" + ", ".join(f"'{name}', {_sql_number(v, dtype)}" for v, (name, dtype) in zip(row, fields))
+            + ")" for row in rows)
+        array = F.expr(f"array({structs})")
+    else:
+        array = F.array(*[F.struct(*[F.lit(v).cast(dtype).alias(name) for v, (name, dtype) in zip(row, fields)])
+                          for row in rows])
+    return spark.range(1).select(F.inline(array))
 
 
 def nullif_empty(c: str | Column) -> Column:

@@ -48,25 +48,35 @@ def weighted_points(vectors: DataFrame, x: str = "x", y: str = "y") -> DataFrame
     return vectors.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def centres_literal(centres: Sequence[Centre]) -> Column:
-    """The centre list as a literal ``array<struct<x:int,y:int>>``."""
+def centres_sql(centres: Sequence[Centre]) -> str:
+    """The centre list as a SQL literal ``array<struct<x:int,y:int>>``.
+
+    Rendered as one expression string (integers only) so that building a plan costs one
+    round trip to the JVM however many centres there are.
+    """
     if not centres:
         raise ValueError("no centres")
-    return F.array(*[F.struct(F.lit(int(cx)).cast("int").alias("x"), F.lit(int(cy)).cast("int").alias("y"))
-                     for cx, cy in centres])
+    items = ", ".join(f"named_struct('x', CAST({int(cx)} AS INT), 'y', CAST({int(cy)} AS INT))"
+                      for cx, cy in centres)
+    return f"array({items})"
+
+
+def centres_literal(centres: Sequence[Centre]) -> Column:
+    """The centre list as a literal array column."""
+    return F.expr(centres_sql(centres))
 
 
 def nearest_centre(centres: Sequence[Centre], x: str = "x", y: str = "y") -> Column:
     """Index of the closest centre (J2, C16); ties go to the lowest index.
 
-    ``array_min`` over (distance, index) structs compares the distance first and the index
-    second, which is exactly "strictly smaller distance wins, else keep the earlier index".
+    ``array_min`` over (squared distance, index) structs compares the distance first and the
+    index second, which is exactly "strictly smaller distance wins, else keep the earlier index".
+    Distances are DOUBLE, as in ``kestrel.functions.squared_distance``.
     """
-    px, py = F.col(x), F.col(y)
-    scored = F.transform(centres_literal(centres),
-                         lambda c, i: F.struct(squared_distance(px, py, c["x"], c["y"]).alias("d"),
-                                               i.alias("i")))
-    return F.array_min(scored)["i"]
+    px, py = f"`{x}`", f"`{y}`"
+    dist = (f"CAST({px} - c.x AS DOUBLE) * CAST({px} - c.x AS DOUBLE) + "
+            f"CAST({py} - c.y AS DOUBLE) * CAST({py} - c.y AS DOUBLE)")
+    return F.expr(f"array_min(transform({centres_sql(centres)}, (c, i) -> named_struct('d', {dist}, 'i', i))).i")
 
 
 def assign(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
