@@ -153,7 +153,8 @@ def wide_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survey.summary_from_frame(derived.survey_frame(table(spark, sf_dir, "lineitem")))
+    lineitem = table(spark, sf_dir, "lineitem", heavy_rows=False)
+    return survey.summary_from_frame(derived.survey_frame(lineitem))
 
 
 def time_usage_typed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,10 +38,15 @@ SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (see ``kestrel.session.spread`` for small single-split files)."""
+def table(spark: SparkSession, sf_dir: str, name: str, heavy_rows: bool = True) -> DataFrame:
+    """Read one driver table.
+
+    ``heavy_rows``: the query does real per-row work (tokenising, building or parsing lines),
+    so a scan with fewer splits than task slots is spread first (``kestrel.session.spread``).
+    Light numeric projections skip it: for them the extra exchange costs more than it saves.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, SPREAD_KEYS.get(name))
+    return spread(df, SPREAD_KEYS.get(name)) if heavy_rows else df
