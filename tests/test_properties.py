@@ -122,3 +122,54 @@ def test_kmeans_step_and_summary_match_model(spark, points, centres):
     want = [(label, pct, size, med) for med, i, label, pct, size in sorted(want)]
     got = [tuple(r) for r in kmeans.cluster_summary(kmeans.weighted_points(df), centres, langs).collect()]
     assert got == want
+
+
+edge = st.sampled_from([None, -1.0, 0.0, 0.5, 1.0, 2.0, 2.999, 3.0, 5.0, 14.9, 15.0, 22.0, 22.5, 23.0, 55.0, 55.5, 90.0])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(edge, edge, edge, st.floats(0, 1000), st.floats(0, 1000)), min_size=1, max_size=50))
+def test_survey_recode_matches_model(spark, rows_in):
+    from kestrel.operators import survey
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows_in)],
+                               "i int, telfs double, tesex double, teage double, t010101 double, t050101 double")
+    got = {r.i: tuple(r)[1:] for r in df.select(
+        "i", survey.working_status(df.telfs).alias("w"), survey.sex_label(df.tesex).alias("s"),
+        survey.age_band(df.teage).alias("a"), survey.hours(["t010101", "t050101"], "g").alias("h")).collect()}
+
+    def model(telfs, tesex, teage, a, b):
+        working = "working" if telfs is not None and 1 <= telfs < 3 else "not working"
+        sex = "male" if tesex == 1 else "female"
+        if teage is not None and 15 <= teage <= 22:
+            age = "young"
+        elif teage is not None and 23 <= teage <= 55:
+            age = "active"
+        else:
+            age = "elder"
+        return working, sex, age, (a + b) / 60
+
+    assert got == {i: model(*r) for i, r in enumerate(rows_in)}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10**12), st.sampled_from([0, 50000, 100000])), min_size=12, max_size=80,
+                unique_by=lambda r: r[0]), st.text(alphabet="abc:9", min_size=1, max_size=4))
+def test_samples_match_md5_model(spark, rows_in, seed):
+    import hashlib
+
+    from kestrel.operators import sampling
+
+    df = spark.createDataFrame([(i, x, 0) for i, x in rows_in], "id long, x int, y int")
+
+    def key(i):
+        return hashlib.md5((seed + str(i)).encode()).hexdigest(), i
+
+    per = {}
+    for i, x in rows_in:
+        per.setdefault(x, []).append(i)
+    want = sorted(i for ids in per.values() for i in sorted(ids, key=key)[:2])
+    got = sorted(r.id for r in sampling.stratified_sample(df, 2, seed=seed, strict=False).collect())
+    assert got == want
+    want_u = sorted(sorted((i for i, _ in rows_in), key=key)[:5])
+    assert sorted(r.id for r in sampling.uniform_sample(df, 5, seed=seed).collect()) == want_u
