@@ -109,6 +109,15 @@ def literal_table(spark, rows: Sequence[tuple], schema: str):
     return spark.range(1).select(F.inline(array))
 
 
+def sort_bounded(df, *order):
+    """Sort a result whose size is bounded by a parameter (terms, survey groups, clusters).
+
+    Such a result is at most a few thousand rows, so it is sorted in one partition: no
+    range-partitioning sample job and no extra exchange.  Never use it for data-sized results.
+    """
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def nullif_empty(c: str | Column) -> Column:
     """Empty string -> NULL."""
     return F.nullif(col(c), F.lit(""))

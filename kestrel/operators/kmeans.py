@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions import label_at, literal_table, squared_distance
+from kestrel.functions import label_at, literal_table, sort_bounded, squared_distance
 
 Centre = tuple[int, int]
 
@@ -208,15 +208,13 @@ def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequenc
     stats = a.groupBy("cluster").agg(
         F.sum("_w").alias("size"),
         F.percentile(F.col("y"), F.lit(0.5), F.col("_w")).alias("med"))
-    out = dominant.join(stats, "cluster")
-    return (out.select(
+    out = dominant.join(stats, "cluster").select(
         "cluster",
         label_at(list(langs), F.expr(f"lx div {int(spread)}")).alias("label"),
         (F.col("mc").cast("double") / F.col("size").cast("double") * F.lit(100.0)).alias("percent"),
         F.col("size").cast("bigint").alias("size"),
         F.col("med").cast("int").alias("median"))
-        .orderBy("median", "cluster")
-        .drop("cluster"))
+    return sort_bounded(out, "median", "cluster").drop("cluster")  # at most k rows
 
 
 # Fixed values of the printed cluster report: line format and header lines.

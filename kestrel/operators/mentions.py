@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import col, literal_table, mentions, position_in, string_array, tokens
+from kestrel.functions import col, literal_table, mentions, position_in, sort_bounded, string_array, tokens
 
 DEFAULT_BLOCK = 1 << 16
 
@@ -70,9 +70,12 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
 
 
 def _rank_order(df: DataFrame, terms: Sequence[str], reverse_ties: bool = False) -> DataFrame:
-    """Descending count; ties in term-list order (reversed with ``reverse_ties``)."""
+    """Descending count; ties in term-list order (reversed with ``reverse_ties``).
+
+    A ranking has at most len(terms) rows, so it is sorted as a bounded result.
+    """
     pos = position_in(terms, "term")
-    return df.orderBy(F.col("n").desc(), pos.desc() if reverse_ties else pos.asc())
+    return sort_bounded(df, F.col("n").desc(), pos.desc() if reverse_ties else pos.asc())
 
 
 def rank_from_index(index: DataFrame, terms: Sequence[str], ids_col: str = "doc_ids") -> DataFrame:
