@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,11 @@ def wide_schema(header: Sequence[str]) -> T.StructType:
 
 
 def split_header(line: str) -> list[str]:
-    """Header line -> names: plain comma split, trailing empty names dropped."""
-    names = line.split(",")
+    """Header line -> names: comma split (quoted names unquoted), trailing empty names dropped.
+
+    An unquoted header splits exactly as a plain comma split does.
+    """
+    names = next(csv.reader([line]), [])
     while names and names[-1] == "":
         names.pop()
     return names

@@ -115,6 +115,7 @@ SURVEY_CSV = """tucaseid,telfs,tesex,teage,t010101,t050101,t020101,t170101,t1801
 
 def test_split_header():
     assert split_header("a,b,,c,,") == ["a", "b", "", "c"]
+    assert split_header('"id","t01 x",t02') == ["id", "t01 x", "t02"]
 
 
 def test_wide_schema():
