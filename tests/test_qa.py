@@ -82,3 +82,16 @@ def test_strict_parent_check_in_scoring(spark):
 def test_type_three_and_orphans_ignored(spark):
     extra = ["3,10,,,100,", "2,98,,1234,50,"]
     assert sorted(rows(qa.qa_high_score(postings(spark, extra)))) == [(10, "Java", 7), (20, "PHP", 0)]
+
+
+def test_pairs_plan_at_scale_is_sort_merge_join(spark):
+    """Without broadcasting (large sides) the pair join is a sort-merge join on the question id."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = qa.qa_pairs(postings(spark))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert sorted(rows(df)) == [(10, "Java", 11, -4), (10, "Java", 12, 7), (20, "PHP", 21, -1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
