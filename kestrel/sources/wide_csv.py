@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions import col
+from kestrel.functions import col, require
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
@@ -48,24 +48,34 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return split_header(first[0][0])
 
 
-def _clean_first(df: DataFrame) -> DataFrame:
-    """All double quotes removed from the first field only."""
-    first = df.columns[0]
-    return df.withColumn(first, F.replace(F.col(first), F.lit('"'), F.lit("")))
+def _finish(df: DataFrame, mode: str) -> DataFrame:
+    """All double quotes removed from the first field only (S6); in FAILFAST every field must
+    hold a value (the declared-non-null contract, kept as a check since readers make every
+    field nullable).  Each check is part of its own column, so unread columns cost nothing."""
+    cols = []
+    for i, name in enumerate(df.columns):
+        c = F.col("`" + name.replace("`", "``") + "`")
+        if i == 0:
+            c = F.replace(c, F.lit('"'), F.lit(""))
+        if mode == "FAILFAST":
+            c = require(c, f"empty value in column {name}")
+        cols.append(c.alias(name))
+    return df.select(*cols)
 
 
 def read_wide_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> tuple[list[str], DataFrame]:
     """Read a headed wide CSV; return (column names, DataFrame).
 
     The reader skips the header line of every file and parses numbers as DOUBLE.  FAILFAST
-    fails on an unparsable or missing value (as the reference does); PERMISSIVE gives NULL.
+    fails on an unparsable, empty or missing value (as the reference does); PERMISSIVE gives
+    NULL.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     header = read_header(spark, path)
     df = (spark.read.schema(wide_schema(header)).option("header", True)
           .option("enforceSchema", True).option("mode", mode).csv(path))
-    return header, _clean_first(df)
+    return header, _finish(df, mode)
 
 
 def parse_wide_lines(lines: DataFrame, header: Sequence[str], column: str = "value",
@@ -76,4 +86,4 @@ def parse_wide_lines(lines: DataFrame, header: Sequence[str], column: str = "val
     schema = wide_schema(header)
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv(col(column), ddl, {"mode": mode}).alias("_row"))
-    return _clean_first(parsed.select("_row.*"))
+    return _finish(parsed.select("_row.*"), mode)

@@ -146,6 +146,17 @@ def test_read_wide_csv_bad_number(spark, tmp_path):
     assert sorted(rows(lenient), key=str) == [("1", 2.0), ("2", None)]
 
 
+def test_read_wide_csv_empty_value(spark, tmp_path):
+    path = tmp_path / "empty.csv"
+    path.write_text('id,a,b\n"1",2,3\n"2",,4\n')
+    _, strict = read_wide_csv(spark, str(path))
+    with pytest.raises(PySparkException, match="empty value in column a"):
+        strict.collect()
+    assert sorted(rows(strict.select("id", "b")), key=str) == [("1", 3.0), ("2", 4.0)]  # unread column: no check
+    _, lenient = read_wide_csv(spark, str(path), mode="PERMISSIVE")
+    assert sorted(rows(lenient), key=str) == [("1", 2.0, 3.0), ("2", None, 4.0)]
+
+
 def test_read_wide_csv_quote_removal(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text('id,a\nx"y,1\n')
