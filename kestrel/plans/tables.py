@@ -7,19 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from kestrel.operators.kmeans import KMeansParams
 from kestrel.session import spread
 
-# Fixed parameters of the driver queries.  The documents carry none of the reference's language
+# Parameters chosen for the driver data.  The documents carry none of the reference's language
 # names, so the mention queries use common words; "C++" and "Scala" match nothing and exercise
-# the zero fill.  Order priorities play the language list of the clustering (5 strata x 3 = 15).
+# the zero fill.  Order priorities play the language list of the clustering (5 strata x 3 = 15
+# centres).  Spread, eta and the iteration cap are the reference's values (KMeansParams).
 TERMS = ["the", "and", "of", "is", "to", "was", "der", "die", "und", "la", "le", "de", "en", "C++", "Scala"]
 COUNT_TERM = "the"
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 PER_STRATUM = 3
 K = PER_STRATUM * len(PRIORITIES)
-SPREAD = 50000
-ETA = 20.0
-MAX_ITERATIONS = 120
 SEED = "42:"
-PARAMS = KMeansParams(spread=SPREAD, k=K, eta=ETA, max_iterations=MAX_ITERATIONS)
+PARAMS = KMeansParams(k=K)
+SPREAD = PARAMS.spread
+ETA = PARAMS.eta
+MAX_ITERATIONS = PARAMS.max_iterations
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
