@@ -112,10 +112,12 @@ def literal_table(spark, rows: Sequence[tuple], schema: str):
 def sort_bounded(df, *order):
     """Sort a result whose size is bounded by a parameter (terms, survey groups, clusters).
 
-    Such a result is at most a few thousand rows, so it is sorted in one partition: no
-    range-partitioning sample job and no extra exchange.  Never use it for data-sized results.
+    Such a result is at most a few thousand rows: it is moved into one partition and sorted
+    there, which skips the range-partitioning sample job of ``orderBy``.  ``repartition(1)``
+    (not ``coalesce(1)``) keeps the aggregation that produced the rows fully parallel; only the
+    bounded result crosses the exchange.  Never use it for data-sized results.
     """
-    return df.coalesce(1).sortWithinPartitions(*order)
+    return df.repartition(1).sortWithinPartitions(*order)
 
 
 def nullif_empty(c: str | Column) -> Column:
