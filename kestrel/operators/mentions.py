@@ -69,6 +69,16 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
             .agg(F.sort_array(F.collect_list(id_col)).alias(f"{id_col}s")))
 
 
+def index_articles(postings: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The index with whole documents (A2 as the reference returns it), exploded: one row per
+    (term, document) with every document column.
+
+    A join of the postings back to the documents on the id: no unbounded group is formed, and a
+    document occurs at most len(terms) times, so no key is hot.
+    """
+    return postings.join(docs, id_col, "inner")
+
+
 def _rank_order(df: DataFrame, terms: Sequence[str], reverse_ties: bool = False) -> DataFrame:
     """Descending count; ties in term-list order (reversed with ``reverse_ties``).
 

@@ -29,7 +29,8 @@ REFERENCE_LANGS = ["JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "
 
 def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tuple(REFERENCE_LANGS),
                      mode: str = "strict", block: int = mentions.DEFAULT_BLOCK) -> dict[str, DataFrame]:
-    """Page-record file(s) -> documents, postings, index and the three rankings.
+    """Page-record file(s) -> documents, postings, index (ids, and with whole articles) and the
+    three rankings.
 
     ``ranking`` keeps zero counts (all terms); ``ranking_from_index`` and ``ranking_combined``
     list mentioned terms only; all three agree on every mentioned term.  Documents get a
@@ -42,6 +43,7 @@ def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tupl
         "documents": docs.select("doc_id", "title"),
         "postings": postings,
         "index": index,
+        "index_articles": mentions.index_articles(postings, docs),
         "ranking": mentions.mention_rank_full(docs, terms),
         "ranking_from_index": mentions.rank_from_index(index, terms),
         "ranking_combined": mentions.mention_rank(docs, terms),

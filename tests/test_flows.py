@@ -17,6 +17,8 @@ def test_mention_rankings_flow(spark, tmp_path):
     titles = dict(rows(out["documents"]))
     index = {r.term: sorted(titles[i] for i in r.doc_ids) for r in out["index"].collect()}
     assert index == {"Java": ["Alpha", "Beta"], "C++": ["Alpha"]}
+    assert sorted((r.term, r.title) for r in out["index_articles"].collect()) == \
+        [("C++", "Alpha"), ("Java", "Alpha"), ("Java", "Beta")]
 
 
 def test_cluster_postings_flow(spark, tmp_path):

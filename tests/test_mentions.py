@@ -36,6 +36,11 @@ def test_index(docs):
     assert got == {"Java": [1, 2], "C++": [1]}
 
 
+def test_index_articles(docs):
+    got = sorted((r.term, r.title) for r in mentions.index_articles(mentions.mention_postings(docs, LANGS), docs).collect())
+    assert got == [("C++", "Alpha"), ("Java", "Alpha"), ("Java", "Beta")]
+
+
 def test_index_blocks_are_bounded(spark):
     df = spark.range(0, 1000).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
     idx = mentions.mention_index(mentions.mention_postings(df, ["x"]), block=100)
