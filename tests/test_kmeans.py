@@ -71,6 +71,10 @@ def test_weighted_median(spark):
     assert rows(kmeans.cluster_summary(p, [(0, 0)], LANGS), "median") == [(4,)]
     p5 = spark.createDataFrame([(0, 5, 1)], "x int, y int, n long")
     assert rows(kmeans.cluster_summary(p5, [(0, 0)], LANGS), "median") == [(5,)]
+    p12 = spark.createDataFrame([(0, 1, 1), (0, 2, 1)], "x int, y int, n long")
+    assert rows(kmeans.cluster_summary(p12, [(0, 0)], LANGS), "median") == [(1,)]
+    p4 = spark.createDataFrame([(0, 1, 1), (0, 4, 1), (0, 8, 1), (0, 9, 1)], "x int, y int, n long")
+    assert rows(kmeans.cluster_summary(p4, [(0, 0)], LANGS), "median") == [(6,)]
 
 
 def test_report_line(spark):
