@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the derived survey table: header order of the wide CSV.
+# Header of the survey table derived from lineitem (chosen here: id, the three recoded fields,
+# activity columns for every group plus one that belongs to no group).
 SURVEY_HEADER = ["tucaseid", "telfs", "tesex", "teage",
                  "t010101", "t050101", "t180501", "t020101", "t170101"]
 
