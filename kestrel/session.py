@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of DataFrames that are no longer referenced are removed by Spark itself
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
