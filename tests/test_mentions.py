@@ -85,3 +85,4 @@ def test_rank_plan_is_one_scan_with_partial_count(spark):
     physical = plan_text(df)
     assert "PythonUDF" not in physical and "BatchEvalPython" not in physical
     assert "partial_count" in physical
+    assert "ReadSchema: struct<text:string>" in physical  # the id is pruned for a count
