@@ -133,9 +133,15 @@ def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 def round_half_up(c: str | Column, scale: int = 1) -> Column:
-    """Round half toward +infinity at ``scale`` decimals: floor(v * 10^s + 0.5) / 10^s."""
+    """Round half toward +infinity at ``scale`` decimals, as Java's ``Math.round(v * 10^s) / 10^s``.
+
+    ``Math.round`` is floor(x + 1/2) computed exactly; adding 0.5 in floating point is not
+    exact (0.49999999999999994 + 0.5 == 1.0), so the fraction is tested instead (C18).
+    """
     factor = float(10 ** scale)
-    return F.floor(col(c) * factor + F.lit(0.5)) / F.lit(factor)
+    x = col(c) * F.lit(factor)
+    down = F.floor(x)
+    return (down + F.when(x - down >= F.lit(0.5), F.lit(1)).otherwise(F.lit(0))) / F.lit(factor)
 
 
 def require(value: Column, message: Column | str, when_missing: Column | None = None) -> Column:

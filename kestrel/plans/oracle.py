@@ -97,6 +97,12 @@ def kmeans_ctes(steps: int = KMEANS_STEPS, eta: float = ETA) -> list[str]:
     return ctes
 
 
+def _round_half_up(expr: str) -> str:
+    """Java Math.round(v * 10) / 10: floor plus one when the exact fraction is at least 1/2."""
+    x = f"({expr}) * 10"
+    return f"(floor({x}) + CASE WHEN {x} - floor({x}) >= 0.5 THEN 1 ELSE 0 END) / 10"
+
+
 def _with(ctes: Sequence[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -186,9 +192,9 @@ def _build() -> dict[str, str]:
         "round(avg(other), 1) AS other FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"))
     q["time_usage_grouped_sql"] = q["time_usage_grouped"]
     q["time_usage_grouped_typed"] = _with([SURVEY_CTES], (
-        "SELECT working, sex, age, floor(avg(primaryNeeds) * 10 + 0.5) / 10 AS primaryNeeds, "
-        "floor(avg(work) * 10 + 0.5) / 10 AS work, floor(avg(other) * 10 + 0.5) / 10 AS other "
-        "FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"))
+        "SELECT working, sex, age, " + ", ".join(
+            f"{_round_half_up(f'avg({m})')} AS {m}" for m in ("primaryNeeds", "work", "other"))
+        + " FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"))
     return q
 
 

@@ -67,7 +67,21 @@ def test_round_half_up_matches_model(spark, tenths_x5):
     vals = [v / 20 for v in tenths_x5]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(round_half_up("v", 1)).collect()]
-    assert got == [math.floor(v * 10.0 + 0.5) / 10.0 for v in vals]
+    assert got == [_java_round(v * 10.0) / 10.0 for v in vals]
+
+
+def _java_round(x):
+    """java.lang.Math.round: floor(x + 1/2) computed exactly."""
+    down = math.floor(x)
+    return down + (1 if x - down >= 0.5 else 0)
+
+
+def test_round_half_up_edge(spark):
+    vals = [0.049999999999999996, 0.05, -0.05, -0.995, 0.25, 1e15 + 0.05]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.select(round_half_up("v", 1)).collect()]
+    assert got == [_java_round(v * 10.0) / 10.0 for v in vals]
+    assert got[0] == 0.0  # floor(v * 10 + 0.5) would give 0.1
 
 
 def _median(ys):
