@@ -137,17 +137,18 @@ def _build() -> dict[str, str]:
         f"SELECT t.term, coalesce(c.n, 0) AS n FROM (SELECT unnest({TERM_LIST}) AS term) t "
         "LEFT JOIN counts c ON t.term = c.term"))
     q["page_record_parse"] = (
-        "WITH l AS (SELECT page_id, '<page><title> ' || url || '</title><text>' || html || '  </text></page>' AS v "
+        "WITH l AS (SELECT page_id, '<page><title> ' || coalesce(url, '') || '</title><text>' || coalesce(html, '') "
+        "|| '  </text></page>' AS v "
         "FROM pages), p AS (SELECT page_id, v, position('</title><text>' IN v) AS p FROM l), "
         "r AS (SELECT page_id, substring(v, 15, p - 15) AS title, "
         "substring(v, p + 14, length(v) - 16 - (p + 13)) AS text FROM p) "
         "SELECT page_id, title, text, CAST(length(text) AS INTEGER) AS n FROM r")
     q["posting_parse"] = (
         "WITH lines AS ("
-        "SELECT '1,' || CAST(o_orderkey AS VARCHAR) || ',,,0,' || o_orderpriority AS value FROM orders "
-        "UNION ALL "
-        "SELECT '2,' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) || ',,' || CAST(l_orderkey AS VARCHAR) "
-        f"|| ',' || CAST({SCORE} AS VARCHAR) FROM lineitem), "
+        "SELECT '1,' || coalesce(CAST(o_orderkey AS VARCHAR), '') || ',,,0,' || coalesce(o_orderpriority, '') "
+        "AS value FROM orders UNION ALL "
+        "SELECT '2,' || coalesce(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), '') || ',,' "
+        f"|| coalesce(CAST(l_orderkey AS VARCHAR), '') || ',' || coalesce(CAST({SCORE} AS VARCHAR), '') FROM lineitem), "
         "f AS (SELECT string_split(value, ',') AS a FROM lines) "
         "SELECT CAST(a[1] AS INTEGER) AS posting_type, CAST(a[2] AS BIGINT) AS id, "
         "CAST(nullif(a[3], '') AS BIGINT) AS accepted_answer, CAST(nullif(a[4], '') AS BIGINT) AS parent_id, "

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,14 +84,10 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
     Used where a result is reread many times (k-means inputs).  A lost executor then costs a
-    reread of the checkpoint files, not a recomputation of the scans and joins behind them.
+    reread of the checkpoint files, not a recomputation of the scans and aggregates behind
+    them.  A cluster without ``spark.checkpoint.dir`` is an error (see ``ensure_checkpoint_dir``).
     """
-    spark = df.sparkSession
-    try:
-        ensure_checkpoint_dir(spark)
-    except RuntimeError as exc:
-        warnings.warn(f"{exc}; falling back to persist()", RuntimeWarning)
-        return df.persist()
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -16,10 +16,16 @@ SURVEY_HEADER = ["tucaseid", "telfs", "tesex", "teage",
                  "t010101", "t050101", "t180501", "t020101", "t170101"]
 
 
+def _fields(*values) -> "F.Column":
+    """Comma-joined fields; a NULL value becomes an empty field (``concat_ws`` alone would drop
+    it and shift every later field)."""
+    return F.concat_ws(",", *[F.coalesce(v.cast("string"), F.lit("")) for v in values])
+
+
 def page_lines(pages: DataFrame) -> DataFrame:
     """pages -> (page_id, value) framed as ``<page><title> url</title><text>html  </text></page>``."""
-    line = F.concat(F.lit("<page><title> "), F.col("url"), F.lit("</title><text>"),
-                    F.col("html"), F.lit("  </text></page>"))
+    line = F.concat(F.lit("<page><title> "), F.coalesce(F.col("url"), F.lit("")), F.lit("</title><text>"),
+                    F.coalesce(F.col("html"), F.lit("")), F.lit("  </text></page>"))
     return pages.select("page_id", line.alias("value"))
 
 
@@ -29,12 +35,11 @@ def posting_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     question: ``1,<o_orderkey>,,,0,<o_orderpriority>``
     answer:   ``2,<l_orderkey*10+l_linenumber>,,<l_orderkey>,<int(l_quantity-25)>`` (no tags field)
     """
-    q = orders.select(F.concat_ws(",", F.lit("1"), F.col("o_orderkey").cast("string"), F.lit(""),
-                                  F.lit(""), F.lit("0"), F.col("o_orderpriority")).alias("value"))
+    q = orders.select(_fields(F.lit("1"), F.col("o_orderkey"), F.lit(""), F.lit(""), F.lit("0"),
+                              F.col("o_orderpriority")).alias("value"))
     answer_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     score = (F.col("l_quantity") - 25).cast("int")
-    a = lineitem.select(F.concat_ws(",", F.lit("2"), answer_id.cast("string"), F.lit(""),
-                                    F.col("l_orderkey").cast("string"), score.cast("string")).alias("value"))
+    a = lineitem.select(_fields(F.lit("2"), answer_id, F.lit(""), F.col("l_orderkey"), score).alias("value"))
     return q.unionByName(a)
 
 
@@ -63,5 +68,5 @@ def survey_csv_lines(lineitem: DataFrame) -> DataFrame:
     """The survey table as CSV data lines (quoted id first), column ``value``."""
     frame = survey_frame(lineitem)
     first, rest = SURVEY_HEADER[0], SURVEY_HEADER[1:]
-    fields = [F.concat(F.lit('"'), F.col(first), F.lit('"'))] + [F.col(c).cast("string") for c in rest]
-    return frame.select(F.concat_ws(",", *fields).alias("value"))
+    quoted = F.concat(F.lit('"'), F.coalesce(F.col(first), F.lit("")), F.lit('"'))
+    return frame.select(_fields(quoted, *[F.col(c) for c in rest]).alias("value"))

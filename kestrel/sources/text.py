@@ -37,7 +37,7 @@ def parse_page_records(lines: DataFrame, column: str = "value", mode: str = "str
     title_len = p - (TITLE_OFFSET + 1)
     text_start = p + len(PAGE_DELIMITER)
     text_len = F.length(v) - TEXT_TAIL - (text_start - 1)
-    bad = (p == 0) | (title_len < 0) | (text_len < 0)
+    bad = F.coalesce((p == 0) | (title_len < 0) | (text_len < 0), F.lit(True))  # a NULL line is malformed
     title = v.substr(F.lit(TITLE_OFFSET + 1), title_len)
     text = v.substr(text_start, text_len)
     out = lines

@@ -162,3 +162,21 @@ def test_read_wide_csv_quote_removal(spark, tmp_path):
     path.write_text('id,a\nx"y,1\n')
     _, df = read_wide_csv(spark, str(path))
     assert rows(df.select(F.col("id"))) == [("xy",)]
+
+
+def test_null_line_is_malformed(spark):
+    df = spark.createDataFrame([(None,)], "value string")
+    assert rows(parse_page_records(df, mode="flag")) == [(None, None, True)]
+    with pytest.raises(PySparkException, match="malformed page record"):
+        parse_page_records(df).collect()
+
+
+def test_derived_lines_keep_field_positions_for_nulls(spark):
+    from kestrel.sources import derived
+
+    orders = spark.createDataFrame([(None, "2-HIGH"), (7, None)], "o_orderkey long, o_orderpriority string")
+    items = spark.createDataFrame([(None, 1, 30.0)], "l_orderkey long, l_linenumber int, l_quantity double")
+    assert [r.value for r in derived.posting_lines(orders, items).collect()] == \
+        ["1,,,,0,2-HIGH", "1,7,,,0,", "2,,,,5"]
+    got = rows(parse_postings(derived.posting_lines(orders, items), mode="lenient"))
+    assert got == [(1, None, None, None, 0, "2-HIGH"), (1, 7, None, None, 0, None), (2, None, None, None, 5, None)]
