@@ -48,7 +48,7 @@ def parse_page_records(lines: DataFrame, column: str = "value", mode: str = "str
         return out.select(*others, F.when(~bad, title).alias("title"), F.when(~bad, text).alias("text"),
                           bad.alias("malformed"))
     else:  # both columns carry the check, so a query reading either one fails on a bad line
-        msg = F.concat(F.lit("malformed page record: "), F.substring(v, 1, 80))
+        msg = F.concat(F.lit("malformed page record: "), F.coalesce(F.substring(v, 1, 80), F.lit("<null>")))
         title, text = check(title, bad, msg), check(text, bad, msg)
     return out.select(*others, title.alias("title"), text.alias("text"))
 
