@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from kestrel.operators.mentions import DEFAULT_BLOCK
 from kestrel.plans.tables import (COUNT_TERM, ETA, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS)
 
-KMEANS_STEPS = 24  # unrolled updates; the fit needs 3-4 at the driver scales, the cap is 120
+KMEANS_STEPS = 24  # unrolled updates; the fit needs 3-4 at the driver scales, the cap is 120;
+# the statements raise if the chain has not converged by then
+BLOCK = DEFAULT_BLOCK
 
 
 def _s(value: str) -> str:
@@ -107,6 +110,12 @@ def _with(ctes: Sequence[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def _converged(final: str) -> str:
+    """A condition that raises in DuckDB unless the unrolled chain has converged at ``final``."""
+    return (f"(SELECT CASE WHEN bool_and(done) THEN true "
+            f"ELSE error('k-means oracle: raise KMEANS_STEPS, not converged') END FROM {final})")
+
+
 def _summary_ctes() -> list[str]:
     final = f"c{KMEANS_STEPS}"
     ctes = kmeans_ctes() + [
@@ -128,7 +137,7 @@ def _build() -> dict[str, str]:
                           f"WHERE list_contains(string_split(text, ' '), {_s(COUNT_TERM)})")
     q["mention_postings"] = _with([POSTINGS_CTE], "SELECT term, doc_id FROM postings")
     q["mention_index"] = _with([POSTINGS_CTE], (
-        "SELECT term, doc_id - ((doc_id % 65536) + 65536) % 65536 AS block, "
+        f"SELECT term, doc_id - ((doc_id % {BLOCK}) + {BLOCK}) % {BLOCK} AS block, "
         "string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids "
         "FROM postings GROUP BY term, block"))
     q["mention_rank_index"] = _with([POSTINGS_CTE, COUNTS_CTE], "SELECT term, n FROM counts")
@@ -172,18 +181,22 @@ def _build() -> dict[str, str]:
     q["kmeans_assign"] = _with(one, "SELECT x, y, n, cluster FROM a1")
     q["kmeans_step"] = _with(one, "SELECT cluster, nx AS x, ny AS y FROM u1")
     q["kmeans_movement"] = _with(one, "SELECT mv AS movement FROM mv1")
-    q["kmeans_fit"] = _with(kmeans_ctes(), f"SELECT cluster, x, y FROM c{KMEANS_STEPS}")
+    q["kmeans_fit"] = _with(kmeans_ctes(), f"SELECT cluster, x, y FROM c{KMEANS_STEPS} "
+                                           f"WHERE {_converged(f'c{KMEANS_STEPS}')}")
     # an update i ran iff the centres it started from were not frozen yet
     steps = " UNION ALL ".join(
         f"SELECT {i} AS iteration, u.cluster, u.ox AS old_x, u.oy AS old_y, u.nx AS new_x, u.ny AS new_y, "
         f"{_dist('u.nx', 'u.ny', 'u.ox', 'u.oy')} AS distance, mv.mv AS total_distance "
-        f"FROM u{i} u CROSS JOIN mv{i} mv WHERE NOT u.done" for i in range(1, KMEANS_STEPS + 1))
+        f"FROM u{i} u CROSS JOIN mv{i} mv WHERE NOT u.done AND {_converged(f'c{KMEANS_STEPS}')}"
+        for i in range(1, KMEANS_STEPS + 1))
     q["kmeans_trace"] = _with(kmeans_ctes(), steps)
-    q["cluster_summary"] = _with(_summary_ctes(), "SELECT label, percent, size, median FROM summ")
+    q["cluster_summary"] = _with(_summary_ctes(), "SELECT label, percent, size, median FROM summ "
+                                                  f"WHERE {_converged(f'c{KMEANS_STEPS}')}")
     # Java's %-5.1f rounds the shortest decimal form of the double half-up; emulate that.
     pct = "CAST(round(CAST(CAST(percent AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DECIMAL(38, 1))"
     q["cluster_report"] = _with(_summary_ctes(), (
-        f"SELECT printf('%7d  %-17s (%-5s%%) %7d', median, label, CAST({pct} AS VARCHAR), size) AS line FROM summ"))
+        f"SELECT printf('%7d  %-17s (%-5s%%) %7d', median, label, CAST({pct} AS VARCHAR), size) AS line FROM summ "
+        f"WHERE {_converged(f'c{KMEANS_STEPS}')}"))
     q["wide_table_read"] = _with([SURVEY_CTES], (
         "SELECT tucaseid, telfs, tesex, teage, t010101, t050101, t180501, t020101, t170101 FROM sv"))
     q["time_usage_summary"] = _with([SURVEY_CTES], "SELECT * FROM summary")
