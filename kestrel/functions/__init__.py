@@ -13,6 +13,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quote_identifier(name: str) -> str:
+    """A column or view name as a backtick-quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def tokens(text: str | Column) -> Column:
     """Split on the space character only.
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions import label_at, literal_table, sort_bounded, squared_distance
+from kestrel.functions import label_at, literal_table, quote_identifier, sort_bounded, squared_distance
 
 Centre = tuple[int, int]
 
@@ -73,7 +73,7 @@ def nearest_centre(centres: Sequence[Centre], x: str = "x", y: str = "y") -> Col
     index second, which is exactly "strictly smaller distance wins, else keep the earlier index".
     Distances are DOUBLE, as in ``kestrel.functions.squared_distance``.
     """
-    px, py = f"`{x}`", f"`{y}`"
+    px, py = quote_identifier(x), quote_identifier(y)
     dist = (f"CAST({px} - c.x AS DOUBLE) * CAST({px} - c.x AS DOUBLE) + "
             f"CAST({py} - c.y AS DOUBLE) * CAST({py} - c.y AS DOUBLE)")
     return F.expr(f"array_min(transform({centres_sql(centres)}, (c, i) -> named_struct('d', {dist}, 'i', i))).i")
@@ -109,8 +109,8 @@ def centres_frame(spark: SparkSession, centres: Sequence[Centre], prefix: str =
     return literal_table(spark, rows, f"cluster int, {prefix}x int, {prefix}y int")
 
 
-def step(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
-    """One update (K2): (cluster, x, y) for all k clusters; an empty cluster keeps its centre.
+def _update(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
+    """(cluster, old_x, old_y, x, y) for all k clusters; an empty cluster keeps its centre.
 
     The new-centroid side has at most k rows (one per cluster index), so broadcasting it is
     bounded by the parameter k.
@@ -118,13 +118,18 @@ def step(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
     old = centres_frame(points.sparkSession, centres, prefix="old_")
     new = centroids(points, centres)
     return (old.join(F.broadcast(new), "cluster", "left")
-            .select("cluster", F.coalesce("x", "old_x").alias("x"), F.coalesce("y", "old_y").alias("y")))
+            .select("cluster", "old_x", "old_y",
+                    F.coalesce("x", "old_x").alias("x"), F.coalesce("y", "old_y").alias("y")))
+
+
+def step(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
+    """One update (K2): (cluster, x, y) for all k clusters; an empty cluster keeps its centre."""
+    return _update(points, centres).select("cluster", "x", "y")
 
 
 def movement_frame(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
     """Summed squared movement of one update (A16): one row, column ``movement``."""
-    old = centres_frame(points.sparkSession, centres, prefix="old_")
-    moved = step(points, centres).join(F.broadcast(old), "cluster")
+    moved = _update(points, centres)
     return moved.agg(F.sum(squared_distance(F.col("x"), F.col("y"), F.col("old_x"), F.col("old_y")))
                      .alias("movement"))
 
@@ -185,6 +190,8 @@ TRACE_SCHEMA = ("iteration int, cluster int, old_x int, old_y int, new_x int, ne
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     """Iteration trace (K4) as a DataFrame of (iterations x k) rows."""
+    if not result.trace:
+        raise ValueError("no trace: run fit(..., keep_trace=True)")
     return literal_table(spark, result.trace, TRACE_SCHEMA)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions import round_half_up, sort_bounded
+from kestrel.functions import col, quote_identifier, round_half_up, sort_bounded
 
 # Fixed values of the activity classification (column-name prefixes).
 PRIMARY_PREFIXES = ("t01", "t03", "t11", "t1801", "t1803")
@@ -69,7 +69,7 @@ def age_band(teage: Column) -> Column:
 
 def hours(columns: Sequence[str | Column], group: str) -> Column:
     """Row-wise sum of the group's minute columns, in hours."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
+    cols = [col(c) for c in columns]
     if not cols:
         raise ValueError(f"activity group {group!r} has no columns")
     return functools.reduce(operator.add, cols) / F.lit(60)
@@ -112,15 +112,11 @@ def time_usage_grouped(summary: DataFrame) -> DataFrame:
     return sort_bounded(grouped, *GROUP_KEYS)  # at most 2 x 2 x 3 groups
 
 
-def _quote(identifier: str) -> str:
-    return "`" + identifier.replace("`", "``") + "`"
-
-
 def grouped_sql_query(view_name: str) -> str:
     """The SQL text of the grouped average over a view."""
     return ("SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds, "
             "round(avg(work), 1) AS work, round(avg(other), 1) AS other "
-            f"FROM {_quote(view_name)} GROUP BY working, sex, age ORDER BY working, sex, age")
+            f"FROM {quote_identifier(view_name)} GROUP BY working, sex, age ORDER BY working, sex, age")
 
 
 def time_usage_grouped_sql(summary: DataFrame, view_name: str = "summed") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions import col, require
+from kestrel.functions import col, quote_identifier, require
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
@@ -54,7 +54,7 @@ def _finish(df: DataFrame, mode: str) -> DataFrame:
     field nullable).  Each check is part of its own column, so unread columns cost nothing."""
     cols = []
     for i, name in enumerate(df.columns):
-        c = F.col("`" + name.replace("`", "``") + "`")
+        c = F.col(quote_identifier(name))
         if i == 0:
             c = F.replace(c, F.lit('"'), F.lit(""))
         if mode == "FAILFAST":
@@ -84,6 +84,6 @@ def parse_wide_lines(lines: DataFrame, header: Sequence[str], column: str = "val
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     schema = wide_schema(header)
-    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    ddl = ", ".join(f"{quote_identifier(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv(col(column), ddl, {"mode": mode}).alias("_row"))
     return _finish(parsed.select("_row.*"), mode)

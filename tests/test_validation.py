@@ -42,3 +42,11 @@ CASES = {
 def test_invalid_arguments(spark, frames, case):
     with pytest.raises(ValueError):
         CASES[case](spark, frames)
+
+
+def test_trace_needs_keep_trace(spark, frames):
+    from kestrel.operators import kmeans as km
+
+    result = km.fit(frames[1], [(0, 0)])
+    with pytest.raises(ValueError, match="keep_trace"):
+        km.trace_frame(spark, result)
