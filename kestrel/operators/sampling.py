@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions import check
+from kestrel.functions import check, expect_rows
 
 DEFAULT_SEED = "42:"
 
@@ -29,9 +29,11 @@ def stratified_sample(df: DataFrame, per_stratum: int, n_strata: int | None = No
                       strict: bool = True) -> DataFrame:
     """``per_stratum`` rows from every value of ``key`` (M1).
 
-    With ``strict`` (and ``n_strata`` given) the result must hold exactly
-    ``per_stratum * n_strata`` rows, i.e. every expected stratum has enough rows; otherwise the
-    query fails.  The checks run on the sample itself (at most that many rows).
+    With ``strict`` and ``n_strata`` the result must hold exactly ``per_stratum * n_strata``
+    rows: every stratum gives at most ``per_stratum``, so that is "every expected stratum has
+    enough rows", and the query fails otherwise (also on an empty input).  Without
+    ``n_strata``, every stratum present must have ``per_stratum`` rows.  The checks run on the
+    sample (at most that many rows).
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
@@ -40,17 +42,13 @@ def stratified_sample(df: DataFrame, per_stratum: int, n_strata: int | None = No
               .where(F.col("_rn") <= per_stratum).drop("_rn"))
     if not strict:
         return picked
-    per_key = F.count(F.lit(1)).over(Window.partitionBy(key))
-    out = picked.withColumn(key, check(F.col(key), per_key < per_stratum,
-                                       F.concat(F.lit(f"stratum has fewer than {per_stratum} rows: "),
-                                                F.col(key).cast("string"))))
     if n_strata is not None:
         want = per_stratum * n_strata
-        total = F.count(F.lit(1)).over(Window.partitionBy())
-        out = out.withColumn(key, check(F.col(key), total != want,
-                                        F.concat(F.lit(f"sample must hold {want} rows, got "),
-                                                 total.cast("string"))))
-    return out
+        return expect_rows(picked, want, f"sample must hold {want} rows ({per_stratum} per stratum)")
+    per_key = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return picked.withColumn(key, check(F.col(key), per_key < per_stratum,
+                                        F.concat(F.lit(f"stratum has fewer than {per_stratum} rows: "),
+                                                 F.col(key).cast("string"))))
 
 
 def uniform_sample(df: DataFrame, k: int, id_col: str = "id", seed: str = DEFAULT_SEED,
@@ -59,10 +57,4 @@ def uniform_sample(df: DataFrame, k: int, id_col: str = "id", seed: str = DEFAUL
     if k <= 0:
         raise ValueError("k must be positive")
     picked = df.orderBy(sample_order(id_col, seed), F.col(id_col)).limit(k)
-    if not strict:
-        return picked
-    total = F.count(F.lit(1)).over(Window.partitionBy())
-    first = df.columns[0]
-    return picked.withColumn(first, check(F.col(first), total != k,
-                                          F.concat(F.lit(f"sample must hold {k} rows, got "),
-                                                   total.cast("string"))))
+    return expect_rows(picked, k, f"sample must hold {k} rows") if strict else picked

@@ -49,6 +49,24 @@ def test_missing_stratum_fails(vectors):
         sampling.stratified_sample(vectors, 3, n_strata=5).collect()
 
 
+def test_empty_input_fails(vectors):
+    empty = vectors.limit(0)
+    with pytest.raises(PySparkException, match="must hold"):
+        sampling.stratified_sample(empty, 3, n_strata=4).collect()
+    with pytest.raises(PySparkException, match="must hold"):
+        sampling.uniform_sample(empty, 12).collect()
+
+
+def test_check_survives_column_pruning(vectors):
+    with pytest.raises(PySparkException, match="must hold"):
+        sampling.stratified_sample(vectors, 3, n_strata=5).select("id").collect()
+
+
+def test_per_stratum_check_without_strata_count(vectors):
+    with pytest.raises(PySparkException, match="fewer than"):
+        sampling.stratified_sample(vectors, 60).collect()
+
+
 def test_uniform_too_few_rows_fails(vectors):
     with pytest.raises(PySparkException, match="must hold"):
         sampling.uniform_sample(vectors.limit(5), 12).collect()
