@@ -33,8 +33,11 @@ def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tupl
     three rankings.
 
     ``ranking`` keeps zero counts (all terms); ``ranking_from_index`` and ``ranking_combined``
-    list mentioned terms only; all three agree on every mentioned term.  Documents get a
-    numeric ``doc_id`` from their position in the input (stable for the same files).
+    list mentioned terms only; all three agree on every mentioned term.  Page records carry no
+    id, so documents get a positional ``doc_id`` (``monotonically_increasing_id``); each output
+    is consistent in itself, and ids agree across outputs while the input is split the same way
+    (same files, same parallelism).  With an id column of your own, call the operators in
+    ``kestrel.operators.mentions`` directly.
     """
     docs = read_page_records(spark, path, mode=mode).withColumn("doc_id", F.monotonically_increasing_id())
     postings = mentions.mention_postings(docs, terms)

@@ -92,13 +92,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str | None = None, slots: int | None = None) -> DataFrame:
-    """Spread an input that has fewer partitions than task slots over all slots.
+    """Spread a plain file scan that has fewer partitions than task slots over all slots.
 
     A scan yields one partition per file split; a small file stored as one row group is one
     task, which leaves every per-row expression (tokenising, parsing) on a single core.  Such an
     input is hash-repartitioned on ``key`` (round-robin without one).  An input with at least
     ``slots`` partitions, which is every large input, is returned unchanged, so no shuffle is
-    added at scale.
+    added at scale.  Meant for a scan straight from ``spark.read``: counting the partitions of a
+    plan that contains a shuffle would run that shuffle.
     """
     try:
         want = slots or df.sparkSession.sparkContext.defaultParallelism

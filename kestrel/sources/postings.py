@@ -36,8 +36,9 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
     """Parse posting lines into ``POSTING_SCHEMA`` columns.
 
     Plain comma split, no quoting.  Empty accepted/parent fields are NULL; tags is NULL when
-    the sixth field is absent or empty.  ``mode="strict"`` fails on a bad or missing number,
-    ``mode="lenient"`` yields NULL instead.
+    the sixth field is absent or empty.  ``mode="strict"`` fails on a bad or missing number in
+    any field the query reads (each check travels with its own column, so a field that is
+    pruned away is not validated); ``mode="lenient"`` yields NULL instead.
 
     Staged projections: the line is split once, each field is cast once, and the strict checks
     only read the cast results, so no parse work is repeated per row.

@@ -67,8 +67,9 @@ def read_wide_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> tup
     """Read a headed wide CSV; return (column names, DataFrame).
 
     The reader skips the header line of every file and parses numbers as DOUBLE.  FAILFAST
-    fails on an unparsable, empty or missing value (as the reference does); PERMISSIVE gives
-    NULL.
+    fails on an unparsable, empty or missing value in any column the query reads; PERMISSIVE
+    gives NULL.  Checks are lazy: Spark's CSV reader parses only the columns a query uses, so a
+    bad value in a column that is never read does not fail (the reference parses whole rows).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
