@@ -13,7 +13,8 @@ from kestrel.operators import kmeans
 from kestrel.sources.postings import parse_postings
 from kestrel.sources.text import parse_page_records
 
-SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=6, deadline=None, derandomize=True, database=None,
+                    suppress_health_check=list(HealthCheck))
 
 WORDS = ["Java", "Java,", "C++", "java", "", "Scala", "x\ty", "a\nb", "JavaScript"]
 text_st = st.lists(st.sampled_from(WORDS), max_size=8).map(" ".join)
