@@ -31,9 +31,10 @@ def stratified_sample(df: DataFrame, per_stratum: int, n_strata: int | None = No
 
     With ``strict`` and ``n_strata`` the result must hold exactly ``per_stratum * n_strata``
     rows: every stratum gives at most ``per_stratum``, so that is "every expected stratum has
-    enough rows", and the query fails otherwise (also on an empty input).  Without
-    ``n_strata``, every stratum present must have ``per_stratum`` rows.  The checks run on the
-    sample (at most that many rows).
+    enough rows", and the query fails otherwise (also on an empty input, and whatever columns
+    the consumer reads).  Without ``n_strata``, every stratum present must have ``per_stratum``
+    rows; that check travels with the ``key`` column.  The checks run on the sample (at most
+    that many rows).
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
