@@ -52,30 +52,6 @@ def label_at(values: Sequence[str], index: str | Column) -> Column:
     return F.get(string_array(values), col(index).cast("int"))
 
 
-def _ddl_fields(schema: str) -> list[tuple[str, str]]:
-    """``"a int, b decimal(10,2)"`` -> [("a", "int"), ("b", "decimal(10,2)")] (top-level commas only)."""
-    parts, depth, cur = [], 0, ""
-    for ch in schema:
-        depth += ch in "(<"
-        depth -= ch in ")>"
-        if ch == "," and depth == 0:
-            parts.append(cur)
-            cur = ""
-        else:
-            cur += ch
-    parts.append(cur)
-    fields = []
-    for part in parts:
-        part = part.strip()
-        if part.startswith("`"):
-            end = part.index("`", 1)
-            name, dtype = part[1:end], part[end + 1:]
-        else:
-            name, _, dtype = part.partition(" ")
-        fields.append((name, dtype.strip()))
-    return fields
-
-
 def _sql_number(value, dtype: str) -> str:
     """A numeric (or NULL) value as a typed SQL literal."""
     if value is None:
@@ -91,15 +67,14 @@ def _sql_number(value, dtype: str) -> str:
     return f"CAST({float(value)!r}D AS {dtype})"
 
 
-def literal_table(spark, rows: Sequence[tuple], schema: str):
+def literal_table(spark, rows: Sequence[tuple], fields: Sequence[tuple[str, str]]):
     """A small driver-held table (a parameter list, never data) built from literals.
 
-    ``schema`` is a DDL list such as ``"term string, idx int"``.  The rows become one literal
-    array of structs exploded by ``inline``: planned JVM-side with no Python-side RDD.  Rows of
-    numbers are rendered as one SQL expression (one call to the JVM); other values go through
-    ``lit``.
+    ``fields`` are (name, SQL type) pairs such as ``[("term", "string"), ("idx", "int")]``.
+    The rows become one literal array of structs exploded by ``inline``: planned JVM-side with
+    no Python-side RDD.  Rows of numbers are rendered as one SQL expression (one call to the
+    JVM); other values go through ``lit``.
     """
-    fields = _ddl_fields(schema)
     if not rows:
         raise ValueError("literal_table needs at least one row")
     numeric = all(v is None or isinstance(v, (int, float)) for row in rows for v in row)

@@ -106,7 +106,7 @@ def centroids(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
 def centres_frame(spark: SparkSession, centres: Sequence[Centre], prefix: str = "") -> DataFrame:
     """Driver-held centre list as a k-row DataFrame (cluster, x, y)."""
     rows = [(i, int(cx), int(cy)) for i, (cx, cy) in enumerate(centres)]
-    return literal_table(spark, rows, f"cluster int, {prefix}x int, {prefix}y int")
+    return literal_table(spark, rows, [("cluster", "int"), (f"{prefix}x", "int"), (f"{prefix}y", "int")])
 
 
 def _update(points: DataFrame, centres: Sequence[Centre]) -> DataFrame:
@@ -184,15 +184,15 @@ def fit(points: DataFrame, centres: Sequence[Centre], eta: float = 20.0, max_ite
             return FitResult(current, iteration, movements, trace)
 
 
-TRACE_SCHEMA = ("iteration int, cluster int, old_x int, old_y int, new_x int, new_y int, "
-                "distance double, total_distance double")
+TRACE_FIELDS = [("iteration", "int"), ("cluster", "int"), ("old_x", "int"), ("old_y", "int"),
+                ("new_x", "int"), ("new_y", "int"), ("distance", "double"), ("total_distance", "double")]
 
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     """Iteration trace (K4) as a DataFrame of (iterations x k) rows."""
     if not result.trace:
         raise ValueError("no trace: run fit(..., keep_trace=True)")
-    return literal_table(spark, result.trace, TRACE_SCHEMA)
+    return literal_table(spark, result.trace, TRACE_FIELDS)
 
 
 def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequence[str],

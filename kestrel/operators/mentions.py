@@ -115,7 +115,7 @@ def mention_rank_full(docs: DataFrame, terms: Sequence[str], id_col: str = "doc_
     """
     terms = validate_terms(terms)
     spark = docs.sparkSession
-    dim = literal_table(spark, [(t,) for t in terms], "term string")
+    dim = literal_table(spark, [(t,) for t in terms], [("term", "string")])
     counted = (mention_postings(docs, terms, id_col, text_col)
                .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     full = dim.join(counted, "term", "left").select(

@@ -34,7 +34,7 @@ CASES = {
     "no centres": lambda s, f: kmeans.assign(f[1], []),
     "movement lengths": lambda s, f: kmeans.total_movement([(0, 0)], [(0, 0), (1, 1)]),
     "empty group": lambda s, f: survey.hours([], "other"),
-    "literal rows": lambda s, f: literal_table(s, [], "a int"),
+    "literal rows": lambda s, f: literal_table(s, [], [("a", "int")]),
 }
 
 
