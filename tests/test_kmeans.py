@@ -106,3 +106,11 @@ def test_driver_fit_matches_recorded_probe(spark):
     assert model.fit.movements == [197.0, 40.0, 22.0, 8.0]
     assert model.fit.centres[:4] == [(0, 22), (0, 3), (0, 15), (50000, 4)]
     assert rows(model.summary)[0] == ("3-MEDIUM", 100.0, 532, 0)
+
+
+def test_report_percent_rounds_half_up(spark):
+    """Java's %.1f rounds the shortest decimal form half up (C's printf would give 12.2 here)."""
+    s = spark.createDataFrame([("Java", 12.25, 8, 1), ("PHP", 0.15, 3, 2)],
+                              "label string, percent double, size long, median int")
+    lines = [r[0] for r in kmeans.cluster_report(s).collect()]
+    assert "(12.3 %)" in lines[0] and "(0.2  %)" in lines[1]
