@@ -29,3 +29,20 @@ def test_recorded_counts_at_sf0_01(spark):
                 "time_usage_grouped": 12}
     got = {name: catalog.QUERIES[name](spark, SF01).count() for name in expected}
     assert got == expected
+
+
+# The query names of SURVEY §2.14; column_groups classifies column names only (no data) and is
+# tested as a function instead of being registered.
+SURVEY_QUERIES = [
+    "mention_count", "mention_postings", "mention_index", "mention_rank_index", "mention_rank",
+    "mention_rank_full", "page_record_parse", "posting_parse", "qa_pairs", "qa_grouped", "qa_high_score",
+    "tag_index", "qa_vectors", "stratified_sample", "uniform_sample", "kmeans_assign", "kmeans_step",
+    "kmeans_movement", "kmeans_fit", "kmeans_trace", "cluster_summary", "cluster_report", "wide_table_read",
+    "time_usage_summary", "time_usage_typed", "time_usage_grouped", "time_usage_grouped_sql",
+    "time_usage_grouped_typed",
+]
+
+
+def test_every_survey_query_is_registered_with_an_oracle():
+    assert sorted(queries()) == sorted(SURVEY_QUERIES)
+    assert sorted(oracle_sql()) == sorted(SURVEY_QUERIES)
