@@ -180,3 +180,19 @@ def test_derived_lines_keep_field_positions_for_nulls(spark):
         ["1,,,,0,2-HIGH", "1,7,,,0,", "2,,,,5"]
     got = rows(parse_postings(derived.posting_lines(orders, items), mode="lenient"))
     assert got == [(1, None, None, None, 0, "2-HIGH"), (1, 7, None, None, 0, None), (2, None, None, None, 5, None)]
+
+
+def test_parser_applies_to_a_stream(spark, tmp_path):
+    """The stateless parsers work unchanged on a streaming DataFrame (in-process memory sink)."""
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text("\n".join(POSTINGS[:2]) + "\n")
+    stream = spark.readStream.format("text").load(str(src))
+    q = (parse_postings(stream).writeStream.format("memory").queryName("kestrel_stream_test")
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = rows(spark.sql("SELECT * FROM kestrel_stream_test ORDER BY id"))
+    assert got == [(1, 10, 12, None, 3, "Java"), (2, 11, None, 10, -4, None)]
