@@ -1,24 +1,56 @@
-"""Driver queries of the operators, with the SQL that checks them where SQL can express them."""
+"""Driver queries of the operators, with the SQL that checks them where SQL can express them.
+
+Each query applies its operator with production parameters to its whole table and derives the
+columns of its result contract from the operator's output.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.llm import quality as _quality
+from kestrel.llm import langid, mixing, pii, quality, simhash
 from kestrel.llm.words import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).documents().select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE_KINDS))
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality.quality(documents(spark, sf_dir)).select(
+    return quality.quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_mix_sources": op1_mix_sources,
+    "op4_pii": op4_pii,
+    "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
