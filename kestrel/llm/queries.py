@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import langid, mixing, pii, quality, simhash
@@ -25,8 +25,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-              for kind in pii.BASE_KINDS]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
 
