@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import langid, mixing, pii, quality, simhash
+from kestrel.llm import decontam, langid, licenses, mixing, pages, pii, quality, simhash, substrings, suffixes
 from kestrel.llm.words import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE_KINDS))
@@ -34,6 +42,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(documents(spark, sf_dir),
+                                  spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,15 +57,31 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_bytes(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_license_scan": op2_license_scan,
+    "op3_html_text": op3_html_text,
     "op4_pii": op4_pii,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
 }
 
