@@ -138,21 +138,19 @@ def require(value: Column, message: Column | str, when_missing: Column | None =
     return F.coalesce(value, err)
 
 
-def expect_rows(df, want: int, message: str):
+def exactly(df, want: int, message: str):
     """``df`` unchanged, but the query fails unless ``df`` has exactly ``want`` rows.
 
-    A global count always yields one row, also for an empty ``df``; that verdict row is unioned
-    with ``df`` and filtered out again by a predicate that raises on a wrong count.  The filter
-    keeps the check alive whatever columns the consumer reads.  Meant for bounded results
-    (samples): ``df`` is evaluated for the rows and once more for the count.
+    At most ``want`` + 1 rows are gathered into one array, whose size is tested; the rows are then
+    unfolded again.  ``df`` is evaluated once, and the test holds whatever columns the consumer
+    reads and for an empty ``df``.  Meant for bounded results (samples).
     """
-    keep = "__kestrel_keep"
-    n = F.col("__kestrel_n")
-    verdict = df.agg(F.count(F.lit(1)).alias("__kestrel_n")).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields],
-        F.when(n != want, F.raise_error(F.concat(F.lit(message + ", got "), n.cast("string"))).cast("boolean"))
-        .otherwise(F.lit(False)).alias(keep))
-    return df.withColumn(keep, F.lit(True)).unionByName(verdict).where(F.col(keep)).drop(keep)
+    rows = df.limit(want + 1).agg(F.collect_list(F.struct(*[F.col(quote_identifier(c)) for c in df.columns]))
+                                  .alias("__kestrel_rows"))
+    got = F.col("__kestrel_rows")
+    more = F.when(F.size(got) > want, F.lit("more")).otherwise(F.size(got).cast("string"))
+    sized = F.when(F.size(got) == want, got).otherwise(F.raise_error(F.concat(F.lit(message + ", got "), more)))
+    return rows.select(F.inline(sized))
 
 
 def check(value: Column, bad: Column, message: Column | str) -> Column:

@@ -15,6 +15,7 @@ plan does not grow with the iteration count.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -40,6 +41,7 @@ class FitResult:
     centres: list[Centre]
     iterations: int
     movements: list[float]
+    converged: bool = True     # False: stopped at the iteration cap
     trace: list[tuple] = field(default_factory=list)
 
 
@@ -181,7 +183,7 @@ def fit(points: DataFrame, centres: Sequence[Centre], eta: float = 20.0, max_ite
                 trace.append((iteration, i, a[0], a[1], b[0], b[1], distance(a, b), moved))
         current = new
         if converged(moved, eta) or iteration >= max_iterations:
-            return FitResult(current, iteration, movements, trace)
+            return FitResult(current, iteration, movements, converged(moved, eta), trace)
 
 
 TRACE_FIELDS = [("iteration", "int"), ("cluster", "int"), ("old_x", "int"), ("old_y", "int"),
@@ -192,7 +194,11 @@ def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     """Iteration trace (K4) as a DataFrame of (iterations x k) rows."""
     if not result.trace:
         raise ValueError("no trace: run fit(..., keep_trace=True)")
-    return literal_table(spark, result.trace, TRACE_FIELDS)
+    # one JSON literal: planning does not grow with an expression per row
+    names = [name for name, _ in TRACE_FIELDS]
+    rows = json.dumps([dict(zip(names, row)) for row in result.trace])
+    schema = "array<struct<" + ", ".join(f"{name}:{kind}" for name, kind in TRACE_FIELDS) + ">>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), schema)))
 
 
 def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequence[str],

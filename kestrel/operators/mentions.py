@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import col, literal_table, mentions, position_in, sort_bounded, string_array, tokens
+from kestrel.functions import (col, literal_table, mentions, position_in, quote_identifier, sort_bounded,
+                               string_array, tokens)
 
 DEFAULT_BLOCK = 1 << 16
 
@@ -69,14 +70,16 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
             .agg(F.sort_array(F.collect_list(id_col)).alias(f"{id_col}s")))
 
 
-def index_articles(postings: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def index_articles(docs: DataFrame, terms: Sequence[str], text_col: str = "text") -> DataFrame:
     """The index with whole documents (A2 as the reference returns it), exploded: one row per
     (term, document) with every document column.
 
-    A join of the postings back to the documents on the id: no unbounded group is formed, and a
-    document occurs at most len(terms) times, so no key is hot.
+    One narrow projection of the documents: no id is needed, nothing is joined or shuffled, and
+    documents that share an id stay apart.
     """
-    return postings.join(docs, id_col, "inner")
+    terms = validate_terms(terms)
+    matched = F.array_intersect(tokens(text_col), string_array(terms))
+    return docs.select(F.explode(matched).alias("term"), *[col(quote_identifier(c)) for c in docs.columns])
 
 
 def _rank_order(df: DataFrame, terms: Sequence[str], reverse_ties: bool = False) -> DataFrame:

@@ -46,9 +46,13 @@ def qa_pairs(postings: DataFrame, strict: bool = False) -> DataFrame:
     return q.join(a, "id", "inner").select("id", "tags", "answer_id", "score")
 
 
-def question_stats(postings: DataFrame, strict: bool = False) -> DataFrame:
+def question_stats(postings: DataFrame, strict: bool = False, langs: Sequence[str] | None = None) -> DataFrame:
     """Per answered question, in one pass over all postings.
 
+    With ``langs`` the tag is replaced by its position there (``lang_index``, smallest of a
+    repeated question): all aggregated values are numbers then, so the aggregation is hash-based,
+    while a smallest text is planned with a sort of the postings.
+
     Every posting is keyed by the question it belongs to (its own id for a question, its
     parent for an answer) and aggregated once: (id, q_n, tags, a_n, max_score).  Only ids with
     at least one question row and one answer survive, which is exactly the set the inner
@@ -66,7 +70,8 @@ def question_stats(postings: DataFrame, strict: bool = False) -> DataFrame:
         # rows without a key (other types, parentless answers) form the NULL group; it has no
         # question with an id, so the HAVING test below drops it without a pushed-down filter
         F.count_if((pt == QUESTION) & F.col("id").isNotNull()).alias("q_n"),
-        F.min(F.when(pt == QUESTION, F.col("tags"))).alias("tags"),
+        F.min(F.when(pt == QUESTION, F.col("tags") if langs is None else position_in(list(langs), "tags")))
+        .alias("tags" if langs is None else "lang_index"),
         F.count_if(pt == ANSWER).alias("a_n"),
         F.max(F.when(pt == ANSWER, F.col("score"))).alias("max_score"))
     return stats.where((F.col("q_n") > 0) & (F.col("a_n") > 0))
@@ -88,6 +93,24 @@ def qa_high_score(postings: DataFrame, strict: bool = False) -> DataFrame:
         "id", "tags", F.greatest(F.lit(0), F.col("max_score")).alias("high_score"))
 
 
+def qa_indexed_score(postings: DataFrame, langs: Sequence[str], strict: bool = False) -> DataFrame:
+    """``qa_high_score`` with the tag's position in ``langs``: (id, lang_index, high_score)."""
+    return question_stats(postings, strict, langs).select(
+        "id", "lang_index", F.greatest(F.lit(0), F.col("max_score")).alias("high_score"))
+
+
+def left_out(postings: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """What a lenient model leaves out, one row: (answers_without_parent, questions_without_language)."""
+    orphans = postings.agg(F.count_if((F.col("posting_type") == ANSWER) & F.col("parent_id").isNull())
+                           .alias("answers_without_parent"))
+    unknown = qa_indexed_score(postings, langs).agg(
+        F.count_if(F.col("lang_index").isNull()).alias("questions_without_language"))
+    return orphans.select("answers_without_parent", F.lit(0).cast("long").alias("questions_without_language")).unionByName(
+        unknown.select(F.lit(0).cast("long").alias("answers_without_parent"), "questions_without_language")).agg(
+        F.sum("answers_without_parent").alias("answers_without_parent"),
+        F.sum("questions_without_language").alias("questions_without_language"))
+
+
 def tag_index(df: DataFrame, langs: Sequence[str], tag_col: str = "tags") -> DataFrame:
     """Add ``lang_index``: 0-based position of the tag in ``langs``, NULL when absent."""
     return df.withColumn("lang_index", position_in(list(langs), tag_col))
@@ -97,12 +120,14 @@ def qa_vectors(scored: DataFrame, langs: Sequence[str], spread: int = 50000,
                strict: bool = False) -> DataFrame:
     """k-means vectors (P5): (id, x = lang_index * spread, y = high_score), one per question.
 
+    ``scored`` has the tag (``qa_high_score``) or already its index (``qa_indexed_score``).
+
     A missing or unknown tag has no language: ``strict=True`` fails on it (as the reference
     does), the default drops the question.
     """
     if spread <= 0:
         raise ValueError("spread must be positive: the language is recovered as x div spread")
-    idx = position_in(list(langs), "tags")
+    idx = F.col("lang_index") if "lang_index" in scored.columns else position_in(list(langs), "tags")
     out = scored
     if strict:
         idx = require(idx, F.concat(F.lit("question without a known language: "), F.col("id").cast("string")))

@@ -3,10 +3,12 @@
 Rows are ranked by ``md5(seed || id)`` with the id as tie-break, so the sample depends only on
 the data and the seed, never on partitioning or arrival order.
 
-Scale notes: the per-stratum ``row_number() <= n`` filter is planned as a partial
-``WindowGroupLimit`` before the exchange, so each map task ships at most n rows per stratum and
-a stratum holding a third of all rows never lands whole in one task.  The uniform sample is a
-``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge).
+Scale notes: rows are ranked twice, first within (stratum, id bucket), then the n best of every
+bucket within the stratum.  A stratum holding a third of all rows is therefore spread over
+``buckets`` tasks and at most n * buckets of its rows meet in one, for any n; small n are cut
+before the exchange too (Spark's partial ``WindowGroupLimit``).  The uniform sample is a
+``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge).  The size checks work on the
+sample itself: the input is read once.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions import check, expect_rows
+from kestrel.functions import check, exactly
 
 DEFAULT_SEED = "42:"
+BUCKETS = 16  # first-level groups per stratum
 
 
 def sample_order(id_col: str = "id", seed: str = DEFAULT_SEED) -> Column:
@@ -26,7 +29,7 @@ def sample_order(id_col: str = "id", seed: str = DEFAULT_SEED) -> Column:
 
 def stratified_sample(df: DataFrame, per_stratum: int, n_strata: int | None = None,
                       key: str = "x", id_col: str = "id", seed: str = DEFAULT_SEED,
-                      strict: bool = True) -> DataFrame:
+                      strict: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """``per_stratum`` rows from every value of ``key`` (M1).
 
     With ``strict`` and ``n_strata`` the result must hold exactly ``per_stratum * n_strata``
@@ -38,14 +41,17 @@ def stratified_sample(df: DataFrame, per_stratum: int, n_strata: int | None = No
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
-    w = Window.partitionBy(key).orderBy(sample_order(id_col, seed), F.col(id_col))
-    picked = (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") <= per_stratum).drop("_rn"))
+    order = (sample_order(id_col, seed), F.col(id_col))
+    bucket = F.pmod(F.xxhash64(id_col), F.lit(buckets))
+    picked = df
+    for part in ((F.col(key), bucket), (F.col(key),)):
+        picked = (picked.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+                  .where(F.col("_rn") <= per_stratum).drop("_rn"))
     if not strict:
         return picked
     if n_strata is not None:
         want = per_stratum * n_strata
-        return expect_rows(picked, want, f"sample must hold {want} rows ({per_stratum} per stratum)")
+        return exactly(picked, want, f"sample must hold {want} rows ({per_stratum} per stratum)")
     per_key = F.count(F.lit(1)).over(Window.partitionBy(key))
     return picked.withColumn(key, check(F.col(key), per_key < per_stratum,
                                         F.concat(F.lit(f"stratum has fewer than {per_stratum} rows: "),
@@ -58,4 +64,4 @@ def uniform_sample(df: DataFrame, k: int, id_col: str = "id", seed: str = DEFAUL
     if k <= 0:
         raise ValueError("k must be positive")
     picked = df.orderBy(sample_order(id_col, seed), F.col(id_col)).limit(k)
-    return expect_rows(picked, k, f"sample must hold {k} rows") if strict else picked
+    return exactly(picked, k, f"sample must hold {k} rows") if strict else picked

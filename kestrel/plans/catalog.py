@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kestrel.operators import kmeans, mentions, qa, sampling, survey
 from kestrel.plans import flows
 from kestrel.plans.tables import COUNT_TERM, K, PARAMS, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS, table
-from kestrel.session import reliable_checkpoint
+from kestrel.session import release_checkpoint, reliable_checkpoint
 from kestrel.sources import derived
 from kestrel.sources.postings import parse_postings
 from kestrel.sources.text import parse_page_records
@@ -36,6 +36,10 @@ def mention_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.mention_postings(_documents(spark, sf_dir), TERMS)
 
 
+def mention_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.index_articles(_documents(spark, sf_dir), TERMS)
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.mention_index(mention_postings(spark, sf_dir))
 
@@ -89,7 +93,7 @@ def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.qa_vectors(qa_high_score(spark, sf_dir), PRIORITIES, SPREAD)
+    return qa.qa_vectors(qa.qa_indexed_score(posting_parse(spark, sf_dir), PRIORITIES), PRIORITIES, SPREAD)
 
 
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,25 +107,26 @@ def uniform_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- k-means ----------------------------------------------------------------------------------
 
 def _model_inputs(spark: SparkSession, sf_dir: str):
-    """Vectors and weighted points in reliable checkpoints, plus the initial centres."""
+    """Weighted points in a reliable checkpoint, plus the initial centres."""
     vectors = reliable_checkpoint(qa_vectors(spark, sf_dir))
     centres = flows.initial_centres(vectors, len(PRIORITIES), K, SEED, SPREAD)
     points = reliable_checkpoint(kmeans.weighted_points(vectors))
-    return vectors, points, centres
+    release_checkpoint(vectors)
+    return points, centres
 
 
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, points, centres = _model_inputs(spark, sf_dir)
+    points, centres = _model_inputs(spark, sf_dir)
     return kmeans.assign(points, centres)
 
 
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, points, centres = _model_inputs(spark, sf_dir)
+    points, centres = _model_inputs(spark, sf_dir)
     return kmeans.step(points, centres)
 
 
 def kmeans_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, points, centres = _model_inputs(spark, sf_dir)
+    points, centres = _model_inputs(spark, sf_dir)
     return kmeans.movement_frame(points, centres)
 
 
@@ -153,7 +158,7 @@ def wide_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem", heavy_rows=False)
+    lineitem = table(spark, sf_dir, "lineitem")
     return survey.summary_from_frame(derived.survey_frame(lineitem))
 
 
@@ -177,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "mention_count": mention_count,
     "mention_postings": mention_postings,
     "mention_index": mention_index,
+    "mention_articles": mention_articles,
     "mention_rank_index": mention_rank_index,
     "mention_rank": mention_rank,
     "mention_rank_full": mention_rank_full,

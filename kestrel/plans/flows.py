@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import kmeans, mentions, qa, sampling, survey
-from kestrel.session import reliable_checkpoint
+from kestrel.session import release_checkpoint, reliable_checkpoint
 from kestrel.sources.postings import read_postings
 from kestrel.sources.text import read_page_records
 from kestrel.sources.wide_csv import read_wide_csv
@@ -46,7 +46,7 @@ def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tupl
         "documents": docs.select("doc_id", "title"),
         "postings": postings,
         "index": index,
-        "index_articles": mentions.index_articles(postings, docs),
+        "index_articles": mentions.index_articles(docs, terms),
         "ranking": mentions.mention_rank_full(docs, terms),
         "ranking_from_index": mentions.rank_from_index(index, terms),
         "ranking_combined": mentions.mention_rank(docs, terms),
@@ -55,12 +55,16 @@ def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tupl
 
 @dataclass
 class ClusterModel:
-    vectors: DataFrame          # (id, x, y), reliably checkpointed
     points: DataFrame           # weighted distinct points (x, y, n), reliably checkpointed
     initial: list[kmeans.Centre]
     fit: kmeans.FitResult
     summary: DataFrame          # label, percent, size, median
     report: DataFrame           # formatted lines
+    left_out: DataFrame | None = None  # lenient models: what they leave out, one row of counts
+
+    def close(self) -> None:
+        """Delete the checkpointed points; the summary and report cannot be read any more."""
+        release_checkpoint(self.points)
 
 
 # Below this spread the languages are too close for per-language sampling to matter, and the
@@ -91,21 +95,34 @@ def initial_centres(vectors: DataFrame, n_langs: int, k: int, seed: str,
 
 
 def cluster_model(postings: DataFrame, langs: Sequence[str], params: kmeans.KMeansParams = kmeans.KMeansParams(),
-                  seed: str = sampling.DEFAULT_SEED, keep_trace: bool = False) -> ClusterModel:
-    """Score, vectorise, sample, fit and summarise parsed postings."""
+                  seed: str = sampling.DEFAULT_SEED, keep_trace: bool = False, strict: bool = True) -> ClusterModel:
+    """Score, vectorise, sample, fit and summarise parsed postings.
+
+    ``strict`` fails on an answer without a parent and on an answered question whose tag is
+    missing or not in ``langs``, as the reference does.  Otherwise those are left out and
+    ``left_out`` counts them.  The vectors' checkpoint is deleted once the initial centres and the
+    weighted points exist.
+    """
     langs = list(langs)
-    vectors = reliable_checkpoint(qa.qa_vectors(qa.qa_high_score(postings), langs, params.spread))
+    vectors = reliable_checkpoint(qa.qa_vectors(qa.qa_indexed_score(postings, langs, strict), langs, params.spread,
+                                                strict))
     initial = initial_centres(vectors, len(langs), params.k, seed, params.spread)
     points = reliable_checkpoint(kmeans.weighted_points(vectors))
+    release_checkpoint(vectors)
     result = kmeans.fit(points, initial, params.eta, params.max_iterations, keep_trace=keep_trace)
     summary = kmeans.cluster_summary(points, result.centres, langs, params.spread)
-    return ClusterModel(vectors, points, initial, result, summary, kmeans.cluster_report(summary))
+    return ClusterModel(points, initial, result, summary, kmeans.cluster_report(summary),
+                        None if strict else qa.left_out(postings, langs))
 
 
 def cluster_postings(spark: SparkSession, path: str, langs: Sequence[str] = tuple(REFERENCE_LANGS),
                      params: kmeans.KMeansParams = kmeans.KMeansParams(), mode: str = "strict") -> ClusterModel:
-    """Posting CSV file(s) -> fitted model, cluster summary and report."""
-    return cluster_model(read_postings(spark, path, mode=mode), langs, params)
+    """Posting CSV file(s) -> fitted model, cluster summary and report.
+
+    ``mode="strict"`` holds for the parser and for the scoring; ``"lenient"`` leaves out what
+    cannot be used and reports how much that was.
+    """
+    return cluster_model(read_postings(spark, path, mode=mode), langs, params, strict=mode == "strict")
 
 
 def time_usage_by_life_period(spark: SparkSession, path: str, mode: str = "FAILFAST") -> dict[str, DataFrame]:

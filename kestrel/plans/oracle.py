@@ -136,6 +136,8 @@ def _build() -> dict[str, str]:
     q["mention_count"] = (f"SELECT count(*) AS n FROM documents "
                           f"WHERE list_contains(string_split(text, ' '), {_s(COUNT_TERM)})")
     q["mention_postings"] = _with([POSTINGS_CTE], "SELECT term, doc_id FROM postings")
+    q["mention_articles"] = _with([POSTINGS_CTE], (
+        "SELECT p.term, p.doc_id, d.text FROM postings p JOIN documents d ON d.doc_id = p.doc_id"))
     q["mention_index"] = _with([POSTINGS_CTE], (
         f"SELECT term, doc_id - ((doc_id % {BLOCK}) + {BLOCK}) % {BLOCK} AS block, "
         "string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids "

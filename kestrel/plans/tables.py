@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.operators.kmeans import KMeansParams
-from kestrel.session import spread
 
 # Parameters chosen for the driver data.  The documents carry none of the reference's language
 # names, so the mention queries use common words; "C++" and "Scala" match nothing and exercise
@@ -26,12 +25,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Key used to spread a table whose scan has fewer splits than task slots.  Measured at sf0.1 on
-# local[8]: building and parsing 750k posting/CSV lines in one task is slower than shuffling the
-# numeric columns first; tokenising 10k documents (or 2.5k pages) in one task is faster than
-# shuffling their text, so those are read as they are.
-SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
-
 # Declared read schemas (the columns the queries use): no schema-inference job per read.
 SCHEMAS = {
     "documents": "doc_id bigint, text string",
@@ -42,15 +35,9 @@ SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy_rows: bool = True) -> DataFrame:
-    """Read one driver table.
-
-    ``heavy_rows``: the query does real per-row work (tokenising, building or parsing lines),
-    so a scan with fewer splits than task slots is spread first (``kestrel.session.spread``).
-    Light numeric projections skip it: for them the extra exchange costs more than it saves.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name}")
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, SPREAD_KEYS[name]) if heavy_rows and name in SPREAD_KEYS else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

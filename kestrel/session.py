@@ -91,21 +91,16 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, key: str | None = None, slots: int | None = None) -> DataFrame:
-    """Spread a plain file scan that has fewer partitions than task slots over all slots.
-
-    A scan yields one partition per file split; a small file stored as one row group is one
-    task, which leaves every per-row expression (tokenising, parsing) on a single core.  Such an
-    input is hash-repartitioned on ``key`` (round-robin without one).  An input with at least
-    ``slots`` partitions, which is every large input, is returned unchanged, so no shuffle is
-    added at scale.  Meant for a scan straight from ``spark.read``: counting the partitions of a
-    plan that contains a shuffle would run that shuffle.
+def release_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a frame made by ``reliable_checkpoint``; it cannot be read any more.
+
+    Needs no session flag.  Frames without checkpoint files are left alone.
     """
-    try:
-        want = slots or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no partition count without running a job
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
+    plan = df._jdf.queryExecution().logical()
+    if plan.nodeName() != "LogicalRDD":
+        return
+    found = plan.rdd().getCheckpointFile()
+    if found.isDefined():
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(found.get())
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

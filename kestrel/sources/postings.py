@@ -36,9 +36,9 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
     """Parse posting lines into ``POSTING_SCHEMA`` columns.
 
     Plain comma split, no quoting.  Empty accepted/parent fields are NULL; tags is NULL when
-    the sixth field is absent or empty.  ``mode="strict"`` fails on a bad or missing number in
-    any field the query reads (each check travels with its own column, so a field that is
-    pruned away is not validated); ``mode="lenient"`` yields NULL instead.
+    the sixth field is absent or empty.  ``mode="strict"`` fails on a bad or missing number in any
+    field, whatever columns the query reads (the rows are unfolded from an array that holds the
+    checks, which pruning cannot remove); ``mode="lenient"`` yields NULL instead.
 
     Staged projections: the line is split once, each field is cast once, and the strict checks
     only read the cast results, so no parse work is repeated per row.
@@ -61,7 +61,7 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
         msg = F.concat(F.lit(f"bad posting field {name}: '"), F.coalesce(raw_i, F.lit("<missing>")), F.lit("'"))
         # an optional field may be empty (NULL text); a required one must parse
         out.append(require(value, msg, raw_i.isNotNull() if optional else None).alias(name))
-    return typed.select(*out, "tags")
+    return typed.select(F.inline(F.array(F.struct(*out, "tags"))))
 
 
 def read_postings(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:

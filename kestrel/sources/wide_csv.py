@@ -34,49 +34,65 @@ def split_header(line: str) -> list[str]:
 
     An unquoted header splits exactly as a plain comma split does.
     """
-    names = next(csv.reader([line]), [])
+    return named(next(csv.reader([line]), []))
+
+
+def named(fields: Sequence[str]) -> list[str]:
+    """``fields`` without the empty names at the end."""
+    names = list(fields)
     while names and names[-1] == "":
         names.pop()
     return names
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """First line of the (first) file: one small job that reads a single line."""
+    """Fields of the first line of the (first) file: one small job that reads a single line."""
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise ValueError(f"no header line in {path}")
-    return split_header(first[0][0])
+    return next(csv.reader([first[0][0]]), [])
+
 
+def _finish(rows: DataFrame, names: Sequence[str], mode: str) -> DataFrame:
+    """Rows held as structs in column ``_row`` -> columns.
 
-def _finish(df: DataFrame, mode: str) -> DataFrame:
-    """All double quotes removed from the first field only (S6); in FAILFAST every field must
-    hold a value (the declared-non-null contract, kept as a check since readers make every
-    field nullable).  Each check is part of its own column, so unread columns cost nothing."""
-    cols = []
-    for i, name in enumerate(df.columns):
-        c = F.col(quote_identifier(name))
-        if i == 0:
-            c = F.replace(c, F.lit('"'), F.lit(""))
-        if mode == "FAILFAST":
-            c = require(c, f"empty value in column {name}")
-        cols.append(c.alias(name))
-    return df.select(*cols)
+    All double quotes are removed from the first field only, and an empty first field is an empty
+    id.  In FAILFAST every number must be there (the declared-non-null contract, kept as a check
+    since readers make every field nullable).  The rows are unfolded from an array that holds the
+    checks, so whole rows are validated whatever columns the consumer reads, and parsed once.
+    """
+    def fields(row):
+        out = [F.replace(F.coalesce(row[names[0]], F.lit("")), F.lit('"'), F.lit("")).alias(names[0])]
+        for name in names[1:]:
+            c = row[name]
+            out.append((require(c, f"empty value in column {name}") if mode == "FAILFAST" else c).alias(name))
+        return F.struct(*out)
+
+    return rows.select(F.inline(F.transform(F.array("_row"), fields)))
 
 
 def read_wide_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> tuple[list[str], DataFrame]:
     """Read a headed wide CSV; return (column names, DataFrame).
 
-    The reader skips the header line of every file and parses numbers as DOUBLE.  FAILFAST
-    fails on an unparsable, empty or missing value in any column the query reads; PERMISSIVE
-    gives NULL.  Checks are lazy: Spark's CSV reader parses only the columns a query uses, so a
-    bad value in a column that is never read does not fail (the reference parses whole rows).
+    The reader skips the header line of every file and parses numbers as DOUBLE.  The header of
+    every file is compared with that of the first one; a file with other names or another order
+    fails the query in either mode.  FAILFAST also fails on a row with an unparsable, empty or
+    missing number, or with too few or too many fields, whatever columns the query reads;
+    PERMISSIVE gives NULL.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    header = read_header(spark, path)
-    df = (spark.read.schema(wide_schema(header)).option("header", True)
-          .option("enforceSchema", True).option("mode", mode).csv(path))
-    return header, _finish(df, mode)
+    first = read_header(spark, path)
+    header = named(first)
+    schema = wide_schema(header)
+    # Columns without a name at the end of the header are read under that (empty) name, so that
+    # Spark's comparison of the headers holds for them too, and dropped.
+    for _ in first[len(header):]:
+        schema = schema.add("", "string")
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+          .option("columnPruning", False).option("mode", mode).csv(path)).toDF(*[f"_c{i}" for i in range(len(first))])
+    row = F.struct(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(header)])
+    return header, _finish(df.select(row.alias("_row")), header, mode)
 
 
 def parse_wide_lines(lines: DataFrame, header: Sequence[str], column: str = "value",
@@ -87,4 +103,4 @@ def parse_wide_lines(lines: DataFrame, header: Sequence[str], column: str = "val
     schema = wide_schema(header)
     ddl = ", ".join(f"{quote_identifier(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv(col(column), ddl, {"mode": mode}).alias("_row"))
-    return _finish(parsed.select("_row.*"), mode)
+    return _finish(parsed, schema.fieldNames(), mode)

@@ -53,3 +53,28 @@ def test_short_stratum_fails_initial_centres(spark):
     vectors = spark.createDataFrame([(1, 0, 5), (2, 0, 6), (3, 50000, 7)], "id long, x int, y int")
     with pytest.raises(RuntimeError, match="too few"):
         flows.initial_centres(vectors, n_langs=2, k=4, seed="42:")
+
+
+@pytest.mark.parametrize("line,message", [
+    ("1,50,,,0,Cobol", "without a known language"), ("1,50,,,0,", "without a known language"),
+    ("2,60,,,4", "answer without parent")])
+def test_strict_flow_fails_where_a_lenient_one_counts(spark, tmp_path, line, message):
+    from pyspark.errors import PySparkException
+
+    path = tmp_path / "postings.csv"
+    path.write_text("\n".join([*LINES, line, "2,61,,50,4"] if line.startswith("1") else [*LINES, line]) + "\n")
+    params = KMeansParams(spread=50000, k=2)
+    with pytest.raises(PySparkException, match=message):
+        flows.cluster_postings(spark, str(path), ["Java", "PHP"], params)
+    model = flows.cluster_postings(spark, str(path), ["Java", "PHP"], params, mode="lenient")
+    counts = model.left_out.first()
+    assert counts["answers_without_parent"] + counts["questions_without_language"] >= 1
+    model.close()
+
+
+def test_fit_tells_convergence_from_the_cap(spark):
+    from kestrel.operators import kmeans
+
+    points = spark.createDataFrame([(0, 0, 1), (0, 100, 1), (0, 40, 1)], "x int, y int, n long")
+    assert kmeans.fit(points, [(0, 0), (0, 1)]).converged
+    assert not kmeans.fit(points, [(0, 0), (0, 1)], max_iterations=1).converged

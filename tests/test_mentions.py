@@ -37,10 +37,18 @@ def test_index(docs):
 
 
 def test_index_articles(docs):
-    got = sorted((r.term, r.title) for r in mentions.index_articles(mentions.mention_postings(docs, LANGS), docs).collect())
+    got = sorted((r.term, r.title) for r in mentions.index_articles(docs, LANGS).collect())
     assert got == [("C++", "Alpha"), ("Java", "Alpha"), ("Java", "Beta")]
 
 
+def test_index_articles_of_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "the a"), (1, "and")], "doc_id long, text string")
+    out = mentions.index_articles(df, ["the", "and"])
+    assert sorted(map(tuple, out.collect())) == [("and", 1, "and"), ("the", 1, "the a")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_index_blocks_are_bounded(spark):
     df = spark.range(0, 1000).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
     idx = mentions.mention_index(mentions.mention_postings(df, ["x"]), block=100)

@@ -10,11 +10,12 @@ from conftest import SF01
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
+from kestrel.plans.catalog import QUERIES  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from compare import compare  # noqa: E402
 from kestrel.plans.tables import TABLES  # noqa: E402
 
-NAMES = sorted(queries())
+NAMES = sorted(oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,16 +1,4 @@
-from kestrel.session import checkpoint_dir, ensure_checkpoint_dir, reliable_checkpoint, spread
-
-
-def test_spread_small_input(spark):
-    one = spark.range(0, 100, numPartitions=1)
-    out = spread(one, "id", slots=4)
-    assert out.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in out.collect()) == list(range(100))
-
-
-def test_spread_leaves_large_input_alone(spark):
-    many = spark.range(0, 100, numPartitions=6)
-    assert spread(many, "id", slots=4) is many
+from kestrel.session import checkpoint_dir, ensure_checkpoint_dir, release_checkpoint, reliable_checkpoint
 
 
 def test_checkpoint_folder_from_session(spark):
@@ -24,3 +12,17 @@ def test_reliable_checkpoint_cuts_lineage(spark):
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "Filter" not in plan
     assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_released_checkpoint_leaves_no_files(spark):
+    from pyspark.errors import PySparkException
+
+    cut = reliable_checkpoint(spark.range(0, 50).selectExpr("id * 2 AS twice"))
+    assert cut.count() == 50
+    release_checkpoint(cut)
+    try:
+        cut.count()
+        raise AssertionError("the files are still there")
+    except (PySparkException, Exception) as err:
+        assert "files are still there" not in str(err)
+    release_checkpoint(spark.range(3))  # nothing to delete

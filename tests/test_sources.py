@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from kestrel.sources.postings import POSTING_SCHEMA, parse_postings, read_postings
 from kestrel.sources.text import parse_page_records, read_page_records
-from kestrel.sources.wide_csv import read_wide_csv, split_header, wide_schema
+from kestrel.sources.wide_csv import parse_wide_lines, read_wide_csv, split_header, wide_schema
 
 PAGES = [
     "<page><title> Alpha</title><text>Java and C++ Java  </text></page>",
@@ -152,11 +152,57 @@ def test_read_wide_csv_empty_value(spark, tmp_path):
     _, strict = read_wide_csv(spark, str(path))
     with pytest.raises(PySparkException, match="empty value in column a"):
         strict.collect()
-    assert sorted(rows(strict.select("id", "b")), key=str) == [("1", 3.0), ("2", 4.0)]  # unread column: no check
+    for unread in (strict.select("id", "b"), strict.select("id"), strict.groupBy().count()):  # whole rows count
+        with pytest.raises(PySparkException, match="empty value in column a"):
+            unread.collect()
     _, lenient = read_wide_csv(spark, str(path), mode="PERMISSIVE")
     assert sorted(rows(lenient), key=str) == [("1", 2.0, 3.0), ("2", None, 4.0)]
 
 
+def test_read_wide_csv_headers_of_all_files(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text("id,telfs,tesex\n1,2,3\n")
+    (tmp_path / "w" / "b.csv").write_text("id,tesex,telfs\n4,5,6\n")
+    for mode in ("FAILFAST", "PERMISSIVE"):
+        _, df = read_wide_csv(spark, str(tmp_path / "w"), mode=mode)
+        with pytest.raises(Exception, match="header|FAILED_READ_FILE"):  # Spark reports it as a failed file read
+            df.select("telfs").collect()
+
+
+def test_read_wide_csv_nameless_trailing_column(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,a,\n1,2,\n")
+    header, df = read_wide_csv(spark, str(path))
+    assert header == ["id", "a"] and rows(df) == [("1", 2.0)]
+
+
+def test_read_wide_csv_empty_id_is_kept(spark, tmp_path):
+    path = tmp_path / "i.csv"
+    path.write_text("id,a\n,1\n")
+    _, df = read_wide_csv(spark, str(path))
+    assert rows(df) == [("", 1.0)]
+    lines = spark.createDataFrame([(",1",)], "value string")
+    assert rows(parse_wide_lines(lines, ["id", "a"])) == [("", 1.0)]
+
+
+@pytest.mark.parametrize("line", ["1,2,bad", "1,2", "1,2,3,4"])
+def test_failfast_validates_whole_rows(spark, tmp_path, line):
+    path = tmp_path / "bad.csv"
+    path.write_text(f"id,telfs,tesex\n{line}\n")
+    _, df = read_wide_csv(spark, str(path))
+    lines = spark.createDataFrame([(line,)], "value string")
+    for frame in (df, parse_wide_lines(lines, ["id", "telfs", "tesex"])):
+        with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE|empty value"):
+            frame.select("telfs").collect()
+
+
+def test_strict_postings_validate_whole_rows(spark):
+    lines = spark.createDataFrame([("1,5,xx,,0,Java",)], "value string")
+    for frame in (parse_postings(lines).select("id"), parse_postings(lines).groupBy().count()):
+        with pytest.raises(PySparkException, match="bad posting field accepted_answer"):
+            frame.collect()
+
+
 def test_read_wide_csv_quote_removal(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text('id,a\nx"y,1\n')
