@@ -80,7 +80,7 @@ def test_window_group_limit_prunes_before_shuffle(spark):
 
 def test_large_samples_spread_a_stratum(spark):
     """Above Spark's group-limit threshold no task gets a whole stratum, and the rows are the same."""
-    df = spark.range(0, 40000, numPartitions=4).select(F.col("id"), F.lit(0).alias("x"))
+    df = spark.range(0, 40000, numPartitions=4).select(F.col("id"), (F.col("id") % 1).alias("x"))
     picked = sampling.stratified_sample(df, 1500, n_strata=1)
     want = df.orderBy(sampling.sample_order(), "id").limit(1500)
     assert as_set(picked) == as_set(want)
