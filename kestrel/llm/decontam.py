@@ -155,7 +155,7 @@ class Index:
             coverage = sum(t[0] for t in tiles) / len(words)
             if coverage >= self.threshold:
                 out.append((self.ids[item], round(coverage, 6)))
-        return sorted(out, key=lambda x: (-x[1], x[0]))
+        return sorted(out, key=lambda x: (-x[1], x[0] is None, x[0] or 0))
 
 
 def build_index(items: list[tuple[int, str]], min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
@@ -214,8 +214,10 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """(doc_id, contaminated, item_id, coverage, n_items, items): the best covered item first."""
-    order = F.array_sort("_hits", lambda a, b: F.when(a["coverage"] != b["coverage"], F.when(
-        a["coverage"] > b["coverage"], -1).otherwise(1)).otherwise(F.when(a["item_id"] < b["item_id"], -1).otherwise(1)))
+    # best coverage first, then the smallest id (NULL last)
+    ranked = F.array_sort(F.transform("_hits", lambda h: F.struct(
+        (-h["coverage"]).alias("c"), h["item_id"].isNull().alias("n"), h["item_id"].alias("i"), h.alias("hit"))))
+    order = F.transform(ranked, lambda r: r["hit"])
     found = with_hits(docs.select("doc_id", "text"), benchmark, **params).select("doc_id", order.alias("hits"))
     return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"),
                         F.get("hits", F.lit(0))["item_id"].alias("item_id"),

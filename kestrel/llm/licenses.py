@@ -131,7 +131,7 @@ def scan(docs: DataFrame, library: list[Template] | None = None, n_base: int = l
             return F.concat(F.array(none), p)
         return F.concat(F.slice(p, F.lit(by + 1), F.size(p)), F.array_repeat(none, by))
 
-    most = max(t.votes for t in library)
+    most = max(len(t.rare) for t in library)  # votes that one place can get
     lined = F.arrays_zip(moved(-1).alias("before"), *[moved(k).alias(f"p{k}") for k in range(max(most, 2))])
     first = F.filter(lined, lambda x: x["p0"].isNotNull() & ~x["p0"].eqNullSafe(x["before"]))
 

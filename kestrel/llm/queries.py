@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import decontam, langid, licenses, mixing, pages, pii, quality, simhash, substrings, suffixes
+from kestrel.llm.oracle import ORACLE_SQL  # noqa: F401
 from kestrel.llm.words import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,5 +85,3 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
 }
-
-ORACLE_SQL: dict[str, str] = {}
