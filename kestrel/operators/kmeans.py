@@ -19,7 +19,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import label_at, literal_table, quote_identifier, sort_bounded, squared_distance
@@ -201,6 +201,35 @@ def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(rows), schema)))
 
 
+MEDIAN_BUCKET = 1024  # scores per first-level bucket of the median
+
+
+def cluster_medians(assigned: DataFrame) -> DataFrame:
+    """(cluster, med): exact median of ``y`` weighted by ``_w``, mean of the two middle values.
+
+    Scores are counted per bucket first; the buckets that hold the middle ranks are then looked
+    into alone, so no task gets all scores of a cluster.
+    """
+    bucket = F.floor(F.col("y") / MEDIAN_BUCKET)
+    per_y = assigned.groupBy("cluster", "y").agg(F.sum("_w").alias("w"))
+    per_bucket = per_y.groupBy("cluster", bucket.alias("b")).agg(F.sum("w").alias("w"))
+    low_rank, high_rank = F.expr("(n - 1) div 2"), F.expr("n div 2")
+    upto = F.sum("w").over(Window.partitionBy("cluster").orderBy("b"))
+    middle = per_bucket.withColumns({"n": F.sum("w").over(Window.partitionBy("cluster")), "before": upto - F.col("w"),
+                                     "after": upto})
+    middle = middle.where((high_rank >= F.col("before")) & (low_rank < F.col("after"))).select(
+        "cluster", "b", "n", "before")
+    inside = per_y.withColumn("b", bucket).join(middle, ["cluster", "b"])
+    reach = F.col("before") + F.sum("w").over(Window.partitionBy("cluster", "b").orderBy("y"))
+    inside = inside.withColumns({"reach": reach, "start": reach - F.col("w")})
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("reach")), F.col("y")))
+
+    return inside.groupBy("cluster").agg(at(low_rank).alias("lo"), at(high_rank).alias("hi")).select(
+        "cluster", ((F.col("lo") + F.col("hi")) / 2).alias("med"))
+
+
 def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequence[str],
                     spread: int = 50000) -> DataFrame:
     """Per non-empty cluster (K5): dominant language, its share in percent, size, median score.
@@ -219,9 +248,8 @@ def cluster_summary(points: DataFrame, centres: Sequence[Centre], langs: Sequenc
         F.max_by("x", F.struct(F.col("c"), -F.col("x"))).alias("lx"),
         F.max("c").alias("mc"))
     stats = a.groupBy("cluster").agg(
-        F.sum("_w").alias("size"),
-        F.percentile(F.col("y"), F.lit(0.5), F.col("_w")).alias("med"))
-    out = dominant.join(stats, "cluster").select(
+        F.sum("_w").alias("size"))
+    out = dominant.join(stats, "cluster").join(cluster_medians(a), "cluster").select(
         "cluster",
         label_at(list(langs), F.expr(f"lx div {int(spread)}")).alias("label"),
         (F.col("mc").cast("double") / F.col("size").cast("double") * F.lit(100.0)).alias("percent"),

@@ -114,3 +114,25 @@ def test_report_percent_rounds_half_up(spark):
                               "label string, percent double, size long, median int")
     lines = [r[0] for r in kmeans.cluster_report(s).collect()]
     assert "(12.3 %)" in lines[0] and "(0.2  %)" in lines[1]
+
+
+def test_cluster_medians_are_exact(spark):
+    import random
+    import statistics
+
+    rnd = random.Random(4)
+    rows = [(c, rnd.choice([rnd.randint(-5000, 5000), 7]), rnd.randint(1, 3)) for c in range(4) for _ in range(30 + c)]
+    df = spark.createDataFrame(rows, "cluster int, y int, _w long")
+    got = {r.cluster: r.med for r in kmeans.cluster_medians(df).collect()}
+    for c in range(4):
+        assert got[c] == statistics.median([y for k, y, w in rows if k == c for _ in range(w)])
+
+
+def test_long_trace_is_planned_quickly(spark):
+    import time
+
+    fit = kmeans.FitResult([], 120, [], trace=[(i, j, 1, 2, 3, 4, 0.5, 1.5) for i in range(120) for j in range(45)])
+    kmeans.trace_frame(spark, fit).count()
+    start = time.perf_counter()
+    assert kmeans.trace_frame(spark, fit).count() == 5400
+    assert time.perf_counter() - start < 3
