@@ -5,7 +5,6 @@ Layout:
     kestrel.functions  column-expression helpers shared by the operators
     kestrel.operators  DataFrame -> DataFrame operators (mentions, qa, sampling, kmeans, survey)
     kestrel.plans      end-to-end flows and the driver query catalogue with its SQL oracles
-    kestrel.streaming  (the reference has no streaming; see its docstring)
 
 Every operator takes DataFrames (and plain Python parameters) and returns a DataFrame; the
 session is the caller's.  Nothing runs a Python UDF: all row work is built-in Spark expressions.
