@@ -146,7 +146,8 @@ def _draws(sources: DataFrame, slots_per_shard: int, bins: int, seed: int) -> Da
     width = f"((all_slots + {bins} - 1) div {bins})"
     ranges = sources.where("slots > 0").select("skey", "low", (F.col("low") + F.col("slots")).alias("high"), F.explode(
         F.expr(f"sequence(low div {width}, (low + slots - 1) div {width})")).alias("bin"))
-    hit = slots.join(ranges, "bin").where("u >= low and u < high")
+    # Spark takes unfolded arrays for as small as their source and would broadcast the slots
+    hit = slots.hint("merge").join(ranges, "bin").where("u >= low and u < high")
     return hit.groupBy("shard", "skey").agg(F.count(F.lit(1)).alias("drawn"))
 
 
@@ -163,17 +164,19 @@ def slot_plan(sources: DataFrame, block: int = BLOCK, slots_per_shard: int = SLO
     plan = plan.withColumns({
         "over": F.coalesce(F.sum(F.greatest(F.col("got") - F.col("slots"), F.lit(0))).over(lower), F.lit(0)),
         "under": F.coalesce(F.sum(F.greatest(F.col("slots") - F.col("got"), F.lit(0))).over(lower), F.lit(0))})
-    own = drawn.join(plan.select("skey", "slots", "over"), "skey")
-    stay = own.where("first < slots").select("shard", "skey", F.explode(F.expr(
+    facts = ["skey", "blocks", "passes", "last", "tail", "cut"]
+    # All that a slot needs is joined to the (shard, source) rows; they are dealt out by shard
+    # before they unfold into slots, so a hot source's slots do not meet in one task.
+    own = drawn.join(plan.select(*facts, "slots", "over"), "skey").repartition("shard")
+    stay = own.where("first < slots").select("shard", *facts, F.explode(F.expr(
         "sequence(first, least(first + drawn, slots) - 1)")).alias("i"))
     # places beyond a source's plan, numbered, go to the missing slots of other sources
     free = own.where("first + drawn > slots").select("shard", F.explode(F.expr(
         "sequence(over + greatest(first, slots) - slots, over + first + drawn - 1 - slots)")).alias("x"))
-    lacking = plan.where("got < slots").select("skey", "got", "under", F.explode(F.expr(
+    lacking = plan.where("got < slots").select(*facts, "got", "under", F.explode(F.expr(
         "sequence(under, under + slots - got - 1)")).alias("x"))
-    moved = free.join(lacking, "x").select("shard", "skey", F.expr("got + x - under").alias("i"))
-    slots = stay.unionByName(moved).join(
-        sources.select("skey", "blocks", "passes", "last", "tail", "cut"), "skey")
+    moved = free.hint("merge").join(lacking, "x").select("shard", *facts, F.expr("got + x - under").alias("i"))
+    slots = stay.unionByName(moved)
     slots = slots.withColumns({"pass": F.expr("i div blocks"), "j": F.expr("i % blocks")})
     slots = slots.withColumn("block", block_of_slot(F.col("j"), F.col("blocks"), _pass_key(F.col("pass"), seed)))
     holds = F.when(F.col("block") == F.col("blocks") - 1, F.col("last")).otherwise(F.lit(block))
@@ -219,7 +222,7 @@ def document_counts(mixed: Mix) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken): words the mix takes of each document."""
     part = F.greatest(F.least(F.col("end"), F.coalesce("take", F.lit(0))) - F.col("begin"), F.lit(0))
     # partial sums per document before its blocks meet
-    taken = mixed.pieces.join(mixed.slots, ["skey", "block"], "left").groupBy(
+    taken = mixed.pieces.join(mixed.slots.hint("merge"), ["skey", "block"], "left").groupBy(
         "skey", "bucket", "turn", "doc_id", "source", "size").agg(F.sum(F.coalesce(part, F.lit(0))).alias("taken"))
     return taken.join(mixed.sources.select("skey", "source_size", "target"), "skey").select(
         "doc_id", "source", "size", "source_size", "target", "taken")
@@ -232,7 +235,7 @@ def slot_texts(mixed: Mix, docs: DataFrame) -> DataFrame:
     parts = mixed.pieces.where("block is not null").join(texts, "key").select(
         "skey", "source", "block", "begin", F.slice(
             "w", (F.col("word") + 1).cast("int"), (F.col("end") - F.col("begin")).cast("int")).alias("w"))
-    filled = mixed.slots.join(parts, ["skey", "block"]).where("begin < take").withColumn(
+    filled = mixed.slots.hint("merge").join(parts, ["skey", "block"]).where("begin < take").withColumn(
         "w", F.slice("w", F.lit(1), (F.col("take") - F.col("begin")).cast("int")))
     # at most ``block`` words per group
     return filled.groupBy("shard", "source", "i", "block").agg(F.array_join(F.flatten(F.transform(
