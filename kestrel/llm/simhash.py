@@ -199,7 +199,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", shingle: int = SHIN
     member = fps.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first")
     least = member.groupBy("root").agg(F.min("first").alias("least"))
     merged = member.join(least, "root").select("fp", "least")
-    named = fps.join(merged, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # Written before the join with all rows: with a plain exchange on either side Spark can split
+    # the rows of a fingerprint that very many copies share.
+    named = reliable_checkpoint(
+        fps.join(merged, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")))
     return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
