@@ -27,11 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.sampling import stratified_sample
+
 ORDER = 3
 SAMPLE_PER_LANG = 400
+SAMPLE_BUCKETS = 64  # first-level groups of the sample's ranking, per language
 SLICE = 1 << 22  # bytes scored at once
 UNDETERMINED = "und"
 
@@ -192,11 +195,11 @@ def train(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     """The model of the documents that may be learned from (see the module's sample bound)."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                           & F.col("text").rlike("\\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit(10)), "doc_id")
-    # only ids travel to the ranking; Spark keeps the first rows per task before the exchange
-    picked = (labelled.select("lang", "doc_id").withColumn("_rank", F.row_number().over(order))
-              .where(F.col("_rank") <= sample_per_lang).select("lang", "doc_id").distinct())
-    sample = labelled.select("lang", "doc_id", "text").join(picked, ["lang", "doc_id"], "left_semi")
+    # Only ids travel to the ranking, in two levels: no task gets all documents of a language.
+    picked = stratified_sample(labelled.select("lang", "doc_id"), sample_per_lang, key="lang", id_col="doc_id",
+                               seed="ppm:", strict=False, buckets=SAMPLE_BUCKETS).distinct()
+    # bounded by ``sample_per_lang`` rows per language: no text is shuffled to find the sample
+    sample = labelled.select("lang", "doc_id", "text").join(F.broadcast(picked), ["lang", "doc_id"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
