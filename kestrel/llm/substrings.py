@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.repeats import Prefix, anchors, maybe_repeated, mixed, repeated_cells
-from kestrel.llm.words import row_key, words
+from kestrel.llm.words import words
 
 WINDOW = 50  # words
 GRAM = 20    # words of the grams that anchor a window
+PIECE = 1 << 21  # bytes of a text hashed at once
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -43,7 +44,15 @@ def word_hashes(text: str | None) -> np.ndarray:
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8)))
     if not len(edge):
         return np.zeros(0, np.uint64)
-    return Prefix(data.astype(np.uint64) + np.uint64(1), 0).spans(edge[::2], edge[1::2])
+    starts, ends = edge[::2], edge[1::2]
+    out, at = [], 0
+    while at < len(starts):  # whole words, about PIECE bytes of them
+        upto = max(int(np.searchsorted(ends, starts[at] + PIECE)), at + 1)
+        base = starts[at]
+        part = Prefix(data[base:ends[upto - 1]].astype(np.uint64) + np.uint64(1), 0)
+        out.append(part.spans(starts[at:upto] - base, ends[at:upto] - base))
+        at = upto
+    return np.concatenate(out)
 
 
 def window_anchors(hashes: np.ndarray, prefix: Prefix | None = None) -> np.ndarray:
@@ -115,13 +124,14 @@ def repeated_windows(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(pos.astype(np.int32)))], names)
 
     return docs.select("doc", "key", "text").mapInArrow(
-        run, "h1 long, h2 long, doc long, key binary, pos int, lost array<int>")
+        run, "h1 long, h2 long, doc long, key long, pos int, lost array<int>")
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """(key, starts, ends): merged word ranges to remove, one row per document that loses any.
+    """(doc, key, starts, ends): merged word ranges to remove, one row per document that loses any.
 
-    ``docs``: columns doc (order of the document), key and text.
+    ``docs``: columns doc (order of the document), key (hash of the text) and text.  Rows equal in
+    doc and key are copies with one doc_id, which lose the same words.
     """
     bitmap, = repeated_cells(docs, document_anchors)
     # At most one rival per batch (and rows of one doc_id) and window: a group is as large as the
@@ -130,8 +140,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     late = repeated_windows(docs, bitmap).withColumn("least", F.min(F.when(F.col("lost").isNull(), F.col("doc"))).over(
         group)).where("lost is not null or doc > least")
     # bounded by the words of one document
-    return late.groupBy("key").agg(F.flatten(F.collect_list(F.coalesce("lost", F.array("pos")))).alias("pos")).select(
-        "key", F.array_sort(F.array_distinct("pos")).alias("pos")).select("key", *_merged(F.col("pos")))
+    return late.groupBy("doc", "key").agg(F.flatten(F.collect_list(F.coalesce("lost", F.array("pos")))).alias("pos")).select(
+        "doc", "key", F.array_sort(F.array_distinct("pos")).alias("pos")).select("doc", "key", *_merged(F.col("pos")))
 
 
 def _merged(pos: Column) -> list[Column]:
@@ -147,9 +157,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, starts, ends) per row; kept: what is left, words joined
     by a space; starts and ends: the removed word ranges."""
     keyed = docs.select("doc_id", "text", _order(F.col("doc_id")).alias("doc"),
-                        row_key(F.col("doc_id"), F.col("text")).alias("key"))
+                        F.xxhash64("text").alias("key"))
     spans = removed_spans(keyed.select("doc", "key", "text"))
-    joined = keyed.select("doc_id", "key", "text").join(spans, "key", "left")
+    joined = keyed.join(spans, ["doc", "key"], "left")
     w = words(F.col("text"))
     rows = joined.select("doc_id", "starts", "ends", w.alias("w"))
     none = F.array().cast("array<int>")
