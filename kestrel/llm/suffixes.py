@@ -17,7 +17,7 @@ Scale: one shuffle of suspicious segments; texts meet their removals in one join
 document.  An anchor that the sketch counts ``HOT`` times or more (a passage in very many
 documents) would make a large group: its windows are keyed by their own hash instead, so that a
 group holds one row per batch of equal windows.  Memory is bounded by ``PACK`` bytes of segments
-and one such group.
+one such group, and arrays for ``PIECE`` bytes of a text.
 
 Defined cases: NULL text counts as empty (0 bytes); equal rows are separate documents, so their
 windows repeat; a NULL or repeated doc_id is no special case; an empty table gives an empty
@@ -40,32 +40,46 @@ from kestrel.llm.words import row_key
 WINDOW = 200   # bytes
 GRAM = 32      # bytes
 HOT = 2000     # occurrences of one anchor
-PACK = 1 << 20  # bytes sorted at once
+PIECE = 1 << 21  # windows of a text hashed at once
+PACK = 1 << 18  # bytes sorted at once
+FIRST_BYTES = 7  # compared before the first doubling
 
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling; a suffix stops at its segment's end, ties by position.
 
-    ``ends``: the end of its segment for every position.
+    ``ends``: the end of its segment for every position.  Only suffixes that are neither told apart
+    nor used up are sorted again.
     """
     n = len(text)
     place = np.arange(n)
-    rank = text.astype(np.int64) + 1
-    width, order = 1, None
-    longest = int((ends - place).max())
+    left = ends - place
+    key = np.zeros(n, np.int64)  # the first bytes as one number, 0 beyond the end
+    padded = np.concatenate((text.astype(np.int64) + 1, np.zeros(FIRST_BYTES, np.int64)))
+    for k in range(FIRST_BYTES):
+        key = key * 257 + np.where(left > k, padded[k:k + n], 0)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.concatenate(([True], key[1:] != key[:-1]))
+    rank = np.empty(n, np.int64)  # the row where its group of equal prefixes begins
+    rank[order] = np.flatnonzero(first)[np.cumsum(first) - 1]
+    rows, width = np.arange(n), FIRST_BYTES
     while True:
-        other = place + width
-        inside = other < ends
-        second = np.where(inside, rank[np.minimum(other, n - 1)], 0)
-        key = rank * (int(second.max()) + 1) + second
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.concatenate(([1], (np.diff(ordered) != 0).astype(np.int64)))
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
+        own = order[rows]
+        group = rank[own]
+        same = group[1:] == group[:-1]
+        open_row = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        open_row &= left[own] >= width  # shorter ones are equal to their ends
+        rows, own, group = rows[open_row], own[open_row], group[open_row]
+        if not len(rows):
+            return np.argsort(rank * n + place)  # what is still equal goes by position
+        key = group * (n + 1) + np.where(left[own] > width, rank[np.minimum(own + width, n - 1)] + 1, 0)
+        turn = np.argsort(key)
+        own, key, group = own[turn], key[turn], group[turn]
+        order[rows] = own
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[own] = rows[np.flatnonzero(first)[np.cumsum(first) - 1]]
         width *= 2
-        if width >= longest or int(rank[order[-1]]) == n:
-            return order
 
 
 def bounded_prefixes(text: np.ndarray, begins: np.ndarray, ends: np.ndarray, limit: int) -> tuple[
@@ -114,8 +128,7 @@ def bounded_prefixes(text: np.ndarray, begins: np.ndarray, ends: np.ndarray, lim
         start = np.repeat(fresh, sizes)
         lead = rows[(previous[rows] < start) & (target[rows] >= 0)]
         found = target[lead]
-        found = found[lcp[found] == limit]
-        found = np.unique(found)
+        found = found[lcp[found] == limit]  # all different, as each row leads to another one
         if length + 1 < limit:
             lcp[found] = length + 1
         fresh = found
@@ -145,12 +158,17 @@ def _symbols(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
 
 
+def _pieces(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """(offset, bytes) of overlapping parts that hold every window once."""
+    for at in range(0, len(data) - WINDOW + 1, PIECE):
+        yield at, data[at:at + PIECE + WINDOW - 1]
+
+
 def document_anchors(texts: list[str]) -> np.ndarray:
-    """The anchor keys of every text, once per anchoring place."""
+    """The anchor keys of every text, once per anchoring place (twice where two pieces share it)."""
     found = [np.zeros(0, np.uint64)]
     for text in texts:
-        data = _bytes(text)
-        if len(data) >= WINDOW:
+        for _, data in _pieces(_bytes(text)):
             grams = Prefix(_symbols(data), 0).runs(GRAM)
             found.append(grams[np.unique(anchors(grams, WINDOW - GRAM + 1))])
     return np.concatenate(found)
@@ -174,11 +192,9 @@ def suspicious_segments(docs: DataFrame, twice: np.ndarray, often: np.ndarray) -
         for batch in batches:
             parts: list[tuple[np.ndarray, ...]] = []
             texts: list[bytes] = []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                data = _bytes(text)
-                texts.append(data)
-                if len(data) < WINDOW:
-                    continue
+            for text in batch.column(1).to_pylist():
+                texts.append(_bytes(text))
+            for i, at, data in ((i, at, data) for i, t in enumerate(texts) for at, data in _pieces(t)):
                 symbols = _symbols(data)
                 one = Prefix(symbols, 0)
                 grams = one.runs(GRAM)
@@ -198,7 +214,7 @@ def suspicious_segments(docs: DataFrame, twice: np.ndarray, often: np.ndarray) -
                 end = np.concatenate((last[~large], each + WINDOW))
                 s1, s2 = one.spans(start, end), Prefix(mixed(symbols), 1).spans(start, end)
                 parts.append((np.concatenate((keys[~large], s1[len(start) - len(each):])), s1, s2,
-                              np.full(len(start), i), start, end))
+                              np.full(len(start), i), start + at, end + at))
             if not parts:
                 continue
             k, s1, s2, row, start, end = (np.concatenate(x) for x in zip(*parts))

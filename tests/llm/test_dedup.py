@@ -74,6 +74,13 @@ def planted(seed=3):
     return docs
 
 
+def test_word_hashes_of_pieces(monkeypatch):
+    text = " ".join(["a", "bb", "é" * 40, "日本", "x" * 300] * 30) + " "
+    whole = substrings.word_hashes(text).tolist()
+    monkeypatch.setattr(substrings, "PIECE", 64)
+    assert substrings.word_hashes(text).tolist() == whole and len(whole) == 150 and len(set(whole)) == 5
+
+
 def test_words_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -95,6 +102,7 @@ def test_bytes_against_brute_force(spark, monkeypatch):
     assert got_bytes(frame) == brute_bytes(rows)
     monkeypatch.setattr(suffixes, "HOT", 3)     # many anchors take the way of very common ones
     monkeypatch.setattr(suffixes, "PACK", 500)  # and many packs are sorted
+    monkeypatch.setattr(suffixes, "PIECE", 150)  # and texts go piece by piece
     assert got_bytes(frame) == brute_bytes(rows)
 
 
