@@ -178,6 +178,15 @@ def test_quality_keeps_the_good_ones(spark):
     assert not any(r.kept for r in quality.quality(edge_frame(spark)).where("base_failed").collect())
 
 
+def test_quality_copies_do_not_move_the_references(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang")
+    junk = " ".join(f"x{i} | #{i * 7} & ZZ{i * i}" for i in range(60))
+    copies = spark.range(docs.count() // 2).selectExpr("-1 - id as doc_id", f"'{junk}' as text", "'en' as lang")
+    alone = {r.doc_id for r in quality.quality_filter(docs).collect()}
+    assert 0 < len(alone) < docs.count()
+    assert {r.doc_id for r in quality.quality_filter(docs.union(copies)).collect()} == alone
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
 
