@@ -6,7 +6,10 @@ smoothed along the page with a Gaussian kernel and split into two clusters by a
 page regions (the nearest article, main, section, division, cell or body) that hold mostly content
 lines are the article.  Every line of a chosen region is kept, short ones too, except what sits
 in elements or under names that mark menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments.
+and reader comments.  A name marks if it consists of words of ``MARKS`` and plain words only.  It
+marks neither articles nor main parts, nor what holds all of these, nor what holds most of the
+page's text outside links (comments and what stands beside an article may); where a mark turns out
+to be wrong, the page is parsed a second time without it.
 
 The work is map-only, one page at a time, so memory is bounded by the largest page.  Defined
 cases: NULL or empty html, and a page without text, give an empty text; unclosed and stray tags
@@ -41,26 +44,52 @@ MARKS = frozenset("ad ads advert advertisement adverts advertising banner breadc
                   "related replies respond search share sharing sidebar signup social sponsor sponsored subscribe "
                   "toolbar widget".split())
 HEADERS = frozenset(["header", "pageheader", "siteheader", "topbar"])  # article headers stay
+READERS = frozenset(["comment", "comments", "disqus", "replies", "respond"])
+# Words that may stand beside those of MARKS in a name, and beside those of HEADERS.
+PLAIN = frozenset("area article bar block blog bottom box btn button buttons center col column container content "
+                  "entry form global group icons inner item items left link links list local main media outer page "
+                  "panel policy post posts primary right secondary section site slot story stories thread top "
+                  "unit web wrap wrapper".split())
+PLAIN_HEADERS = frozenset("bar block container global inner main page site top web wrap wrapper".split())
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SIGMA = 1.0     # of the smoothing, in lines
 REACH = 2       # lines on either side
-MAJORITY = 0.5  # share of a region's characters that must be in content lines
+MAJORITY = 0.5  # share of a region's characters that must be in content lines, or of a page's that a mark may drop
+
+
+def _marks(value: str, inside: bool) -> tuple[bool, bool]:
+    """Whether a class, id or role marks other than article text, and whether by readers."""
+    marked = readers = False
+    for name in value.split():
+        words = {w.lower() for w in NAME_PARTS.findall(name) if not w.isdigit()} | {name.lower()} & (MARKS | HEADERS)
+        if name.lower() in words:
+            words = {name.lower()}
+        if words & MARKS and words <= MARKS | PLAIN or (
+                not inside and words & HEADERS and words <= HEADERS | MARKS | PLAIN_HEADERS):
+            marked, readers = True, readers or bool(words & READERS)
+    return marked, readers
 
 
 class _Lines(HTMLParser):
     """Collects lines as [text parts, characters, tags, region]."""
 
-    def __init__(self) -> None:
+    def __init__(self, ignored: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, skipped, region, inside an article
+        # tag, skipped, region, inside an article or main, skipped whatever the marks, mark around, inside a link,
+        # inside an article
+        self.open: list[tuple[str, bool, int, bool, bool, int, bool, bool]] = []
+        self.ignored = ignored  # marks that mark nothing
+        # Of each mark, 0 for the page: mark around it, whether by readers or beside the articles; characters
+        # outside links, all of them and those in an article or main, and the outermost articles and main parts.
+        self.around, self.beside, self.held, self.prose, self.articles = [0], [False], [0], [0], [0]
         self.regions = 0
         self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.tags = 0
 
-    def _top(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def _top(self) -> tuple[bool, int, bool, bool, int, bool, bool]:
+        return self.open[-1][1:] if self.open else (False, 0, False, False, 0, False, False)
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -68,23 +97,43 @@ class _Lines(HTMLParser):
             self.lines.append((text, max(self.tags, 1), self._top()[1]))
         self.parts, self.tags = [], 0
 
-    def _marked(self, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+    def _hidden(self, attrs: list[tuple[str, str | None]]) -> bool:
         for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                words = {w.lower() for w in NAME_PARTS.findall(value)}
-                if words & MARKS or not inside and words & HEADERS:
-                    return True
-            elif name == "hidden" or name == "aria-hidden" and value == "true":
+            if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 return True
         return False
 
+    def _mark(self, attrs: list[tuple[str, str | None]], inside: bool, mark: int) -> int:
+        """The number of a new mark inside ``mark`` if a name marks the element, else ``mark``."""
+        marked = readers = False
+        for name, value in attrs:
+            if name in ("class", "id", "role") and value:
+                found = _marks(value, inside)
+                marked, readers = marked or found[0], readers or found[1]
+        if not marked:
+            return mark
+        for of, value in ((self.around, mark), (self.beside, readers or not inside), (self.held, 0), (self.prose, 0),
+                          (self.articles, 0)):
+            of.append(value)
+        return len(self.around) - 1
+
+    def wrong_marks(self) -> frozenset[int]:
+        """Marks around all articles and main parts, or around most of the text."""
+        held, prose, articles = list(self.held), list(self.prose), list(self.articles)
+        for m in range(len(held) - 1, 0, -1):
+            for of in (held, prose, articles):
+                of[self.around[m]] += of[m]
+        return frozenset(
+            m for m in range(1, len(held)) if articles[m] and articles[m] == articles[0]
+            or held[m] > MAJORITY * held[0] and not (self.beside[m] and prose[0] > prose[m]))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._flush()
             self._close_implied(tag)
-        skipped, region, inside = self._top()
+        skipped, region, inside, hard, mark, linked, article = self._top()
         if not skipped:
             self.tags += 1
         if tag in VOID:
@@ -93,11 +142,19 @@ class _Lines(HTMLParser):
             return
         if tag in ("html", "body"):  # their names style the page, they do not mark a part of it
             attrs = []
-        skipped = skipped or tag in SKIPPED or tag == "header" and not inside or self._marked(attrs, inside)
+        hard = hard or tag in SKIPPED or tag == "header" and not inside or self._hidden(attrs)
+        top = tag == "main" or tag == "article" and not article
+        if not hard and not top:
+            around, mark = mark, self._mark(attrs, inside, mark)
+            skipped = skipped or mark != around and mark not in self.ignored
+        skipped = skipped or hard
+        if tag in ("article", "main"):
+            self.articles[mark] += not hard and not inside
         if tag in ("article", "main") or tag in REGIONS and not inside:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, skipped, region, inside or tag in ("article", "main")))
+        self.open.append((tag, skipped, region, inside or tag in ("article", "main"), hard, mark,
+                          linked or tag == "a", article or tag == "article"))
 
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; items, rows and cells end their like."""
@@ -130,8 +187,13 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
-        if not self._top()[0]:
+        skipped, _, inside, hard, mark, linked, _ = self._top()
+        if not skipped:
             self.parts.append(data)
+        if not hard and not linked:
+            size = len("".join(data.split()))
+            self.held[mark] += size
+            self.prose[mark] += size if inside else 0
 
 
 def smooth(values: list[float], sigma: float = SIGMA, reach: int = REACH) -> list[float]:
@@ -160,13 +222,21 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    parser = _Lines()
+def _parsed(html: str, ignored: frozenset[int] = frozenset()) -> _Lines:
+    parser = _Lines(ignored)
     parser.feed(html)
     parser.close()
     parser._flush()
+    return parser
+
+
+def main_text(html: str | None) -> str:
+    if not html:
+        return ""
+    parser = _parsed(html)
+    wrong = parser.wrong_marks()
+    if wrong:
+        parser = _parsed(html, wrong)
     lines = parser.lines
     if not lines:
         return ""

@@ -79,6 +79,20 @@ def test_page_parts():
     assert pages.main_text("<article>" + "<div>" * 3000 + "deep" + "<p>x" * 2000) == "deep" + " x" * 2000
 
 
+def test_page_names_that_do_not_mark():
+    body = "<h1>Title</h1><p>A paragraph of the article that is long enough to be read as content.</p><p>End.</p>"
+    want = "Title A paragraph of the article that is long enough to be read as content. End."
+    for start, end in (("<div class='content has-sidebar'>", "</div>"), ("<main class='no-sidebar'>", "</main>"),
+                       ("<main class='sidebar'>", "</main>"), ("<div id='page' class='layout-sidebar'>", "</div>"),
+                       ("<div class='sidebar'><article>", "</article></div>"), ("<div class='widget'>", "</div>"),
+                       ("<article class='post category-social tag-search'>", "</article>")):
+        page = f"<body>{start}{body}{end}<div class='site-footer'>All rights reserved</div></body>"
+        assert pages.main_text(page) == want, start
+    talk = "<article class='comment'><p>" + "A reader writes much more than the author did. " * 9 + "</p></article>"
+    for name in ("comments", "comments-area", "post-comments"):
+        assert pages.main_text(f"<main>{body}<section class='{name}'>{talk}</section></main>") == want
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (1, None, None, "a"), (2, "u", "", None), (None, "u", "<p>x</p>", "b")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
