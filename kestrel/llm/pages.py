@@ -13,7 +13,7 @@ to be wrong, the page is parsed a second time without it.
 
 The work is map-only, one page at a time, so memory is bounded by the largest page.  Defined
 cases: NULL or empty html, and a page without text, give an empty text; unclosed and stray tags
-are closed as browsers do; white space of any kind counts; repeated rows give equal results; an
+are closed as browsers do; an open head ends at what cannot stand in it; white space of any kind counts; repeated rows give equal results; an
 empty table gives an empty result; extra columns are ignored.
 """
 
@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # HTML elements by their part in a page.
-SKIPPED = frozenset("head script style noscript template nav footer aside form button select textarea option iframe "
+SKIPPED = frozenset("head title script style noscript template nav footer aside form button select textarea option iframe "
                     "svg canvas object menu dialog audio video map math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary "
                    "table tbody td tfoot th thead tr ul".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
 REGIONS = frozenset("article main section div td body html".split())
 # Words of class, id and role values that mark other than article text.
 MARKS = frozenset("ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments "
@@ -129,7 +130,16 @@ class _Lines(HTMLParser):
             m for m in range(1, len(held)) if articles[m] and articles[m] == articles[0]
             or held[m] > MAJORITY * held[0] and not (self.beside[m] and prose[0] > prose[m]))
 
+    def _close_head(self) -> None:
+        """Closes an open head, and what was left open in it."""
+        for i, x in enumerate(self.open[:3]):  # a head stands under html at most
+            if x[0] == "head":
+                del self.open[i:]
+                break
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" or tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self._close_head()
         if tag in BLOCKS:
             self._flush()
             self._close_implied(tag)
@@ -187,6 +197,8 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self._close_head()
         skipped, _, inside, hard, mark, linked, _ = self._top()
         if not skipped:
             self.parts.append(data)

@@ -93,6 +93,15 @@ def test_page_names_that_do_not_mark():
         assert pages.main_text(f"<main>{body}<section class='{name}'>{talk}</section></main>") == want
 
 
+def test_page_without_head_or_body_tags():
+    meta, text = "<meta charset=utf-8><title>Name of the page</title>", "<p>Text of the page.</p>"
+    for page in (f"<html><head>{meta}<body>{text}</body></html>", f"<html><head>{meta}{text}</html>",
+                 f"<html>{meta}<body>{text}", f"{meta}{text}", f"<!DOCTYPE html><head>{meta}Text of <b>the page.</b>",
+                 f"<html><head>{meta}<noscript><img src=x></noscript><script>var a;</script><body>{text}",
+                 f"<head>{meta}<noscript><style>p{{}}</style><body>{text}", f"<head>{meta}<article>{text}"):
+        assert pages.main_text(page) == "Text of the page.", page
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (1, None, None, "a"), (2, "u", "", None), (None, "u", "<p>x</p>", "b")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
