@@ -4,7 +4,8 @@ A streaming pass over the events of the standard library's HTML parser cuts a pa
 one per block element, and counts the characters and tags of each.  The text-to-tag ratios are
 smoothed along the page with a Gaussian kernel and split into two clusters by a threshold; the
 page regions (the nearest article, main, section, division, cell or body) that hold mostly content
-lines are the article.  Every line of a chosen region is kept, short ones too, except what sits
+lines are the article.  Without article or main the smallest block around those regions (around a
+lone one, its parent) is the article, but for regions of links before and after them.  Every line of a chosen region is kept, short ones too, except what sits
 in elements or under names that mark menus, headers, footers, sidebars, notices, adverts, forms
 and reader comments.  A name marks if it consists of words of ``MARKS`` and plain words only.  It
 marks neither articles nor main parts, nor what holds all of these, nor what holds most of the
@@ -36,6 +37,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary "
                    "table tbody td tfoot th thead tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
 REGIONS = frozenset("article main section div td body html".split())
 # Words of class, id and role values that mark other than article text.
@@ -73,7 +75,7 @@ def _marks(value: str, inside: bool) -> tuple[bool, bool]:
 
 
 class _Lines(HTMLParser):
-    """Collects lines as [text parts, characters, tags, region]."""
+    """Collects lines as (text, tags, region)."""
 
     def __init__(self, ignored: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
@@ -84,7 +86,9 @@ class _Lines(HTMLParser):
         # Of each mark, 0 for the page: mark around it, whether by readers or beside the articles; characters
         # outside links, all of them and those in an article or main, and the outermost articles and main parts.
         self.around, self.beside, self.held, self.prose, self.articles = [0], [False], [0], [0], [0]
-        self.regions = 0
+        self.parents = [0]  # of each region, 0 for the page; regions are numbered as they start
+        self.linked = [0]   # characters of its links, headings aside
+        self.articled = False  # whether an article or main has text
         self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -161,8 +165,9 @@ class _Lines(HTMLParser):
         if tag in ("article", "main"):
             self.articles[mark] += not hard and not inside
         if tag in ("article", "main") or tag in REGIONS and not inside:
-            self.regions += 1
-            region = self.regions
+            self.parents.append(region)
+            self.linked.append(0)
+            region = len(self.parents) - 1
         self.open.append((tag, skipped, region, inside or tag in ("article", "main"), hard, mark,
                           linked or tag == "a", article or tag == "article"))
 
@@ -199,9 +204,12 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and not data.isspace():
             self._close_head()
-        skipped, _, inside, hard, mark, linked, _ = self._top()
+        skipped, region, inside, hard, mark, linked, _ = self._top()
         if not skipped:
             self.parts.append(data)
+            if linked and not any(x[0] in HEADINGS for x in self.open[-3:]):
+                self.linked[region] += len(" ".join(data.split()))
+            self.articled = self.articled or inside and not data.isspace()
         if not hard and not linked:
             size = len("".join(data.split()))
             self.held[mark] += size
@@ -234,6 +242,22 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def _block(chosen: set[int], parents: list[int], links: set[int]) -> set[int]:
+    """The regions of the smallest block around ``chosen``, without those of ``links`` that stand
+    before the first or after the last of ``chosen``."""
+    first, last = min(chosen), max(chosen)
+    top, other = first, last
+    while top != other:  # a region has a larger number than those around it
+        top, other = min(top, other), parents[max(top, other)]
+    if first == last:
+        top = parents[top]
+    inside = {top}
+    for region in range(top + 1, len(parents)):
+        if parents[region] in inside:
+            inside.add(region)
+    return {r for r in inside if r in chosen or r not in links or first < r < last}
+
+
 def _parsed(html: str, ignored: frozenset[int] = frozenset()) -> _Lines:
     parser = _Lines(ignored)
     parser.feed(html)
@@ -261,6 +285,9 @@ def main_text(html: str | None) -> str:
             content[region] += len(text)
     chosen = {r for r in held if content[r] >= MAJORITY * held[r]}
     chosen.add(max(held, key=lambda r: (content[r], held[r], -r)))  # the region with most content
+    if not parser.articled:
+        links = {r for r in held if parser.linked[r] > MAJORITY * held[r]}
+        chosen = _block(chosen - links or chosen, parser.parents, links)
     return " ".join(text for text, _, region in lines if region in chosen)
 
 

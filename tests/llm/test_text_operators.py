@@ -102,6 +102,20 @@ def test_page_without_head_or_body_tags():
         assert pages.main_text(page) == "Text of the page.", page
 
 
+def test_page_blocks_without_article():
+    long = " ".join(["Words of a long paragraph."] * 8)
+    links = "<div><a href=x>One</a> <a href=y>Two</a></div>"
+    for parts, want in (
+            (["<h2><a href=z>Intro</a></h2>", f"<p>{long}</p>", "<p>Short.</p>"], f"Intro {long} Short."),
+            ([f"<p>{long}</p>", "<h2>Next</h2>", f"<p>{long}</p>", "<p>Short.</p>"], f"{long} Next {long} Short."),
+            ([f"<h2>Intro</h2><p>{long}</p>", "<p>Short.</p>"], f"Intro {long} Short.")):
+        blocks = "".join(f"<div>{x}</div>" for x in parts)
+        assert pages.main_text(f"<body>{links}{blocks}{links}</body>") == want
+        assert pages.main_text(f"<body>{links}<div>{blocks}</div>{links}</body>") == want
+        cells = "".join(f"<tr><td>{x}</td></tr>" for x in parts)
+        assert pages.main_text(f"<body>{links}<div><table>{cells}</table></div></body>") == want
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (1, None, None, "a"), (2, "u", "", None), (None, "u", "<p>x</p>", "b")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
