@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from kestrel.llm import licenses, pages, pii, quality, queries
 from tests.llm.edge import edge_frame, empty_frame
@@ -224,6 +225,17 @@ def test_quality_copies_do_not_move_the_references(spark):
     assert {r.doc_id for r in quality.quality_filter(docs.union(copies)).collect()} == alone
 
 
+def test_quality_cuts_by_length(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    ids = [r.doc_id for r in quality.quality(rows).where("kept and n_words >= 1000").orderBy("doc_id").limit(20).collect()]
+    good = rows.where(F.col("doc_id").isin(ids))
+    # one word in ten becomes a cell of a table: far from the language only for a long text
+    table = good.withColumn("text", F.array_join(F.transform(
+        F.split("text", r"\s+"), lambda x, i: F.when(i % 10 == 0, F.lit("| ##")).otherwise(x)), " "))
+    got = quality.quality(table).collect()
+    assert len(got) == 20 and all(r.class_distance < 0.3 for r in got) and not any(r.kept for r in got)
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
 
