@@ -236,6 +236,21 @@ def test_quality_cuts_by_length(spark):
     assert len(got) == 20 and all(r.class_distance < 0.3 for r in got) and not any(r.kept for r in got)
 
 
+def test_quality_judges_short_texts_and_every_language(spark):
+    junk = " ".join(f"#{'*' * (i % 5)}{i * 7919}|&&{i}" for i in range(2000))
+    plain = spark.read.parquet(f"{SF001}/documents.parquet").join(
+        quality.quality(spark.read.parquet(f"{SF001}/documents.parquet")).where("kept and n_words > 200").select("doc_id"),
+        "doc_id").orderBy("doc_id").first().text
+    cyrillic = "".join(chr(0x430 + ord(c) - 97) if "a" <= c <= "z" else c for c in plain.lower())
+    texts = [(junk, False), (" ".join(junk.split()[:15]), False), (plain, True), (cyrillic, True)]
+    rows = [(i, text, lang, kept) for i, (text, kept) in enumerate(texts) for lang in (None, "it", "")]
+    rows += [(9, texts[1][0], "en", False), (9, texts[0][0], "de", False)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, want boolean")
+    got = quality.with_quality(frame).collect()
+    assert len(got) == len(rows)
+    assert [(r.doc_id, r.lang, r._quality.kept) for r in got if r._quality.kept != r.want] == []
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
 
