@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import decontam, langid, licenses, mixing, pages, pii, quality, simhash, substrings, suffixes
+from kestrel.llm import (decontam, langid, licenses, mixing, pages, pii, quality, simhash, spelling, substrings,
+                         suffixes)
 from kestrel.llm.oracle import ORACLE_SQL  # noqa: F401
 from kestrel.llm.words import documents
 
@@ -75,6 +76,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    occurrences = spelling.damaged(spelling.runs(documents(spark, sf_dir)))
+    return spelling.variants(spelling.count_words(occurrences))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_license_scan": op2_license_scan,
@@ -86,4 +92,5 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op12_spelling_variants": op12_spelling_variants,
 }
