@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (decontam, langid, licenses, mixing, pages, pii, quality, simhash, spelling, substrings,
-                         suffixes)
+from kestrel.llm import (decontam, langid, licenses, mixing, pages, pii, quality, repair, simhash, spelling,
+                         substrings, suffixes)
 from kestrel.llm.oracle import ORACLE_SQL  # noqa: F401
 from kestrel.llm.words import documents
 
@@ -81,6 +81,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(occurrences))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return repair.summaries(repair.damaged(turns), turns)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_license_scan": op2_license_scan,
@@ -93,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -1,0 +1,160 @@
+"""Conversation repair against brute force over all edit sequences, and the ranking on random graphs."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from conftest import SF001, SF01
+from kestrel.llm import repair
+from kestrel.llm.queries import QUERIES
+
+SPACE = " \t\n\x0b\x0c\r"
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else "".join(c for c in text if c not in ".!?") if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def expected(rows):
+    """Summary of one conversation's damaged rows: a shortest path over (cost, audit) pairs."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or " ", hashlib.sha256(r[3].encode()).digest()))
+    rows = [(c, t, r or " ", x) for c, t, r, x in rows]
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        last = text.rstrip(SPACE)[-1:]
+        faults.append("b" if not last else "d" if (role, text) in seen else "-" if last in ".!?" else "t")
+        seen.add((role, text))
+    first = [r[2][0] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))
+    # best (cost, audit, lines) per state: what has been given out ends with nothing, s, u or a
+    step = {"": "u", "s": "u", "u": "a", "a": "u"}
+    name = {"u": "user", "a": "assistant"}
+
+    def inserted(best):
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(best.items()):
+                to = step[state]
+                new = (cost + 3, audit + "I", [*lines, name[to] + ":"])
+                if to not in best or new[:2] < best[to][:2]:
+                    best[to] = new
+        return best
+
+    best = {"": (0, "", [])}
+    for (_, _, role, text), fault in zip(rows, faults):
+        after = {}
+        for state, (cost, audit, lines) in inserted(best).items():
+            moves = [(state, 4, "D", [])]
+            if fault in "-t":
+                more = 3 if fault == "t" else 0
+                moves.append((step[state], 3 + more, "R", [f"{name[step[state]]}:{text}"]))
+                if role[0] == step[state] or role[0] == "s" and state == "":
+                    moves.append((role[0], more, "K", [f"{role}:{text}"]))
+            for to, price, letter, line in moves:
+                new = (cost + price, audit + letter, [*lines, *line])
+                if to not in after or new[:2] < after[to][:2]:
+                    after[to] = new
+        best = after
+    cost, audit, lines = min((v for k, v in inserted(best).items() if k in ("", "a")), key=lambda v: v[:2])
+    return (gaps, faults.count("b"), faults.count("d"), faults.count("t"), illegal, cost, audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def all_expected(rows, changed):
+    groups = {r[0]: [] for r in rows}
+    for r in changed:
+        groups[r[0]].append(r)
+    return {k: expected(v) for k, v in groups.items()}
+
+
+def collected(df):
+    assert df.columns == COLUMNS
+    got = {r[0]: tuple(r)[1:] for r in df.collect()}
+    return got
+
+
+@pytest.mark.parametrize("folder", [SF001, SF01])
+def test_query_equals_brute_force(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    assert collected(QUERIES["op13_conversation_repair"](spark, folder)) == all_expected(rows, damage(rows))
+
+
+def random_rows(rng, convs, longest):
+    rows = []
+    for conv in range(convs):
+        for turn in range(rng.randint(0, longest)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "User"])
+            text = rng.choice(["a.", "b!", "c", "", " \n", None, f"{turn}?", f"{turn}. \t", f"{turn}", "é."])
+            rows.append((conv if conv else None, rng.choice([turn, turn, turn, turn + 2, None]), role, text))
+    return rows
+
+
+@pytest.mark.parametrize("block", [1, 2, 8, 1024])
+def test_random_conversations_in_blocks(spark, monkeypatch, block):
+    """Blocks of every size give the same: chains, entry states and audits across blocks."""
+    monkeypatch.setattr(repair, "BLOCK", block)
+    monkeypatch.setattr(repair, "CHUNK", 64)
+    rows = random_rows(random.Random(block), 40, 23)
+    rows += rows[:30]  # repeated rows
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA + ", pos string, start int")
+    plain = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    assert collected(repair.summaries(frame, frame)) == all_expected(plain, plain)
+
+
+def test_one_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(repair, "BLOCK", 64)
+    rng = random.Random(5)
+    rows = [(7, i // 2, rng.choice(["user", "assistant"]), rng.choice([f"{i}.", f"{i}", "same."])) for i in range(3000)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = repair.repair(frame)
+    assert collected(found.summary()) == {7: expected(rows)}
+    lines = found.repaired().orderBy("pos", "k").collect()
+    roles = [r.role for r in lines]
+    assert roles == ["user", "assistant"] * (len(roles) // 2)
+    assert sum({"I": 3, "R": 3, "K": 0}[r.edit] for r in lines) <= expected(rows)[5]
+
+
+def test_edges(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "assistant", "x" * 200000 + "."), (2, None, None, None), (3, 5, "system", "s."),
+            (None, 0, "user", "alone"), (4, 0, "user", "Hi."), (4, 0, "user", "Hi."), (4, 0, "user", "Hi.")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    plain = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    assert collected(repair.summaries(frame, frame)) == all_expected(plain, plain)
+    others = spark.createDataFrame([(9, 0, "user", "gone."), (1, 0, "user", "")], SCHEMA)
+    got = collected(repair.summaries(frame.where("conv_id = 1"), others))
+    assert got[9] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest()) and set(got) == {1, 9}
+    assert collected(repair.summaries(frame.limit(0), frame.limit(0))) == {}
+    assert collected(repair.summaries(frame.limit(0), frame))[3][6] == ""
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_ranks_order_random_graphs(seed):
+    """Labels repeat among a node's arcs, so only longer prefixes tell the paths apart."""
+    rng = random.Random(seed)
+    n = 120
+    arcs = [(n - 1, 0, n - 1)]
+    for v in range(n - 1):
+        for _ in range(rng.randint(1, 4)):
+            arcs.append((v, rng.choice([1, 1, 2]), min(n - 1, v + rng.randint(1, 4))))
+    least = {n - 1: ()}
+    for v in range(n - 2, -1, -1):
+        least[v] = min((x, *least[w]) for a, x, w in arcs if a == v)
+    tail, letter, head = (np.array(c, dtype=np.int64) for c in zip(*arcs))
+    pointer, letters = repair.least_paths(n, tail, letter, head)
+    found, ends = repair.walk(pointer, letters, np.arange(n))
+    assert [tuple(p) for p in found] == [least[v] for v in range(n)] and (ends == n - 1).all()
