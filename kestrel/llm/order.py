@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import reliable_checkpoint
+from kestrel.session import ensure_checkpoint_dir, reliable_checkpoint
 
 PART_SHIFT = 33  # of monotonically_increasing_id: partition index above, row number in the partition below
 
@@ -48,3 +50,14 @@ def dense_positions(df: DataFrame, name: str = "id") -> DataFrame:
     part = F.shiftrightunsigned(name, PART_SHIFT).cast("int")
     row = F.col(name).bitwiseAND(F.lit((1 << PART_SHIFT) - 1))
     return df.withColumn(name, F.get(array, part) + row)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into a fresh folder of the shared checkpoint folder, and read again.
+
+    For results that are costly to compute and read more than once: unlike a checkpoint it is
+    computed once.  The folder stays until the caller deletes it.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

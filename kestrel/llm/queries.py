@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (decontam, langid, licenses, mixing, pages, pii, quality, repair, simhash, spelling,
-                         substrings, suffixes)
+from kestrel.llm import (decontam, langid, licenses, mixing, packing, pages, pii, quality, repair, simhash,
+                         spelling, substrings, suffixes)
 from kestrel.llm.oracle import ORACLE_SQL  # noqa: F401
 from kestrel.llm.words import documents
 
@@ -76,6 +76,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op11_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     occurrences = spelling.damaged(spelling.runs(documents(spark, sf_dir)))
     return spelling.variants(spelling.count_words(occurrences))
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op11_lexical_packing": op11_lexical_packing,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_conversation_repair": op13_conversation_repair,
 }
