@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import label_at, literal_table, quote_identifier, sort_bounded, squared_distance
+from kestrel.session import path_exists
 
 Centre = tuple[int, int]
 
@@ -158,47 +159,97 @@ def converged(movement: float, eta: float) -> bool:
     return movement < eta
 
 
+TRACE_FIELDS = [("iteration", "int"), ("cluster", "int"), ("old_x", "int"), ("old_y", "int"),
+                ("new_x", "int"), ("new_y", "int"), ("distance", "double"), ("total_distance", "double")]
+
+
+class UpdateLog:
+    """Updates of a fit in a folder that outlives the driver: one file of k rows (``TRACE_FIELDS``) per update.
+
+    A fit with the same folder goes on after the last complete update.  A file holds a whole update and appears by
+    one rename, so an update that a lost driver was writing is either there or not.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def add(self, rows: Sequence[tuple]) -> None:
+        rows_frame(self.spark, rows).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def read(self, k: int) -> list[tuple]:
+        """Rows of the complete updates 1, 2, …, in order: k per update reach the driver.
+
+        An update that stands there twice (two drivers) counts once.
+        """
+        if not path_exists(self.spark, f"{self.folder}/_SUCCESS"):
+            return []
+        schema = ", ".join(f"{name} {kind}" for name, kind in TRACE_FIELDS)
+        found = self.spark.read.schema(schema).parquet(self.folder).distinct().collect()
+        by_update: dict[int, list[tuple]] = {}
+        for row in found:
+            by_update.setdefault(row["iteration"], []).append(tuple(row))
+        out: list[tuple] = []
+        for update in range(1, len(by_update) + 1):
+            rows = sorted(by_update.get(update, ()))
+            if [r[1] for r in rows] != list(range(k)):
+                raise ValueError(f"update {update} in {self.folder} is not one of {k} centres")
+            out += rows
+        return out
+
+
 def fit(points: DataFrame, centres: Sequence[Centre], eta: float = 20.0, max_iterations: int = 120,
-        keep_trace: bool = False) -> FitResult:
+        keep_trace: bool = False, log: UpdateLog | None = None) -> FitResult:
     """Lloyd iterations from ``centres`` (K1), driver loop of small Spark jobs.
 
-    ``points`` should be weighted points held in a reliable checkpoint (see
-    ``kestrel.session.reliable_checkpoint``): they are reread once per iteration.
+    ``points`` should be weighted points in a stored table (``kestrel.session.Held``): they are reread
+    once per iteration.  With ``log``, every update is written there, and a fit that finds updates in it
+    goes on from the last one (they must have begun from ``centres``).
     """
     if max_iterations < 1:
         raise ValueError("max_iterations must be >= 1")
     current = [(int(x), int(y)) for x, y in centres]
     movements: list[float] = []
     trace: list[tuple] = []
-    iteration = 0
+    k = len(current)
+    done = log.read(k) if log else []
+    if done and [(r[2], r[3]) for r in done[:k]] != current:
+        raise ValueError(f"the updates in {log.folder} began from other centres")
     while True:
-        iteration += 1
-        new = list(current)
-        for row in centroids(points, current).collect():  # at most k rows
-            new[row["cluster"]] = (row["x"], row["y"])
-        moved = total_movement(current, new)
+        iteration = len(movements) + 1
+        if (iteration - 1) * k < len(done):
+            rows = done[(iteration - 1) * k:iteration * k]
+            moved, new = rows[0][7], [(r[4], r[5]) for r in rows]
+        else:
+            new = list(current)
+            for row in centroids(points, current).collect():  # at most k rows
+                new[row["cluster"]] = (row["x"], row["y"])
+            moved = total_movement(current, new)
+            rows = [(iteration, i, a[0], a[1], b[0], b[1], distance(a, b), moved)
+                    for i, (a, b) in enumerate(zip(current, new))]
+            if log:
+                log.add(rows)
         movements.append(moved)
         if keep_trace:
-            for i, (a, b) in enumerate(zip(current, new)):
-                trace.append((iteration, i, a[0], a[1], b[0], b[1], distance(a, b), moved))
+            trace += rows
         current = new
         if converged(moved, eta) or iteration >= max_iterations:
             return FitResult(current, iteration, movements, converged(moved, eta), trace)
 
 
-TRACE_FIELDS = [("iteration", "int"), ("cluster", "int"), ("old_x", "int"), ("old_y", "int"),
-                ("new_x", "int"), ("new_y", "int"), ("distance", "double"), ("total_distance", "double")]
+def rows_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """``TRACE_FIELDS`` rows as a DataFrame, from one JSON literal: planning does not grow with an
+    expression per row."""
+    names = [name for name, _ in TRACE_FIELDS]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    schema = "array<struct<" + ", ".join(f"{name}:{kind}" for name, kind in TRACE_FIELDS) + ">>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
 
 
 def trace_frame(spark: SparkSession, result: FitResult) -> DataFrame:
     """Iteration trace (K4) as a DataFrame of (iterations x k) rows."""
     if not result.trace:
         raise ValueError("no trace: run fit(..., keep_trace=True)")
-    # one JSON literal: planning does not grow with an expression per row
-    names = [name for name, _ in TRACE_FIELDS]
-    rows = json.dumps([dict(zip(names, row)) for row in result.trace])
-    schema = "array<struct<" + ", ".join(f"{name}:{kind}" for name, kind in TRACE_FIELDS) + ">>"
-    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), schema)))
+    return rows_frame(spark, result.trace)
 
 
 MEDIAN_BUCKET = 1024  # scores per first-level bucket of the median

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions import (col, literal_table, mentions, position_in, quote_identifier, sort_bounded,
                                string_array, tokens)
@@ -59,10 +60,13 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
     Documents are cut into id ranges of ``block`` ids (``block`` column = first id of the
     range), so one row holds at most ``block`` ids however common the term is; the union of a
     term's blocks is its full posting list.  Grouping by (term, block) also spreads a hot term
-    over many reducers.
+    over many reducers.  Ids that aren't integers have no ranges: their blocks are those of
+    ``mention_index_hashed`` under a directory of ``block``.
     """
     if block <= 0:
         raise ValueError("block must be positive")
+    if not isinstance(postings.schema[id_col].dataType, T.IntegralType):
+        return mention_index_hashed(postings, mention_directory(postings, block), id_col)
     ids = col(id_col)
     start = (ids - F.pmod(ids, F.lit(block).cast("bigint"))).cast("bigint")
     return (postings
@@ -70,6 +74,72 @@ def mention_index(postings: DataFrame, id_col: str = "doc_id", block: int = DEFA
             .agg(F.sort_array(F.collect_list(id_col)).alias(f"{id_col}s")))
 
 
+def mention_directory(postings: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Block directory of an index over ids of any type (A2): (term, n, blocks).
+
+    ``blocks`` is a power of two such that the ``n`` postings of the term, dealt by a hash of their id, come
+    to half a block each on average.  At most one row per term.
+    """
+    if block <= 0:
+        raise ValueError("block must be positive")
+    above = F.expr(f"(2 * n - 1) div {int(block)}")  # one less than half blocks needed
+    bits = F.when(above == 0, 0).otherwise(F.length(F.bin(above)))
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "blocks", F.pow(F.lit(2.0), bits).cast("bigint"))
+
+
+def id_hash(c: str | Column) -> Column:
+    """60 bits of the md5 of an id's text, as BIGINT; NULL as the empty text."""
+    digest = F.md5(F.coalesce(col(c).cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def mention_index_hashed(postings: DataFrame, directory: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Inverted index for ids of any type (A2): (term, block, sorted array of ids).
+
+    ``block`` is the hash of the id modulo the term's ``blocks`` in the directory, so an id is looked up in one
+    block, and doubling a term's blocks splits each of them in two.  The directory has one row per
+    term (a caller's list), which is why it may be broadcast.
+    """
+    placed = postings.join(F.broadcast(directory.select("term", "blocks")), "term")
+    return (placed.groupBy("term", F.pmod(id_hash(id_col), F.col("blocks")).alias("block"))
+            .agg(F.sort_array(F.collect_list(id_col)).alias(f"{id_col}s")))
+
+
+BITMAP_IDS = 32768  # ids of one bitmap, fixed by Spark's bitmap functions
+
+
+def mention_bitmaps(postings: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Inverted index in compressed blocks for integer ids (A2): (term, bucket, bitmap BINARY).
+
+    A bitmap of 4 KB holds the ids of a range of ``BITMAP_IDS``; it is built by partial aggregation, so
+    the shuffle carries bitmaps, not ids.  An id is in or out: repeated ids of a term count once, and
+    NULL ids are left out.
+    """
+    ids = col(id_col).cast("bigint")
+    return postings.where(ids.isNotNull()).groupBy("term", F.bitmap_bucket_number(ids).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(ids)).alias("bitmap"))
+
+
+def rank_from_bitmaps(bitmaps: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Ranking computed from the bitmaps (A3, A4, O2): bits set per term; absent terms absent."""
+    terms = validate_terms(terms)
+    ranked = bitmaps.groupBy("term").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+    return _rank_order(ranked, terms)
+
+
+def bitmap_ids(bitmaps: DataFrame) -> DataFrame:
+    """The ids of the bitmaps, exploded: (term, id BIGINT).  Inverse of ``mention_bitmaps``."""
+    # bit position p of bucket b is id (b - 1) * 32768 + 1 + p for positive ids, -(b * 32768 + p) otherwise
+    byte = F.expr("posexplode(transform(sequence(1, length(bitmap)), i -> conv(hex(substring(bitmap, i, 1)), 16, 10)))")
+    some = bitmaps.select("term", "bucket", byte.alias("at", "byte")).where(F.col("byte") != "0")
+    bits = F.expr("filter(sequence(0, 7), k -> (CAST(byte AS INT) & shiftleft(1, k)) != 0)")
+    each = some.select("term", "bucket", "at", F.explode(bits).alias("k"))
+    place = F.col("at") * 8 + F.col("k")
+    return each.select("term", F.when(F.col("bucket") > 0, (F.col("bucket") - 1) * BITMAP_IDS + 1 + place)
+                       .otherwise(F.col("bucket") * BITMAP_IDS - place).alias("id"))
+
+
 def index_articles(docs: DataFrame, terms: Sequence[str], text_col: str = "text") -> DataFrame:
     """The index with whole documents (A2 as the reference returns it), exploded: one row per
     (term, document) with every document column.

@@ -3,20 +3,25 @@
 Input is a postings DataFrame with ``POSTING_SCHEMA`` columns (type 1 question, 2 answer).
 
 Scale notes: grouping and scoring need no join at all: one aggregation keyed by question id
-covers questions and answers together (one scan, one shuffle, partial aggregation, so a question
-holding a third of all answers becomes one row per map task).  Only the raw pair list
-(``qa_pairs``), whose output is one row per pair, joins; it relies on AQE skew-join splitting for
-hot question ids.
+covers questions and answers together (one scan, partial aggregation, so a question holding a third of
+all answers becomes one row per map task).  Where the tags are a known list, their numbers are
+aggregated instead of texts, so the aggregation is hash-based.  Only the raw pair list (``qa_pairs``), whose
+output is one row per pair, joins; it relies on AQE skew-join splitting for hot question ids.  A table
+of parsed postings (``sources.store_postings``) saves its second scan and parse.  ``qa_grouped_pairs``
+cuts each question's pairs into blocks of bounded size after a range sort, so that no question is
+gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions import position_in, require
+from kestrel.functions import label_at, position_in, require
+from kestrel.functions.ordering import dense_positions, sorted_ids
+from kestrel.session import Held
 
 QUESTION, ANSWER = 1, 2
 
@@ -60,37 +65,87 @@ def question_stats(postings: DataFrame, strict: bool = False, langs: Sequence[st
     aggregation collapses the answers of a hot question on the map side.  Repeated question
     ids keep the smallest non-null tag (stated order).
     """
+    key, counts = _keyed_counts(strict)
+    tag = F.when(F.col("posting_type") == QUESTION, F.col("tags") if langs is None else position_in(list(langs), "tags"))
+    smallest = F.min(tag).alias("tags" if langs is None else "lang_index")
+    return postings.groupBy(key.alias("id")).agg(smallest, *counts).where(ANSWERED)
+
+
+ANSWERED = "q_n > 0 AND a_n > 0"
+
+
+def _keyed_counts(strict: bool) -> tuple[Column, list[Column]]:
+    """Question id of a posting, and the numbers aggregated per question."""
     pt = F.col("posting_type")
     parent = F.col("parent_id")
     if strict:
         parent = require(parent, F.concat(F.lit("answer without parent: "), F.col("id").cast("string")),
                          pt == ANSWER)
     key = F.when(pt == QUESTION, F.col("id")).when(pt == ANSWER, parent)
-    stats = postings.groupBy(key.alias("id")).agg(
+    return key, [
         # rows without a key (other types, parentless answers) form the NULL group; it has no
-        # question with an id, so the HAVING test below drops it without a pushed-down filter
+        # question with an id, so the HAVING test drops it without a pushed-down filter
         F.count_if((pt == QUESTION) & F.col("id").isNotNull()).alias("q_n"),
-        F.min(F.when(pt == QUESTION, F.col("tags") if langs is None else position_in(list(langs), "tags")))
-        .alias("tags" if langs is None else "lang_index"),
         F.count_if(pt == ANSWER).alias("a_n"),
-        F.max(F.when(pt == ANSWER, F.col("score"))).alias("max_score"))
-    return stats.where((F.col("q_n") > 0) & (F.col("a_n") > 0))
+        F.max(F.when(pt == ANSWER, F.col("score"))).alias("max_score")]
 
 
 def qa_grouped(postings: DataFrame, strict: bool = False) -> DataFrame:
     """Pairs grouped by question (A6): (id, n_answers) for questions with at least one answer.
 
     ``n_answers`` is the number of (question, answer) pairs, as the pair grouping counts them.
-    The group is reported as its size, not as an array of whole pairs.
+    ``qa_grouped_pairs`` has the pairs themselves, in blocks.
     """
-    return question_stats(postings, strict).select(
+    key, counts = _keyed_counts(strict)
+    return postings.groupBy(key.alias("id")).agg(*counts).where(ANSWERED).select(
         "id", (F.col("q_n") * F.col("a_n")).alias("n_answers"))
 
 
-def qa_high_score(postings: DataFrame, strict: bool = False) -> DataFrame:
-    """Highest answer score per answered question, floored at 0 (A7): (id, tags, high_score)."""
-    return question_stats(postings, strict).select(
-        "id", "tags", F.greatest(F.lit(0), F.col("max_score")).alias("high_score"))
+DEFAULT_PAIR_BLOCK = 1024  # pairs of a block at most
+
+
+def qa_grouped_pairs(pairs: DataFrame, block: int = DEFAULT_PAIR_BLOCK, held: Held | None = None) -> DataFrame:
+    """Pairs grouped by question (A6), in blocks: (id, block, tags, answers array<struct<answer_id, score>>).
+
+    ``pairs`` is ``qa_pairs``.  The answers of a question are numbered by answer id (then score and tag)
+    and cut into blocks 0, 1, 2, … of ``block`` pairs; all but a question's last block are full, and its
+    blocks in order are the whole group.  A repeated question pairs every row of it with every answer, as
+    the join does; ``tags`` is the smallest of a block.
+
+    The pairs are range-partitioned by (question, answer) and numbered there; a question that holds a
+    third of all pairs lies in many partitions, and a block's task holds ``block`` pairs of it at a time.
+    """
+    if block <= 0:
+        raise ValueError("block must be positive")
+    # parts equal pairs over the partitions; their order doesn't matter
+    told_apart = pairs.withColumn("_tie", F.monotonically_increasing_id())
+    ordered = sorted_ids(told_apart, "id", "answer_id", "score", "tags", "_tie", name="_pos", held=held)
+    ordered = dense_positions(ordered, "_pos")
+    first = ordered.groupBy("id").agg(F.min("_pos").alias("_first"))
+    number = F.col("_pos") - F.col("_first")
+    placed = ordered.join(first, "id").withColumn("block", F.floor(number / block).cast("long"))
+    answers_of = F.sort_array(F.collect_list(F.struct("_pos", "answer_id", "score")))
+    return placed.groupBy("id", "block").agg(F.min("tags").alias("tags"), answers_of.alias("answers")).select(
+        "id", "block", "tags", F.transform("answers", lambda a: F.struct(a["answer_id"], a["score"])).alias("answers"))
+
+
+def qa_high_score(postings: DataFrame, strict: bool = False, tag_list: Sequence[str] | None = None) -> DataFrame:
+    """Highest answer score per answered question, floored at 0 (A7): (id, tags, high_score).
+
+    With ``tag_list``, which must name every tag that occurs (another one fails the query), the
+    aggregation carries the tag's number in that list's text order and the text is looked up
+    afterwards: it is hash-based then, with the same result.
+    """
+    score = F.greatest(F.lit(0), F.col("max_score")).alias("high_score")
+    if tag_list is None:
+        return question_stats(postings, strict).select("id", "tags", score)
+    names = sorted(set(tag_list), key=str.encode)
+    number = position_in(names, "tags")
+    known = F.when(F.col("posting_type") == QUESTION, require(
+        number, F.concat(F.lit("tag not in the list: "), F.col("tags")), F.col("tags").isNotNull()))
+    key, counts = _keyed_counts(strict)
+    stats = postings.groupBy(key.alias("id")).agg(F.min(known).alias("tag"), *counts).where(ANSWERED)
+    return stats.select("id", label_at(names, "tag").alias("tags"), score)
 
 
 def qa_indexed_score(postings: DataFrame, langs: Sequence[str], strict: bool = False) -> DataFrame:

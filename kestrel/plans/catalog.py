@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import kmeans, mentions, qa, sampling, survey
 from kestrel.plans import flows
-from kestrel.plans.tables import COUNT_TERM, K, PARAMS, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS, table
-from kestrel.session import release_checkpoint, reliable_checkpoint
+from kestrel.plans.tables import (COUNT_TERM, K, PAIR_BLOCK, PARAMS, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS,
+                                  TEXT_BLOCK, table)
+from kestrel.session import Held, owned
 from kestrel.sources import derived
-from kestrel.sources.postings import parse_postings
+from kestrel.sources.postings import parse_postings, store_postings
 from kestrel.sources.text import parse_page_records
 from kestrel.sources.wide_csv import parse_wide_lines
 
@@ -54,6 +55,26 @@ def mention_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.rank_from_index(_index(spark, sf_dir), TERMS)
 
 
+def mention_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index over text ids, in hashed blocks."""
+    postings = mention_postings(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+    return mentions.mention_index(postings, block=TEXT_BLOCK).select(
+        "term", "block", F.array_join("doc_ids", ",").alias("doc_ids"))
+
+
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.mention_bitmaps(mention_postings(spark, sf_dir))
+
+
+def mention_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compressed index, unpacked again: its ids per term."""
+    return mentions.bitmap_ids(_bitmaps(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def mention_rank_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.rank_from_bitmaps(_bitmaps(spark, sf_dir), TERMS)
+
+
 def mention_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.mention_rank(_documents(spark, sf_dir), TERMS)
 
@@ -76,8 +97,22 @@ def posting_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_postings(lines)
 
 
+def _pairs(spark: SparkSession, sf_dir: str, held: Held) -> DataFrame:
+    return qa.qa_pairs(store_postings(posting_parse(spark, sf_dir), held))
+
+
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.qa_pairs(posting_parse(spark, sf_dir))
+    held = Held(spark)
+    return owned(_pairs(spark, sf_dir, held), held)
+
+
+def qa_grouped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = Held(spark)
+    grouped = qa.qa_grouped_pairs(_pairs(spark, sf_dir, held), block=PAIR_BLOCK, held=held)
+    # answers joined into one text so that both engines hash the same value
+    text = F.array_join(F.transform("answers", lambda a: F.concat(a["answer_id"].cast("string"), F.lit(":"),
+                                                                  a["score"].cast("string"))), ",")
+    return owned(grouped.select("id", "block", "tags", text.alias("answers")), held)
 
 
 def qa_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +120,7 @@ def qa_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_high_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.qa_high_score(posting_parse(spark, sf_dir))
+    return qa.qa_high_score(posting_parse(spark, sf_dir), tag_list=PRIORITIES)
 
 
 def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,12 +142,12 @@ def uniform_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- k-means ----------------------------------------------------------------------------------
 
 def _model_inputs(spark: SparkSession, sf_dir: str):
-    """Weighted points in a reliable checkpoint, plus the initial centres."""
-    vectors = reliable_checkpoint(qa_vectors(spark, sf_dir))
-    centres = flows.initial_centres(vectors, len(PRIORITIES), K, SEED, SPREAD)
-    points = reliable_checkpoint(kmeans.weighted_points(vectors))
-    release_checkpoint(vectors)
-    return points, centres
+    """Weighted points, not materialised (they are read once), and the initial centres."""
+    postings = posting_parse(spark, sf_dir)
+    with Held(spark) as held:
+        centres = flows.weighted_vectors(postings, PRIORITIES, PARAMS, SEED, True, held)[1]
+    vectors = qa.qa_vectors(qa.qa_indexed_score(postings, PRIORITIES, True), PRIORITIES, SPREAD, True)
+    return kmeans.weighted_points(vectors), centres
 
 
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +170,23 @@ def _model(spark: SparkSession, sf_dir: str, keep_trace: bool = False) -> flows.
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kmeans.centres_frame(spark, _model(spark, sf_dir).fit.centres)
+    with _model(spark, sf_dir) as model:
+        return kmeans.centres_frame(spark, model.fit.centres)
 
 
 def kmeans_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kmeans.trace_frame(spark, _model(spark, sf_dir, keep_trace=True).fit)
+    with _model(spark, sf_dir, keep_trace=True) as model:
+        return kmeans.trace_frame(spark, model.fit)
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).summary
+    model = _model(spark, sf_dir)
+    return owned(model.summary, model.held)
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).report
+    model = _model(spark, sf_dir)
+    return owned(model.report, model.held)
 
 
 # --- time use ---------------------------------------------------------------------------------
@@ -182,14 +221,18 @@ QUERIES: dict[str, Query] = {
     "mention_count": mention_count,
     "mention_postings": mention_postings,
     "mention_index": mention_index,
+    "mention_index_text": mention_index_text,
+    "mention_bitmaps": mention_bitmaps,
     "mention_articles": mention_articles,
     "mention_rank_index": mention_rank_index,
+    "mention_rank_bitmap": mention_rank_bitmap,
     "mention_rank": mention_rank,
     "mention_rank_full": mention_rank_full,
     "page_record_parse": page_record_parse,
     "posting_parse": posting_parse,
     "qa_pairs": qa_pairs,
     "qa_grouped": qa_grouped,
+    "qa_grouped_pairs": qa_grouped_pairs,
     "qa_high_score": qa_high_score,
     "tag_index": tag_index,
     "qa_vectors": qa_vectors,

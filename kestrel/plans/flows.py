@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import kmeans, mentions, qa, sampling, survey
-from kestrel.session import release_checkpoint, reliable_checkpoint
+from kestrel.session import Held
 from kestrel.sources.postings import read_postings
 from kestrel.sources.text import read_page_records
 from kestrel.sources.wide_csv import read_wide_csv
@@ -55,16 +55,24 @@ def mention_rankings(spark: SparkSession, path: str, terms: Sequence[str] = tupl
 
 @dataclass
 class ClusterModel:
-    points: DataFrame           # weighted distinct points (x, y, n), reliably checkpointed
+    points: DataFrame           # weighted distinct points (x, y, n), in a stored table
     initial: list[kmeans.Centre]
     fit: kmeans.FitResult
     summary: DataFrame          # label, percent, size, median
     report: DataFrame           # formatted lines
     left_out: DataFrame | None = None  # lenient models: what they leave out, one row of counts
+    held: Held | None = None    # owns the points
 
     def close(self) -> None:
-        """Delete the checkpointed points; the summary and report cannot be read any more."""
-        release_checkpoint(self.points)
+        """Delete the stored points; the summary and report cannot be read any more."""
+        if self.held is not None:
+            self.held.close()
+
+    def __enter__(self) -> ClusterModel:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
 
 # Below this spread the languages are too close for per-language sampling to matter, and the
@@ -95,34 +103,52 @@ def initial_centres(vectors: DataFrame, n_langs: int, k: int, seed: str,
 
 
 def cluster_model(postings: DataFrame, langs: Sequence[str], params: kmeans.KMeansParams = kmeans.KMeansParams(),
-                  seed: str = sampling.DEFAULT_SEED, keep_trace: bool = False, strict: bool = True) -> ClusterModel:
+                  seed: str = sampling.DEFAULT_SEED, keep_trace: bool = False, strict: bool = True,
+                  log_folder: str | None = None) -> ClusterModel:
     """Score, vectorise, sample, fit and summarise parsed postings.
 
     ``strict`` fails on an answer without a parent and on an answered question whose tag is
     missing or not in ``langs``, as the reference does.  Otherwise those are left out and
-    ``left_out`` counts them.  The vectors' checkpoint is deleted once the initial centres and the
-    weighted points exist.
+    ``left_out`` counts them.  The vectors are stored once (scanned and parsed once) and deleted when the initial
+    centres and the weighted points exist; the points stay until the model is closed.  With
+    ``log_folder`` (shared), every update is kept there and a new driver goes on from the last one.
     """
     langs = list(langs)
-    vectors = reliable_checkpoint(qa.qa_vectors(qa.qa_indexed_score(postings, langs, strict), langs, params.spread,
-                                                strict))
-    initial = initial_centres(vectors, len(langs), params.k, seed, params.spread)
-    points = reliable_checkpoint(kmeans.weighted_points(vectors))
-    release_checkpoint(vectors)
-    result = kmeans.fit(points, initial, params.eta, params.max_iterations, keep_trace=keep_trace)
+    spark = postings.sparkSession
+    held = Held(spark)
+    try:
+        points, initial = weighted_vectors(postings, langs, params, seed, strict, held)
+        log = kmeans.UpdateLog(spark, log_folder) if log_folder else None
+        result = kmeans.fit(points, initial, params.eta, params.max_iterations, keep_trace=keep_trace, log=log)
+    except BaseException:
+        held.close()
+        raise
     summary = kmeans.cluster_summary(points, result.centres, langs, params.spread)
     return ClusterModel(points, initial, result, summary, kmeans.cluster_report(summary),
-                        None if strict else qa.left_out(postings, langs))
+                        None if strict else qa.left_out(postings, langs), held)
+
+
+def weighted_vectors(postings: DataFrame, langs: Sequence[str], params: kmeans.KMeansParams, seed: str, strict: bool,
+                     held: Held) -> tuple[DataFrame, list[kmeans.Centre]]:
+    """(weighted points, initial centres) of parsed postings; ``held`` owns the points."""
+    vectors = held.store(qa.qa_vectors(qa.qa_indexed_score(postings, langs, strict), langs, params.spread, strict),
+                         "vectors")
+    initial = initial_centres(vectors, len(langs), params.k, seed, params.spread)
+    points = held.store(kmeans.weighted_points(vectors), "points")
+    held.release(vectors)
+    return points, initial
 
 
 def cluster_postings(spark: SparkSession, path: str, langs: Sequence[str] = tuple(REFERENCE_LANGS),
-                     params: kmeans.KMeansParams = kmeans.KMeansParams(), mode: str = "strict") -> ClusterModel:
+                     params: kmeans.KMeansParams = kmeans.KMeansParams(), mode: str = "strict",
+                     log_folder: str | None = None) -> ClusterModel:
     """Posting CSV file(s) -> fitted model, cluster summary and report.
 
     ``mode="strict"`` holds for the parser and for the scoring; ``"lenient"`` leaves out what
     cannot be used and reports how much that was.
     """
-    return cluster_model(read_postings(spark, path, mode=mode), langs, params, strict=mode == "strict")
+    return cluster_model(read_postings(spark, path, mode=mode), langs, params, strict=mode == "strict",
+                         log_folder=log_folder)
 
 
 def time_usage_by_life_period(spark: SparkSession, path: str, mode: str = "FAILFAST") -> dict[str, DataFrame]:

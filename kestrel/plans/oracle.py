@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from kestrel.operators.mentions import DEFAULT_BLOCK
-from kestrel.plans.tables import (COUNT_TERM, ETA, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS)
+from kestrel.plans.tables import (COUNT_TERM, ETA, PAIR_BLOCK, PER_STRATUM, PRIORITIES, SEED, SPREAD, TERMS,
+                                  TEXT_BLOCK)
 
 KMEANS_STEPS = 24  # unrolled updates; the fit needs 3-4 at the driver scales, the cap is 120;
 # the statements raise if the chain has not converged by then
@@ -142,8 +143,16 @@ def _build() -> dict[str, str]:
         f"SELECT term, doc_id - ((doc_id % {BLOCK}) + {BLOCK}) % {BLOCK} AS block, "
         "string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids "
         "FROM postings GROUP BY term, block"))
+    named = "SELECT term, 'doc-' || CAST(doc_id AS VARCHAR) AS id FROM postings"
+    bits = f"CASE WHEN (2 * count(*) - 1) // {TEXT_BLOCK} = 0 THEN 0 ELSE length(bin((2 * count(*) - 1) // {TEXT_BLOCK})) END"
+    q["mention_index_text"] = _with([POSTINGS_CTE, f"named AS ({named})", (
+        f"dir AS (SELECT term, CAST(pow(2, {bits}) AS BIGINT) AS blocks FROM named GROUP BY term)")], (
+        "SELECT term, CAST('0x' || substr(md5(id), 1, 15) AS BIGINT) % blocks AS block, "
+        "string_agg(id, ',' ORDER BY id) AS doc_ids FROM named JOIN dir USING (term) GROUP BY term, block"))
+    q["mention_bitmaps"] = q["mention_postings"]
     q["mention_rank_index"] = _with([POSTINGS_CTE, COUNTS_CTE], "SELECT term, n FROM counts")
     q["mention_rank"] = q["mention_rank_index"]
+    q["mention_rank_bitmap"] = q["mention_rank_index"]
     q["mention_rank_full"] = _with([POSTINGS_CTE, COUNTS_CTE], (
         f"SELECT t.term, coalesce(c.n, 0) AS n FROM (SELECT unnest({TERM_LIST}) AS term) t "
         "LEFT JOIN counts c ON t.term = c.term"))
@@ -170,6 +179,10 @@ def _build() -> dict[str, str]:
     q["qa_grouped"] = (
         "SELECT o.o_orderkey AS id, count(*) AS n_answers FROM orders o JOIN lineitem l "
         "ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey")
+    q["qa_grouped_pairs"] = (
+        f"WITH p AS ({q['qa_pairs']}), r AS (SELECT *, (row_number() OVER (PARTITION BY id ORDER BY answer_id, score) - 1) "
+        f"// {PAIR_BLOCK} AS block FROM p) SELECT id, block, min(tags) AS tags, string_agg(CAST(answer_id AS VARCHAR) || ':' "
+        "|| CAST(score AS VARCHAR), ',' ORDER BY answer_id, score) AS answers FROM r GROUP BY id, block")
     q["qa_high_score"] = _with([VEC_CTES], "SELECT id, tags, high_score FROM scored")
     q["tag_index"] = (
         f"SELECT o_orderkey AS id, o_orderpriority AS tags, "

@@ -15,6 +15,8 @@ COUNT_TERM = "the"
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 PER_STRATUM = 3
 K = PER_STRATUM * len(PRIORITIES)
+PAIR_BLOCK = 4     # pairs of a block: the derived questions have 1 to 7 answers
+TEXT_BLOCK = 64    # ids of a hashed index block, about
 SEED = "42:"
 PARAMS = KMeansParams(k=K)
 SPREAD = PARAMS.spread

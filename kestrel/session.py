@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,6 +102,81 @@ def release_checkpoint(df: DataFrame) -> None:
         return
     found = plan.rdd().getCheckpointFile()
     if found.isDefined():
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(found.get())
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(df.sparkSession, found.get())
+
+
+class Held:
+    """Owner of the materialised frames of a computation; ``close`` deletes their files.
+
+        with Held(spark) as held:
+            points = held.store(df)
+            ...
+
+    ``checkpoint`` keeps the partitions and their order; ``store`` writes Parquet into a fresh folder
+    of the shared checkpoint folder and reads it again: the frame is computed once (a checkpoint
+    computes it twice) and later reads prune columns and push filters.  A frame that reads from what
+    is held can't be read after ``close``; hand the owner on with ``owned`` where such a frame is the result.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._frames: list[DataFrame] = []
+        self._folders: list[tuple[DataFrame, str]] = []
+
+    def checkpoint(self, df: DataFrame) -> DataFrame:
+        out = reliable_checkpoint(df)
+        self._frames.append(out)
+        return out
+
+    def store(self, df: DataFrame, name: str = "stored", partition_by: str | None = None) -> DataFrame:
+        """``df`` as a Parquet table; with ``partition_by``, a folder per value of that column (moved last)."""
+        path = f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._folders.append((out, path))
+        return out
+
+    def release(self, df: DataFrame) -> None:
+        """Delete the files of one frame that this owner made."""
+        if any(df is frame for frame in self._frames):
+            self._frames = [frame for frame in self._frames if frame is not df]
+            release_checkpoint(df)
+        for out, path in [f for f in self._folders if f[0] is df]:
+            self._folders = [f for f in self._folders if f[0] is not out]
+            delete_path(self.spark, path)
+
+    def close(self) -> None:
+        for df in [*self._frames, *(out for out, _ in self._folders)]:
+            self.release(df)
+
+    def __enter__(self) -> Held:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
+def owned(df: DataFrame, held: Held) -> DataFrame:
+    """``df``, which reads from what ``held`` owns; ``close_result(df)`` frees it once it has been read."""
+    df._kestrel_held = held
+    return df
+
+
+def close_result(df: DataFrame) -> None:
+    """Free what a query's result reads from, if it owns anything; it cannot be read any more."""
+    held = getattr(df, "_kestrel_held", None)
+    if held is not None:
+        held.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder of any file system that Spark reads is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions import col, nullif_empty, require
+from kestrel.session import Held
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("posting_type", T.IntegerType()),
@@ -67,3 +68,12 @@ def parse_postings(lines: DataFrame, column: str = "value", mode: str = "strict"
 def read_postings(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     """Posting CSV file(s) -> ``POSTING_SCHEMA`` DataFrame."""
     return parse_postings(spark.read.text(path), mode=mode)
+
+
+def store_postings(postings: DataFrame, held: Held) -> DataFrame:
+    """Parsed postings as a table in the shared folder, one directory per posting type.
+
+    For flows that read them more than once: lines are scanned and parsed here only, and a later
+    ``posting_type`` test picks the directory, reading the columns that it needs.  ``held`` owns the files.
+    """
+    return held.store(postings, "postings", partition_by="posting_type")

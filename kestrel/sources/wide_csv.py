@@ -61,14 +61,12 @@ def _finish(rows: DataFrame, names: Sequence[str], mode: str) -> DataFrame:
     since readers make every field nullable).  The rows are unfolded from an array that holds the
     checks, so whole rows are validated whatever columns the consumer reads, and parsed once.
     """
-    def fields(row):
-        out = [F.replace(F.coalesce(row[names[0]], F.lit("")), F.lit('"'), F.lit("")).alias(names[0])]
-        for name in names[1:]:
-            c = row[name]
-            out.append((require(c, f"empty value in column {name}") if mode == "FAILFAST" else c).alias(name))
-        return F.struct(*out)
-
-    return rows.select(F.inline(F.transform(F.array("_row"), fields)))
+    row = F.col("_row")
+    out = [F.replace(F.coalesce(row[names[0]], F.lit("")), F.lit('"'), F.lit("")).alias(names[0])]
+    for name in names[1:]:
+        c = row[name]
+        out.append((require(c, f"empty value in column {name}") if mode == "FAILFAST" else c).alias(name))
+    return rows.select(F.inline(F.array(F.struct(*out))))
 
 
 def read_wide_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> tuple[list[str], DataFrame]:

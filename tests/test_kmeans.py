@@ -136,3 +136,53 @@ def test_long_trace_is_planned_quickly(spark):
     start = time.perf_counter()
     assert kmeans.trace_frame(spark, fit).count() == 5400
     assert time.perf_counter() - start < 3
+
+
+class Lost(Exception):
+    """The driver goes away."""
+
+
+@pytest.mark.parametrize("after", [1, 2])
+def test_lost_fit_goes_on_from_its_log(spark, tmp_path, monkeypatch, after):
+    raw = points(spark, [(0, y) for y in (1, 2, 3, 40, 41, 90, 95, 99, 200, 210, 260)])
+    centres = [(0, 1), (0, 2), (0, 3)]
+    whole = kmeans.fit(raw, centres, eta=0.5, max_iterations=20, keep_trace=True)
+    assert whole.iterations > 3
+    log = kmeans.UpdateLog(spark, f"{tmp_path}/log")
+    jobs = []
+
+    def counted(*args, keep=kmeans.centroids):
+        jobs.append(1)
+        if len(jobs) > after:
+            raise Lost
+        return keep(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(kmeans, "centroids", counted)
+        with pytest.raises(Lost):
+            kmeans.fit(raw, centres, eta=0.5, max_iterations=20, log=log)
+    assert len(log.read(3)) == after * 3
+    jobs.clear()
+    with monkeypatch.context() as patch:
+        patch.setattr(kmeans, "centroids", lambda *args, keep=kmeans.centroids: (jobs.append(1), keep(*args))[1])
+        resumed = kmeans.fit(raw, centres, eta=0.5, max_iterations=20, keep_trace=True, log=log)
+    assert len(jobs) == whole.iterations - after
+    assert (resumed.centres, resumed.movements, resumed.trace) == (whole.centres, whole.movements, whole.trace)
+    again = kmeans.fit(raw, centres, eta=0.5, max_iterations=20, log=log)  # nothing left to do
+    assert again.centres == whole.centres
+    with pytest.raises(ValueError, match="other centres"):
+        kmeans.fit(raw, centres[::-1], eta=0.5, log=log)
+    with pytest.raises(ValueError, match="not one of"):
+        log.read(4)
+
+
+def test_flow_resumes_in_its_log_folder(spark, tmp_path):
+    from kestrel.plans import flows
+    from kestrel.plans.tables import PARAMS, PRIORITIES
+
+    postings = catalog.posting_parse(spark, SF01)
+    with flows.cluster_model(postings, PRIORITIES, PARAMS, log_folder=f"{tmp_path}/updates") as first:
+        summary = rows(first.summary)
+    with flows.cluster_model(postings, PRIORITIES, PARAMS, log_folder=f"{tmp_path}/updates") as second:
+        assert second.fit.centres == first.fit.centres and rows(second.summary) == summary
+    assert len(kmeans.UpdateLog(spark, f"{tmp_path}/updates").read(K)) == first.fit.iterations * K

@@ -94,3 +94,57 @@ def test_rank_plan_is_one_scan_with_partial_count(spark):
     assert "PythonUDF" not in physical and "BatchEvalPython" not in physical
     assert "partial_count" in physical
     assert "ReadSchema: struct<text:string>" in physical  # the id is pruned for a count
+
+
+@pytest.fixture(scope="module")
+def text_docs(spark):
+    rows = [(f"doc/{i % 400}", "Java PHP" if i % 3 else "Java") for i in range(500)] + [(None, "PHP"), ("é", "Java")]
+    return spark.createDataFrame(rows, "doc_id string, text string")
+
+
+def test_index_of_text_ids(text_docs):
+    """Hashed blocks: the union of a term's blocks is its posting list, and no block outgrows its share."""
+    postings = mentions.mention_postings(text_docs, LANGS)
+    directory = {r.term: (r.n, r.blocks) for r in mentions.mention_directory(postings, 32).collect()}
+    assert directory["Java"][0] == 501 and directory["Java"][1] == 32
+    index = mentions.mention_index(postings, block=32).collect()
+    for term in ("Java", "PHP"):
+        blocks = [r for r in index if r.term == term]
+        want = sorted((r.doc_id for r in postings.collect() if r.term == term and r.doc_id is not None))
+        assert sorted(i for r in blocks for i in r.doc_ids) == want
+        assert all(0 <= r.block < directory[term][1] and list(r.doc_ids) == sorted(r.doc_ids) for r in blocks)
+        assert len({r.block for r in blocks}) == len(blocks) and max(len(r.doc_ids) for r in blocks) <= 64
+    # an id is looked up in the one block that its hash names
+    home = {i: r.block for r in index if r.term == "Java" for i in r.doc_ids}
+    spark = text_docs.sparkSession
+    found = spark.createDataFrame([(i,) for i in home], "i string").select("i", F.pmod(mentions.id_hash("i"), F.lit(32)))
+    assert home == dict(rows(found))
+
+
+def test_ranking_from_text_index(text_docs):
+    postings = mentions.mention_postings(text_docs.where("doc_id IS NOT NULL"), LANGS)
+    ranked = mentions.rank_from_index(mentions.mention_index(postings, block=16), LANGS)
+    assert rows(ranked) == rows(mentions.mention_rank(text_docs.where("doc_id IS NOT NULL"), LANGS))
+
+
+def test_growing_directory_splits_blocks(text_docs):
+    """With twice the blocks, every block is split in two."""
+    postings = mentions.mention_postings(text_docs.where("doc_id IS NOT NULL"), ["Java"])
+    small, large = (mentions.mention_index_hashed(postings, mentions.mention_directory(postings, b)) for b in (64, 32))
+    homes = {i: r.block for r in small.collect() for i in r.doc_ids}
+    assert {homes[i] for r in large.collect() for i in r.doc_ids} == set(homes.values())
+    assert all(r.block % 16 == homes[i] for r in large.collect() for i in r.doc_ids)
+
+
+def test_bitmaps_hold_the_ids(spark):
+    ids = [-70000, -32769, -32768, -32767, -1, 0, 1, 7, 8, 32767, 32768, 32769, 65536, 65537, 10 ** 12, None]
+    postings = spark.createDataFrame([("a", i) for i in ids + ids[:3]] + [("b", 5)], "term string, doc_id long")
+    bitmaps = mentions.mention_bitmaps(postings)
+    assert sorted(rows(mentions.bitmap_ids(bitmaps))) == sorted([("a", i) for i in ids if i is not None] + [("b", 5)])
+    assert rows(mentions.rank_from_bitmaps(bitmaps, ["b", "a", "c"])) == [("a", len(ids) - 1), ("b", 1)]
+    assert {len(r.bitmap) for r in bitmaps.collect()} == {4096}
+    assert rows(mentions.mention_bitmaps(postings.limit(0))) == []
+
+
+def test_ranking_from_bitmaps_equals_mention_rank(spark):
+    assert rows(catalog.mention_rank_bitmap(spark, SF01)) == rows(catalog.mention_rank(spark, SF01))

@@ -7,6 +7,7 @@ import pytest
 
 from conftest import SF001
 from kestrel.plans import catalog
+from kestrel.session import Held
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonRDD", "REPARTITION_BY_NUM")
@@ -33,6 +34,22 @@ def test_every_table_is_scanned_once(spark, name):
     assert tables and len(tables) == len(set(tables)), tables
 
 
-@pytest.mark.parametrize("name", [n for n in INPUTS if n != "posting_parse"])
+def test_pairs_read_one_stored_table(spark, monkeypatch):
+    """The tables are scanned and parsed into a stored one; the join reads that, and can split skew."""
+    stored = []
+    monkeypatch.setattr(Held, "store", lambda self, df, *a, keep=Held.store, **b: (stored.append(df), keep(self, df, *a, **b))[1])
+    plan = executed(catalog.qa_pairs(spark, SF001))
+    assert not re.findall(r"sf0\.001/(\w+)\.parquet", plan) and "from_csv" not in plan and "split(" not in plan
+    assert sorted(re.findall(r"sf0\.001/(\w+)\.parquet", executed(stored[0]))) == ["lineitem", "orders"]
+    assert "REPARTITION" not in plan
+
+
+@pytest.mark.parametrize("name", ["posting_parse", "wide_table_read"])
+def test_row_checks_are_compiled(spark, name):
+    """Whole rows are checked without an interpreted function of each row."""
+    assert "lambda" not in executed(catalog.QUERIES[name](spark, SF001))
+
+
+@pytest.mark.parametrize("name", [n for n in INPUTS if n != "posting_parse"] + ["qa_high_score", "qa_grouped"])
 def test_postings_are_not_sorted(spark, name):
     assert "SortAggregate" not in executed(catalog.QUERIES[name](spark, SF001))

@@ -1,3 +1,8 @@
+import hashlib
+import random
+import re
+
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -72,18 +77,54 @@ def test_uniform_too_few_rows_fails(vectors):
         sampling.uniform_sample(vectors.limit(5), 12).collect()
 
 
-def test_window_group_limit_prunes_before_shuffle(spark):
-    df = catalog.stratified_sample(spark, SF01)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_plan_merges_reservoirs_without_windows(spark):
+    """A reservoir before every exchange, so no more than n rows per stratum leave a task."""
+    plan = catalog.stratified_sample(spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 4
+    steps = re.findall(r"MapInArrow|Exchange hashpartitioning\(key", plan)
+    # (stratum, 64 buckets), (stratum, 8 buckets), stratum
+    assert steps == ["MapInArrow", "Exchange hashpartitioning(key"] * 3 + ["MapInArrow"]
 
 
 def test_large_samples_spread_a_stratum(spark):
-    """Above Spark's group-limit threshold no task gets a whole stratum, and the rows are the same."""
+    """The rows are those of a global sort, for any n, number of map tasks and buckets."""
     df = spark.range(0, 40000, numPartitions=4).select(F.col("id"), (F.col("id") % 1).alias("x"))
     picked = sampling.stratified_sample(df, 1500, n_strata=1)
     want = df.orderBy(sampling.sample_order(), "id").limit(1500)
     assert as_set(picked) == as_set(want)
-    once = sampling.stratified_sample(df, 1500, strict=False)
-    plan = once._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2  # (stratum, id bucket), then stratum
+    assert as_set(sampling.stratified_sample(df, 1500, strict=False, buckets=())) == as_set(want)
+    assert as_set(sampling.stratified_sample(df.repartition(31), 1500, strict=False, buckets=(5, 3, 2))) == as_set(want)
+
+
+def batches_of(rows, size):
+    for at in range(0, len(rows), size):
+        keys, ranks = zip(*rows[at:at + size])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ranks), pa.array([{"v": r} for r in ranks])],
+                                         ["key", "rank", "row"])
+
+
+@pytest.mark.parametrize("held_rows", [3, 50, 10000])
+def test_reservoirs_merge(held_rows):
+    """Reservoirs of parts, flushed early or not, merge to the reservoir of the whole."""
+    rng = random.Random(held_rows)
+    rows = [(rng.choice("abcde"), f"{rng.random():.6f}") for _ in range(3000)]
+    whole = sorted(r for k in "abcde" for r in sorted(x for x in rows if x[0] == k)[:7])
+    parts = []
+    for part in range(4):
+        out = list(sampling._reservoir(7, held_rows)(batches_of(rows[part::4], 100)))
+        if held_rows == 10000:
+            assert sum(b.num_rows for b in out) == 35  # n rows per stratum and task
+        parts += out
+    merged = [(r["key"], r["rank"]) for b in sampling._reservoir(7, 10000)(iter(parts)) for r in b.to_pylist()]
+    assert sorted(merged) == whole
+
+
+def test_null_strata_repeated_rows_and_any_columns(spark):
+    rows = [(None, i, [i], "r") for i in range(20)] + [("k", 7, [7], "r")] * 30 + [("-", i, None, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "stratum string, id long, key array<long>, rank string")
+    picked = sampling.stratified_sample(df, 4, key="stratum", strict=True).collect()
+    assert sorted((r.stratum or "", r.id) for r in picked if r.stratum) == [("-", i) for i in sorted(
+        sorted(range(5), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[:4])] + [("k", 7)] * 4
+    nulls = sorted(r.id for r in picked if r.stratum is None)
+    assert nulls == sorted(sorted(range(20), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[:4])
+    assert all(r.key == [r.id] for r in picked if r.stratum != "-")

@@ -1,4 +1,11 @@
-from kestrel.session import checkpoint_dir, ensure_checkpoint_dir, release_checkpoint, reliable_checkpoint
+import os
+
+import pytest
+
+from conftest import SF001
+from kestrel.plans import catalog
+from kestrel.session import (Held, checkpoint_dir, close_result, ensure_checkpoint_dir, release_checkpoint,
+                             reliable_checkpoint)
 
 
 def test_checkpoint_folder_from_session(spark):
@@ -26,3 +33,43 @@ def test_released_checkpoint_leaves_no_files(spark):
     except (PySparkException, Exception) as err:
         assert "files are still there" not in str(err)
     release_checkpoint(spark.range(3))  # nothing to delete
+
+
+def files_below(folder):
+    return [name for _, _, names in os.walk(folder.removeprefix("file:")) for name in names]
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    """A checkpoint folder of its own."""
+    before = ensure_checkpoint_dir(spark)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    yield str(tmp_path)
+    spark.sparkContext.setCheckpointDir(before)
+
+
+def test_owner_frees_what_it_holds(spark, folder):
+    df = spark.range(0, 100, numPartitions=3).selectExpr("id", "id % 3 AS kind")
+    with Held(spark) as held:
+        cut, stored = held.checkpoint(df), held.store(df, partition_by="kind")
+        assert cut.count() == stored.count() == 100 and len(files_below(folder)) > 4
+        assert stored.columns == ["id", "kind"] and stored.where("kind = 1").count() == 33
+        held.release(stored)
+        assert cut.count() == 100
+    assert files_below(folder) == []
+
+
+def test_owner_frees_after_an_error(spark, folder):
+    with pytest.raises(RuntimeError):
+        with Held(spark) as held:
+            held.store(spark.range(5))
+            raise RuntimeError("stop")
+    assert files_below(folder) == []
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_queries_leave_no_files(spark, folder, name):
+    result = catalog.QUERIES[name](spark, SF001)
+    result.collect()
+    close_result(result)
+    assert files_below(folder) == []
