@@ -34,7 +34,6 @@ from kestrel.operators.sampling import stratified_sample
 
 ORDER = 3
 SAMPLE_PER_LANG = 400
-SAMPLE_BUCKETS = 64  # first-level groups of the sample's ranking, per language
 SLICE = 1 << 22  # bytes scored at once
 UNDETERMINED = "und"
 
@@ -195,9 +194,9 @@ def train(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     """The model of the documents that may be learned from (see the module's sample bound)."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                           & F.col("text").rlike("\\p{L}"))
-    # Only ids travel to the ranking, in two levels: no task gets all documents of a language.
+    # Only ids travel, at most ``sample_per_lang`` per language from each task.
     picked = stratified_sample(labelled.select("lang", "doc_id"), sample_per_lang, key="lang", id_col="doc_id",
-                               seed="ppm:", strict=False, buckets=SAMPLE_BUCKETS).distinct()
+                               seed="ppm:", strict=False).distinct()
     # bounded by ``sample_per_lang`` rows per language: no text is shuffled to find the sample
     sample = labelled.select("lang", "doc_id", "text").join(F.broadcast(picked), ["lang", "doc_id"], "left_semi")
 
