@@ -17,7 +17,7 @@ refuses (very long runs of white space) go to ``tokenizers``.  Texts beyond ``PA
 encoded in parts, cut where a space stands between two ASCII letters or digits: there the vocabulary's
 pattern always starts a new piece.
 
-Scale: the text is read once; only the rests, two bytes a token, are shuffled, once.  Ranges end
+Scale: the text is read and encoded once; only the rests, two bytes a token, are shuffled, once.  Ranges end
 with the row number, so equal rests are spread over partitions however many there are.  A task holds one
 shard (at most ``SHARD * size`` tokens) and broadcasts are one number per vocabulary entry.  An unfinished window
 is handed on to the next shard of its partition.
@@ -99,19 +99,34 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def distinct_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids in order, how often each occurs)."""
+    ids = np.sort(ids, kind="stable")  # a radix sort for 16-bit ids
+    change = np.flatnonzero(ids[1:] != ids[:-1]) + 1
+    starts = np.concatenate([[0], change, [len(ids)]])
+    return ids[starts[:-1][:len(ids)]].astype(np.int64), np.diff(starts)[:len(ids)]
+
+
 def tokenized(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str = VOCABULARY,
               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document (doc_id, doc_tokens, windows, rest): the crc32 of each full sequence, and the ids after them.
 
+    One more row per task, its other columns NULL, has ``seen``: how many of the task's rests hold each id.
     Written to the shared folder: texts are encoded once.
     """
     kind = docs.schema[doc_id].dataType
+    seen = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.LongType())])
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("doc_tokens", T.LongType()),
-                           T.StructField("windows", T.ArrayType(T.LongType())), T.StructField("rest", T.BinaryType())])
+                           T.StructField("windows", T.ArrayType(T.LongType())), T.StructField("rest", T.BinaryType()),
+                           T.StructField("seen", T.ArrayType(seen))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(name)
+        frequency = np.zeros(ids_of.size, np.int64)
+        names, kinds = ["doc_id", "doc_tokens", "windows", "rest", "seen"], None
         for batch in batches:
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.list_(pa.int64()), pa.binary(),
+                     pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))]
             at = 0
             while at < batch.num_rows:
                 start, counts, windows, rests, held = at, [], [], [], 0
@@ -120,13 +135,17 @@ def tokenized(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str
                     full = len(ids) // size
                     counts.append(len(ids))
                     windows.append([ids_crc32(ids[i * size:(i + 1) * size]) for i in range(full)])
-                    rests.append(ids[full * size:].tobytes())
+                    rest = ids[full * size:]
+                    frequency[distinct_ids(rest)[0]] += 1
+                    rests.append(rest.tobytes())
                     held += len(ids)
                     at += 1
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, at - start), pa.array(counts, pa.int64()),
-                     pa.array(windows, pa.list_(pa.int64())), pa.array(rests, pa.binary())],
-                    ["doc_id", "doc_tokens", "windows", "rest"])
+                columns = [counts, windows, rests, [None] * len(counts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, at - start),
+                                                  *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names)
+        if kinds:
+            counted = [{"id": int(i), "n": int(frequency[i])} for i in np.flatnonzero(frequency)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([None] * 4 + [counted], kinds)], names)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return stored(rows.mapInArrow(encode, schema), "packing")
@@ -141,28 +160,17 @@ class Statistics:
 
     def weights(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(distinct ids, their BM25 weights) of a rest."""
-        ids = np.sort(ids)
-        at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-        tf = np.diff(np.append(at, len(ids)))
+        distinct, tf = distinct_ids(ids)
         norm = K1 * (1 - B + B * len(ids) / self.mean)
-        distinct = ids[at].astype(np.int64)
         return distinct, self.idf[distinct] * tf * (K1 + 1) / (tf + norm)
 
 
 def statistics(tokens: DataFrame, vocabulary: int, dtype: np.dtype) -> Statistics:
-    """Document frequencies, number and length of all rests: one row per id from each task, summed by Spark."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            for rest in batch.column(0):
-                frequency[np.unique(np.frombuffer(rest.as_buffer(), dtype))] += 1
-        ids = np.flatnonzero(frequency)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(frequency[ids], pa.int64())], ["id", "n"])
-
-    rests = tokens.where(F.length("rest") > 0).select("rest")
-    total = rests.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("rest")).alias("bytes")).first()
+    """Document frequencies, number and length of all rests of ``tokenized``, summed by Spark."""
+    total = tokens.where(F.length("rest") > 0).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("rest")).alias("bytes")).first()
     frequency = np.zeros(vocabulary)
-    for row in rests.mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    seen = tokens.where(F.col("seen").isNotNull()).select(F.inline("seen"))
+    for row in seen.groupBy("id").agg(F.sum("n").alias("n")).collect():
         frequency[row["id"]] = row["n"]  # at most one row per vocabulary entry
     return Statistics(frequency, total["n"], (total["bytes"] or 0) // dtype.itemsize)
 
@@ -193,19 +201,17 @@ class Shard:
         found = [stats.weights(r) for r in rests]
         self.terms = [ids for ids, _ in found]
         ids = np.concatenate(self.terms)
-        by = np.argsort(ids, kind="stable")
-        self.ids, self.at = np.unique(ids[by], return_index=True)
-        self.at = np.append(self.at, len(ids))
+        by = np.argsort(ids.astype(np.uint32), kind="stable")
+        self.first = np.zeros(len(stats.idf) + 1, np.int64)  # of each id's postings
+        np.cumsum(np.bincount(ids, minlength=len(stats.idf)), out=self.first[1:])
         self.rest = np.repeat(np.arange(len(rests)), [len(t) for t in self.terms])[by]
         self.weight = np.concatenate([w for _, w in found])[by]
 
     def ranked(self, terms: np.ndarray) -> np.ndarray:
         """All rests of the shard by falling BM25 score against ``terms``."""
-        place = np.searchsorted(self.ids, terms)
-        place = place[place < len(self.ids)]
-        place = place[np.isin(self.ids[place], terms, assume_unique=True)]
-        count = self.at[place + 1] - self.at[place]
-        postings = np.arange(count.sum()) + np.repeat(self.at[place] - np.cumsum(count) + count, count)
+        start = self.first[terms]
+        count = self.first[terms + 1] - start
+        postings = np.arange(count.sum()) + np.repeat(start - np.cumsum(count) + count, count)
         scores = np.bincount(self.rest[postings], self.weight[postings], len(self.rests))
         return np.argsort(-scores, kind="stable")
 
@@ -339,7 +345,8 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str = VO
                          F.lit(0).cast("long").alias("offset"))
     stats = statistics(tokens, known.size, known.dtype)
     rests = tokens.where(F.length("rest") > 0).select("doc_id", "doc_tokens", F.size("windows").alias("full"), "rest")
-    keyed = _keyed(rests, stats, known.dtype).withColumn("row", F.monotonically_increasing_id())
+    # stored, since a range sort reads its input twice
+    keyed = stored(_keyed(rests, stats, known.dtype), "packing").withColumn("row", F.monotonically_increasing_id())
     sorted_rests = keyed.repartitionByRange("first", "second", "row").sortWithinPartitions("first", "second", "row")
     packed = _packed(sorted_rests.select("doc_id", "doc_tokens", (F.col("full").cast("long") * size).alias("start"), "rest"),
                      stats, known.dtype, size, shard)
