@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from conftest import SF001, SF01
 from kestrel.llm import packing
 from kestrel.llm.queries import QUERIES
-from llm.edge import edge_frame, edge_rows, empty_frame
+from tests.llm.edge import edge_frame, edge_rows, empty_frame
 
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 

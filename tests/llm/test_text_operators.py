@@ -4,6 +4,7 @@ import hashlib
 import html as html_lib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -117,6 +118,60 @@ def test_page_blocks_without_article():
         assert pages.main_text(f"<body>{links}<div><table>{cells}</table></div></body>") == want
 
 
+LONG = "This is a paragraph of the article with a reasonable amount of words in it, to be read as content."
+TEASER = "<article><h3>Other story</h3><p>A teaser of another story that is told elsewhere on this site today.</p></article>"
+TALK = "<article><p>A reader says something about the article, in more words than expected, and again.</p></article>"
+
+
+@pytest.mark.parametrize("page,want", [
+    # the whole main part, the whole article
+    (f"<main><h1>Title of it</h1><article><p>{LONG}</p><p>{LONG}</p></article></main>", f"Title of it {LONG} {LONG}"),
+    (f"<main><p>Lead.</p><article><p>{LONG}</p></article></main>", f"Lead. {LONG}"),
+    (f"<main><article>{LONG}</article><article><h2>Two</h2><p>Brief news.</p></article><article>{LONG}</article></main>",
+     f"{LONG} Two Brief news. {LONG}"),
+    (f"<body><article>{LONG}</article><article><h2>Two</h2><p>Brief news.</p></article><article>{LONG}</article></body>",
+     f"{LONG} Two Brief news. {LONG}"),
+    (f"<article><p>{LONG}</p><article><p>Short note.</p></article><p>{LONG}</p></article>", f"{LONG} Short note. {LONG}"),
+    (f"<nav><a>m</a></nav><article><p>{LONG}</p><ul><li>one</li><li>two</li></ul><ol><li>three</li></ol></article>",
+     f"{LONG} one two three"),
+    (f"<main><section><article>{LONG}</article></section><section><article>{LONG}</article></section></main>",
+     f"{LONG} {LONG}"),
+    (f"<main><ul><li><article><p>{LONG}</p></article></li><li><article>Short.</article></li></ul></main>", f"{LONG} Short."),
+    (f"<main><article><header><h1>Head line</h1></header><p>{LONG}</p><footer>by me</footer></article></main>",
+     f"Head line {LONG}"),
+    # readers' comments and teasers by their place
+    (f"<main><article><p>{LONG}</p></article><div><h2>What others say</h2>{TALK}{TALK}</div></main>", LONG),
+    (f"<main><article><p>{LONG}</p></article><ol><li><p>{LONG}</p></li><li>{LONG}</li></ol></main>", LONG),
+    (f"<main><article><p>{LONG}</p><section><h2>Readers</h2>{TALK}{TALK}</section></article></main>", LONG),
+    (f"<main><article><p>{LONG}</p></article><section>{TEASER}</section></main>", LONG),
+    (f"<body><article><p>{LONG}</p></article><section>{TEASER}{TEASER}</section></body>", LONG),
+    (f"<div><p>{LONG}</p><p>{LONG}</p><p>Short.</p></div><section>{TEASER}</section>", f"{LONG} {LONG} Short."),
+    # by their names
+    (f"<main><article><p>{LONG}</p></article><div id='discussion'>{TALK}</div></main>", LONG),
+    (f"<main><article><p>{LONG}</p></article><ol class='commentlist'><li>{LONG}</li></ol></main>", LONG),
+    (f"<article><p>{LONG}</p><div class='adsbygoogle'>Buy</div><div class='alert-box'>Watch out</div>"
+     "<div class='paywall-message'>Pay</div><div class='relatedposts'>More</div></article>", LONG),
+    # an unclosed nav, a tag and a comment that the end cuts off
+    (f"<body><nav><a>m</a><article>{LONG}</article>", LONG),
+    (f"<body><nav><a>m</a><article>{LONG}</article></body></html>", LONG),
+    (f"<article><p>{LONG}</p>more <a href='x", f"{LONG} more"),
+    (f"<article><p>{LONG}</p><!-- {LONG}", LONG),
+    (f"<article><p>{LONG}</p><![foo[ x ]]>a<![CDATA[b>c", f"{LONG} ac"),
+])
+def test_page_article_is_whole(page, want):
+    assert pages.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50000 + "</b>" * 50000, "<b>" * 50000 + "<p>x</b>" * 50000, "<ul><li>" * 50000, "<table><tr><td>" * 30000,
+    "<div>" * 20000 + "<p>x" * 50000, "<div><article>x" * 20000, "<" * 200000, "<!--" * 50000, "<!-- >" * 50000,
+    "<a " * 50000, "<a b='" * 50000, "</" * 50000, "<![CDATA[" * 50000, "&" * 200000], ids=lambda p: p[:12])
+def test_page_time_is_linear(page):
+    began = time.process_time()
+    pages.main_text(page)
+    assert time.process_time() - began < 8  # a second or two; quadratic work takes minutes
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (1, None, None, "a"), (2, "u", "", None), (None, "u", "<p>x</p>", "b")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
