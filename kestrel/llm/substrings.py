@@ -3,8 +3,8 @@
 A window is ``WINDOW`` consecutive words of one document.  The first pass sketches window counts:
 each document counts the anchor of every window once, partition sketches are merged by Spark, and
 the merged counts never underestimate how many documents hold a window (see ``repeats``).  The
-second pass hashes the windows that the sketch estimates repeated to 128 bits and groups those
-exactly: the smallest doc_id of each group keeps its window, every later document loses it.  No
+second pass hashes the windows that the sketch estimates repeated to 128 bits (two rolling hashes over two
+independent hashes of each word) and groups those exactly: the smallest doc_id of each group keeps its window, every later document loses it.  No
 repeated window is lost by the filter, and false alarms fall out of the groups.
 
 Scale: only windows estimated repeated are shuffled, once.  Equal windows of one batch are settled
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,28 +32,56 @@ from kestrel.llm.words import words
 
 WINDOW = 50  # words
 GRAM = 20    # words of the grams that anchor a window
-PIECE = 1 << 21  # bytes of a text hashed at once
+PIECE = 1 << 18  # words hashed at once
+FOLDED = 8       # steps of eight bytes of a word that are folded together with all words
+SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)  # of the two hashes of a word, and what each step adds
+STEPS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash per word."""
+def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes per word.
+
+    A word is folded eight bytes at a time, each step mixing all bits, so no polynomial identity makes
+    two words collide in one hash, let alone in both.
+    """
+    none = np.zeros(0, np.uint64)
     if not text:
-        return np.zeros(0, np.uint64)
+        return none, none
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8)))
     if not len(edge):
-        return np.zeros(0, np.uint64)
+        return none, none
     starts, ends = edge[::2], edge[1::2]
-    out, at = [], 0
-    while at < len(starts):  # whole words, about PIECE bytes of them
-        upto = max(int(np.searchsorted(ends, starts[at] + PIECE)), at + 1)
-        base = starts[at]
-        part = Prefix(data[base:ends[upto - 1]].astype(np.uint64) + np.uint64(1), 0)
-        out.append(part.spans(starts[at:upto] - base, ends[at:upto] - base))
-        at = upto
-    return np.concatenate(out)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    first, second = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), PIECE):  # so many words at once
+        first[at:at + PIECE], second[at:at + PIECE] = _folded(padded, starts[at:at + PIECE], ends[at:at + PIECE])
+    return first, second
+
+
+def _folded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each range of ``data``, which has eight bytes more than the last end."""
+    sizes = ends - starts
+    hashes = [mixed(sizes.astype(np.uint64) ^ np.uint64(seed)) for seed in SEEDS]
+    open_, at = np.arange(len(starts)), starts
+    for _ in range(FOLDED):
+        left = ends[open_] - at
+        chunk = np.zeros(len(open_), np.uint64)
+        for k in range(8):
+            chunk |= np.where(left > k, data[np.minimum(at + k, len(data) - 1)], 0).astype(np.uint64) << np.uint64(8 * k)
+        for h, step in zip(hashes, STEPS):
+            h[open_] = mixed((h[open_] ^ mixed(chunk + np.uint64(step))) + np.uint64(step))
+        more = left > 8
+        open_, at = open_[more], at[more] + 8
+        if not len(open_):
+            break
+    for i, begin in zip(open_.tolist(), at.tolist()):  # the rest of very long words, one by one
+        rest = data[begin:ends[i]].tobytes()
+        for h in hashes:
+            h[i] = xxhash.xxh64_intdigest(rest, seed=int(h[i]))
+    return hashes[0], hashes[1]
 
 
 def window_anchors(hashes: np.ndarray, prefix: Prefix | None = None) -> np.ndarray:
@@ -65,7 +94,7 @@ def window_anchors(hashes: np.ndarray, prefix: Prefix | None = None) -> np.ndarr
 
 def document_anchors(texts: list[str]) -> np.ndarray:
     """The anchor keys of every text, once per text."""
-    found = [np.unique(window_anchors(word_hashes(t))) for t in texts]
+    found = [np.unique(window_anchors(word_hashes(t)[0])) for t in texts]
     return np.concatenate([np.zeros(0, np.uint64), *found])
 
 
@@ -89,13 +118,13 @@ def repeated_windows(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found: list[tuple[np.ndarray, ...]] = []
             for i, text in enumerate(batch.column(2).to_pylist()):
-                hashes = word_hashes(text)
+                hashes, others = word_hashes(text)
                 if len(hashes) < WINDOW:
                     continue
                 one = Prefix(hashes, 1)
                 at = np.flatnonzero(maybe_repeated(window_anchors(hashes, one), hot))
                 if len(at):
-                    found.append((one.runs(WINDOW)[at], Prefix(mixed(hashes), 2).runs(WINDOW)[at],
+                    found.append((one.runs(WINDOW)[at], Prefix(others, 2).runs(WINDOW)[at],
                                   np.full(len(at), i), at))
             if not found:
                 continue
@@ -139,8 +168,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     group = Window.partitionBy("h1", "h2")
     late = repeated_windows(docs, bitmap).withColumn("least", F.min(F.when(F.col("lost").isNull(), F.col("doc"))).over(
         group)).where("lost is not null or doc > least")
-    # bounded by the words of one document
-    return late.groupBy("doc", "key").agg(F.flatten(F.collect_list(F.coalesce("lost", F.array("pos")))).alias("pos")).select(
+    # bounded by the words of one document: copies of it lose the same, which the set keeps once
+    return late.groupBy("doc", "key").agg(F.flatten(F.collect_set(F.coalesce("lost", F.array("pos")))).alias("pos")).select(
         "doc", "key", F.array_sort(F.array_distinct("pos")).alias("pos")).select("doc", "key", *_merged(F.col("pos")))
 
 

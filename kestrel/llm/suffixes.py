@@ -327,9 +327,9 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     twice, often = repeated_cells(keyed, document_anchors, [2, HOT])
     ranges = covered_ranges(suspicious_segments(keyed, twice, often))
-    # bounded by the bytes of one document
-    ranges = ranges.groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                       F.flatten(F.collect_list("ends")).alias("ends"))
+    # bounded by the bytes of one document: equal rows have the same ranges, which the set keeps once
+    ranges = ranges.groupBy("key").agg(F.collect_set(F.struct("starts", "ends")).alias("ranges")).select(
+        "key", F.flatten("ranges.starts").alias("starts"), F.flatten("ranges.ends").alias("ends"))
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

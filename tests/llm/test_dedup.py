@@ -76,9 +76,10 @@ def planted(seed=3):
 
 def test_word_hashes_of_pieces(monkeypatch):
     text = " ".join(["a", "bb", "é" * 40, "日本", "x" * 300] * 30) + " "
-    whole = substrings.word_hashes(text).tolist()
+    whole = [h.tolist() for h in substrings.word_hashes(text)]
     monkeypatch.setattr(substrings, "PIECE", 64)
-    assert substrings.word_hashes(text).tolist() == whole and len(whole) == 150 and len(set(whole)) == 5
+    assert [h.tolist() for h in substrings.word_hashes(text)] == whole
+    assert all(len(h) == 150 and len(set(h)) == 5 for h in whole)
 
 
 def test_words_against_brute_force(spark):
@@ -135,3 +136,42 @@ def test_anchors_of_equal_windows_agree():
         assert i <= p < i + 9
         seen[tuple(data[i:i + 12].tolist())].add(p - i)
     assert all(len(v) == 1 for v in seen.values())
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word
+
+
+def test_words_that_collide_in_every_polynomial_hash(spark):
+    """A Thue-Morse word and its complement: equal modulo 2^64 under any odd base, yet two words."""
+    one = thue_morse(1024)
+    other = one.translate({97: 98, 98: 97})
+    same = " ".join(f"w{i}" for i in range(49))
+    docs = [(1, f"{one} {same}"), (2, f"{other} {same}"), (3, f"{same} {one}"), (4, f"{same} {one} end")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got_words(frame) == brute_words(docs)
+    assert {i: n for i, _, n, _ in got_words(frame)} == {1: 0, 2: 0, 3: 0, 4: 50}
+
+
+def test_word_hashes_do_not_depend_on_other_words():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abé") for _ in range(rng.choice([1, 3, 8, 9, 16, 63, 64, 65, 200]))) for _ in range(400)]
+    alone = [tuple(int(h[0]) for h in substrings.word_hashes(w)) for w in words]
+    first, second = substrings.word_hashes("\n ".join(words) + " ")
+    assert list(zip(first.tolist(), second.tolist())) == alone
+    assert len(set(first.tolist())) == len(set(second.tolist())) == len(set(words))
+    assert not set(first.tolist()) & set(second.tolist())
+
+
+def test_many_equal_rows(spark):
+    """Equal rows share one set of ranges, however many there are."""
+    text = " ".join(f"word{i}" for i in range(120))
+    rows = [(5, text)] * 3000 + [(1, text + " more"), (7, "x " + text)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    found = Counter((r.doc_id, r.n_removed) for r in substrings.dedup_substrings(frame).collect())
+    assert found == {(1, 0): 1, (5, 120): 3000, (7, 120): 1}
+    found = Counter((r.doc_id, r.n_bytes - r.n_removed) for r in suffixes.dedup_bytes(frame).collect())
+    assert found == {(1, 5): 1, (5, 0): 3000, (7, 2): 1}
