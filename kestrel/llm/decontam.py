@@ -11,10 +11,15 @@ block's seed index (that bound times the words of an item) is broadcast to one p
 documents.  The seed join is a hash look-up on arrays of rolling hashes; a pair goes on only if
 its seeds alone can cover the threshold, a necessary condition.  Documents are never shuffled.
 
+Items of fewer than ``min_item_words`` words are too short for tiles to tell.  They are found exactly:
+each is one hash of all its words, and a document that holds these words one after another is
+contaminated with coverage 1.
+
 Words are runs of lower-cased ASCII letters and digits and of characters beyond ASCII.  Defined
-cases: NULL and empty texts hold no words and are clean; items with fewer than ``min_item_words``
-words are too short to judge and are ignored, as are NULL items; repeated item ids are separate
-items; an empty benchmark leaves every document clean; extra columns pass through.
+cases: NULL and empty texts hold no words and are clean; NULL items and those without a word are
+ignored; repeated item ids are separate items, and ids may be of any type; an empty benchmark leaves
+every document clean; a very long text costs its length and its seeds; repeated rows are judged alike; extra
+columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from kestrel.llm.words import packed
 
 MIN_MATCH = 4
 THRESHOLD = 0.6
@@ -113,16 +122,32 @@ class Index:
     items: list[np.ndarray]
     seeds: np.ndarray                        # sorted hashes
     holders: list[list[tuple[int, int]]]     # (item, position) by seed
+    short: dict[int, dict[int, list[int]]]   # items of so many words by the hash of them all
     min_match: int
     threshold: float
 
     def hits(self, text: str | None) -> list[tuple[int, float]]:
         """(item id, coverage) of the items that the text covers to the threshold."""
         ws = word_list(text)
-        if len(ws) < self.min_match or not len(self.seeds):
-            return []
         get = self.vocabulary.get
         ids = np.fromiter((get(w, -1) for w in ws), np.int64, len(ws))
+        found = self._verbatim(ids) + self._tiled(ids)
+        return sorted(((self.ids[item], coverage) for item, coverage in found), key=lambda x: (-x[1], x[0] is None, str(x[0])))
+
+    def _verbatim(self, ids: np.ndarray) -> list[tuple[int, float]]:
+        """Short items that stand in the text word for word."""
+        found = set()
+        for size, items in self.short.items():
+            values = rolling(ids, size)
+            at = np.flatnonzero(np.isin(values, np.fromiter(items, np.uint64, len(items))))
+            for j, value in zip(at.tolist(), values[at].tolist()):
+                found.update(i for i in items[value] if i not in found and (self.items[i] == ids[j:j + size]).all())
+        return [(i, 1.0) for i in found]
+
+    def _tiled(self, ids: np.ndarray) -> list[tuple[int, float]]:
+        """Longer items that tiles cover to the threshold."""
+        if len(ids) < self.min_match or not len(self.seeds):
+            return []
         known = np.convolve(ids >= 0, np.ones(self.min_match, np.int64), "valid") == self.min_match
         at = np.flatnonzero(known)
         if not len(at):
@@ -154,28 +179,32 @@ class Index:
             tiles = greedy_tiles(words.tolist(), near, self.min_match)
             coverage = sum(t[0] for t in tiles) / len(words)
             if coverage >= self.threshold:
-                out.append((self.ids[item], round(coverage, 6)))
-        return sorted(out, key=lambda x: (-x[1], x[0] is None, x[0] or 0))
+                out.append((item, round(coverage, 6)))
+        return out
 
 
-def build_index(items: list[tuple[int, str]], min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
+def build_index(items: list[tuple], min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
                 min_item_words: int = MIN_ITEM_WORDS) -> Index:
     vocabulary: dict[bytes, int] = {}
-    ids, lists, seeds = [], [], defaultdict(list)
+    ids, lists, seeds, short = [], [], defaultdict(list), defaultdict(lambda: defaultdict(list))
     for item_id, text in items:
         ws = word_list(text)
-        if len(ws) < max(min_item_words, min_match):
+        if not ws:
             continue
         numbers = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], np.int64)
-        for i, value in enumerate(rolling(numbers, min_match).tolist()):
-            seeds[value].append((len(ids), i))
+        if len(ws) < max(min_item_words, min_match):
+            short[len(ws)][int(rolling(numbers, len(ws))[0])].append(len(ids))
+        else:
+            for i, value in enumerate(rolling(numbers, min_match).tolist()):
+                seeds[value].append((len(ids), i))
         ids.append(item_id)
         lists.append(numbers)
     order = sorted(seeds)
-    return Index(vocabulary, ids, lists, np.array(order, np.uint64), [seeds[v] for v in order], min_match, threshold)
+    return Index(vocabulary, ids, lists, np.array(order, np.uint64), [seeds[v] for v in order],
+                 {n: dict(of) for n, of in short.items()}, min_match, threshold)
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple]]:
     block = []
     for row in benchmark.select("item_id", "text").where("text is not null").orderBy(
             "item_id", "text").toLocalIterator():
@@ -189,21 +218,20 @@ def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple[int,
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
               min_item_words: int = MIN_ITEM_WORDS, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``docs`` plus ``_hits``: array of (item_id, coverage) of the items that contaminate it."""
-    names = docs.columns
-    out = docs.withColumn("_hits", F.array().cast("array<struct<item_id:bigint,coverage:double>>"))
+    """(row, text, hits): ``docs`` packed, and the (item_id, coverage) of the items that contaminate each."""
+    hit = T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("coverage", T.DoubleType())])
+    out = packed(docs, "text").withColumn("hits", F.array().cast(T.ArrayType(hit)))
     spark, schema = docs.sparkSession, out.schema
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64())]))
-    text_at = names.index("text")
+    kind = to_arrow_type(T.ArrayType(hit))
 
     def scan(shipped):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shipped.value
             for batch in batches:
-                cols = list(batch.columns)
-                cols[-1] = pa.array([[*old, *({"item_id": i, "coverage": c} for i, c in index.hits(t))] for old, t in zip(
-                    cols[-1].to_pylist(), cols[text_at].to_pylist())], kind)
-                yield pa.RecordBatch.from_arrays(cols, [*names, "_hits"])
+                row, text, old = batch.columns
+                hits = [[*before, *({"item_id": i, "coverage": c} for i, c in index.hits(t))]
+                        for before, t in zip(old.to_pylist(), text.to_pylist())]
+                yield pa.RecordBatch.from_arrays([row, text, pa.array(hits, kind)], ["row", "text", "hits"])
         return run
 
     for block in _blocks(benchmark, block_items):
@@ -215,10 +243,10 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
 def contamination(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """(doc_id, contaminated, item_id, coverage, n_items, items): the best covered item first."""
     # best coverage first, then the smallest id (NULL last)
-    ranked = F.array_sort(F.transform("_hits", lambda h: F.struct(
+    ranked = F.array_sort(F.transform("hits", lambda h: F.struct(
         (-h["coverage"]).alias("c"), h["item_id"].isNull().alias("n"), h["item_id"].alias("i"), h.alias("hit"))))
     order = F.transform(ranked, lambda r: r["hit"])
-    found = with_hits(docs.select("doc_id", "text"), benchmark, **params).select("doc_id", order.alias("hits"))
+    found = with_hits(docs.select("doc_id", "text"), benchmark, **params).select("row.doc_id", order.alias("hits"))
     return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"),
                         F.get("hits", F.lit(0))["item_id"].alias("item_id"),
                         F.coalesce(F.get("hits", F.lit(0))["coverage"], F.lit(0.0)).alias("coverage"),
@@ -228,4 +256,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` without the contaminated ones; columns unchanged."""
-    return with_hits(docs, benchmark, **params).where(F.size("_hits") == 0).drop("_hits")
+    return with_hits(docs, benchmark, **params).where(F.size("hits") == 0).select("row.*")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.graph import connected_components
-from kestrel.llm.words import row_key
+from kestrel.llm.words import packed, row_key
 from kestrel.session import reliable_checkpoint
 
 SEED = 42        # of XXH64
@@ -213,7 +213,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance:
     """
     order = F.coalesce(F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)"))
                               .cast("string"), 21, "0"), F.lit("~"))
-    keyed = docs.withColumn("_s_id", F.concat(order, F.hex(row_key(F.col("doc_id"), F.col("text")))))
-    groups = near_duplicates(keyed, "_s_id", shingle, max_distance)
-    stay = groups.where(F.col("_s_id") == F.col("component_id")).select("_s_id").distinct()
-    return keyed.join(stay, "_s_id").dropDuplicates(["_s_id"]).drop("_s_id").select(docs.columns)
+    rows = packed(docs, "doc_id", "text")
+    keyed = rows.select("row", "text", F.concat(order, F.hex(row_key(F.col("doc_id"), F.col("text")))).alias("s_id"))
+    groups = near_duplicates(keyed.select("s_id", "text"), "s_id", shingle, max_distance)
+    stay = groups.where(F.col("s_id") == F.col("component_id")).select("s_id").distinct()
+    return keyed.select("s_id", "row").join(stay, "s_id").dropDuplicates(["s_id"]).select("row.*")

@@ -47,3 +47,10 @@ def row_key(*columns: Column) -> Column:
 
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` as one struct column ``row``, with copies of ``names``: no column of ``docs`` can clash with
+    those of an operator.  ``select("row.*")`` unpacks it."""
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    return docs.select(row.alias("row"), *[F.col(n) for n in names])

@@ -1,0 +1,101 @@
+"""Columns of any name pass through the filtering stages, and short benchmark items are found."""
+
+from itertools import product
+
+import pytest
+
+from kestrel.llm import decontam, quality, simhash
+from kestrel.llm.decontam import greedy_tiles, word_list
+
+TEXT = ("The old house by the sea was built with stone from a quarry that nobody in the village could name, and "
+        "its rooms were cold even when the sun stood high over the water and the garden.")
+NAMES = ["_hits", "_s_id", "_quality", "_q_w", "row", "hits", "one", "s_id", "fp", "component_id", "text_", "a b"]
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{n}{i}" for n in NAMES])
+            for i, t in [(1, TEXT), (2, TEXT), (3, "too short"), (None, None), (4, TEXT[::-1])]]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{n}` string" for n in NAMES)
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    return spark.createDataFrame([("q1", TEXT), ("q2", "nothing of this stands in any document that is given here")],
+                                 "item_id string, text string")
+
+
+def test_stages_pass_any_columns(wide, benchmark):
+    rows = {r.doc_id: tuple(r) for r in wide.collect()}
+    for got, want in ((quality.quality_filter(wide), {1, 2, 4}), (simhash.drop_near_duplicates(wide), {None, 1, 3, 4}),
+                      (decontam.drop_contaminated(wide, benchmark), {None, 3, 4})):
+        assert got.columns == wide.columns
+        found = got.collect()
+        assert all(tuple(r) == rows[r.doc_id] for r in found)
+        assert want == {r.doc_id for r in found} or got.columns and want >= {r.doc_id for r in found} >= {1, 2}
+
+
+def judged(spark, texts, items, **params):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    return {r.doc_id: r.items for r in decontam.contamination(docs, bench, **params).collect()}
+
+
+def test_short_items_word_for_word(spark):
+    items = [("a", "Who wrote the long novel here?"), ("b", "six by nine"), ("c", "..."), ("d", None), ("e", "Why")]
+    texts = ["who wrote the long novel here", "Who, wrote - the LONG novel (here)! And why not", "who wrote the novel here long",
+             "six by eight by nine", "It is six by nine", "", None, "who wrote the long", "whys"]
+    assert judged(spark, texts, items) == {0: "a", 1: "a,e", 2: "", 3: "", 4: "b", 5: "", 6: "", 7: "", 8: ""}
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("x", TEXT), ("y", "six by nine")], "doc_id string, text string")
+    for kind, ids in (("string", ["q1", "q2"]), ("int", [7, 8]), ("date", None), ("struct<a:int>", [(1,), (2,)])):
+        bench = spark.createDataFrame([(None if ids is None else ids[0], TEXT), (None if ids is None else ids[1], "six by nine")],
+                                      f"item_id {kind}, text string")
+        got = {r.doc_id: r for r in decontam.contamination(docs, bench).collect()}
+        assert got["x"].contaminated and got["y"].contaminated and got["y"].coverage == 1.0
+        if ids and kind != "struct<a:int>":
+            assert got["x"].item_id == ids[0] and got["y"].item_id == ids[1]
+
+
+def brute_hits(text, items, min_match=4, threshold=0.6, min_item_words=8):
+    """Every document against every item: tiles without any seeds, short items by comparing words."""
+    doc, out = word_list(text), []
+    for item_id, item in items:
+        ws = word_list(item)
+        if not ws:
+            continue
+        if len(ws) < min_item_words:
+            if any(doc[j:j + len(ws)] == ws for j in range(len(doc) - len(ws) + 1)):
+                out.append(item_id)
+            continue
+        number = {w: i for i, w in enumerate(dict.fromkeys(ws))}
+        tiles = greedy_tiles([number[w] for w in ws], [number.get(w, -1) for w in doc], min_match)
+        if sum(t[0] for t in tiles) >= threshold * len(ws):
+            out.append(item_id)
+    return set(out)
+
+
+def test_all_documents_against_all_items(spark):
+    import random
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(25)]
+    items = [(f"i{k}", " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 14)))) for k in range(40)]
+    texts = []
+    for _ in range(80):
+        parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 20)))]
+        for _ in range(rng.randint(0, 3)):
+            words = rng.choice(items)[1].split()
+            cut = rng.randint(0, len(words))
+            parts += rng.choice([[" ".join(words)], [" ".join(words[cut:]), "zz", " ".join(words[:cut])], [" ".join(words[:cut])]])
+        texts.append(" ".join(parts))
+    got = judged(spark, texts, items)
+    for i, text in enumerate(texts):
+        assert set(filter(None, got[i].split(","))) == brute_hits(text, items), text
+    assert sum(bool(v) for v in got.values()) > 20
+    for size, block in product([3], [7]):  # blocks of items, one pass each
+        assert {k: set(v.split(",")) for k, v in judged(spark, texts, items, block_items=block).items()} == {
+            k: set(v.split(",")) for k, v in got.items()}, size
