@@ -36,14 +36,21 @@ def _distance(doc: str, ref: str, n: int) -> str:
     return f"sqrt(greatest({' + '.join(parts)}, 0))"
 
 
-def quality_sql(params: quality.QualityParams = quality.QualityParams()) -> str:
+def quality_sql(params: quality.QualityParams = quality.QualityParams(),
+                cuts: quality.LengthCuts = quality.LengthCuts()) -> str:
     n = params.window
     classes = [f"length(t) - length(regexp_replace(t, {_text('[' + c + ']')}, '', 'g'))"
                for c in quality.CLASSES.values()]
     classes += ["length(t) - word_chars", "strlen(t) - length(t)"]
     lists = "CASE lang " + " ".join(f"WHEN {_text(k)} THEN {_list(v)}" for k, v in quality.COMMON_WORDS.items()) + " END"
-    sums = ", ".join(f"sum(k[{i}])" for i in range(1, quality.N_CLASSES + 1))
-    common = ", ".join(f"sum(m[{i}])" for i in range(1, quality.N_COMMON + 1))
+    last = quality.N_CLASSES
+
+    def numbers(values) -> str:
+        return "NULL" if values is None else f"[{', '.join(map(str, values))}]"
+
+    total = [sum(c[i] for c, _ in quality.REFERENCES.values()) for i in range(last)]
+    refs = {**quality.REFERENCES, "": (total[:-3] + [0, 0, total[-3] + total[-1]], None)}
+    references = ", ".join(f"({_text(k)}, {numbers(c)}, {numbers(m)})" for k, (c, m) in refs.items())
     return f"""WITH {WORDS},
 win AS (SELECT doc_id, i, list_slice(w, i, i + {n - 1}) AS g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM w)),
@@ -56,18 +63,19 @@ b AS (SELECT w.doc_id, lang, t, w, len(w) AS n_words, length(regexp_replace(t, '
 h AS (SELECT *, [{', '.join(classes)}] AS k0, list_transform(own, lambda y: len(list_filter(w, lambda x: x = y))) AS m0 FROM b),
 c AS (SELECT *, list_append(k0, strlen(t) - list_sum(k0)) AS k, list_append(m0, n_words - list_sum(m0)) AS m,
       n_words < {params.min_base_words} OR 100 * n_repeat_words > {params.max_repeat_pct} * n_words AS base_failed FROM h),
-r AS (SELECT lang, [{sums}] AS rk, [{common}] AS rm FROM c
-      WHERE own IS NOT NULL AND n_words >= {params.min_words} GROUP BY lang),
-j AS (SELECT c.*, rk, rm FROM c LEFT JOIN r ON r.lang = c.lang),
-s AS (SELECT *, CASE WHEN n_words >= {params.min_words} AND rk IS NOT NULL
-        THEN {_distance('k', 'rk', quality.N_CLASSES)} END AS kd,
-      CASE WHEN n_words >= {params.min_common_words} AND rm IS NOT NULL
-        THEN {_distance('m', 'rm', quality.N_COMMON)} END AS md FROM j)
+r(ref, rk, rm) AS (VALUES {references}),
+o AS (SELECT *, CASE WHEN own IS NULL THEN '' ELSE lang END AS ref, CASE WHEN own IS NULL
+      THEN list_concat(k[1:{last - 3}], [0, 0, k[{last - 2}] + k[{last}]]) ELSE k END AS kk FROM c),
+j AS (SELECT o.*, rk, rm, n_words >= {params.min_base_words} AS judged, sqrt(greatest(n_words, 1)) AS root
+      FROM o JOIN r ON r.ref = o.ref),
+s AS (SELECT *, CASE WHEN judged THEN {_distance('kk', 'rk', last)} END AS kd,
+      CASE WHEN judged AND rm IS NOT NULL THEN {_distance('m', 'rm', quality.N_COMMON)} END AS md FROM j)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(k0[{list(quality.CLASSES).index('symbol') + 1}] AS BIGINT) AS n_symbols,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  base_failed, NOT base_failed AND NOT coalesce(kd > {params.max_class_distance}, false)
-    AND NOT coalesce(md > {params.max_word_distance}, false) AS kept FROM s"""
+  base_failed, NOT base_failed
+    AND NOT coalesce(kd > {cuts.class_spread} / root + CASE WHEN ref = '' THEN {cuts.other_base} ELSE {cuts.class_base} END, false)
+    AND NOT coalesce(md > {cuts.word_base} + {cuts.word_spread} / root, false) AS kept FROM s"""
 
 
 def license_sql() -> str:
