@@ -163,6 +163,12 @@ def owned(df: DataFrame, held: Held) -> DataFrame:
     return df
 
 
+def pass_on(result: DataFrame, df: DataFrame) -> DataFrame:
+    """``df``, made of ``result``, with what ``result`` owns."""
+    held = getattr(result, "_kestrel_held", None)
+    return owned(df, held) if held is not None else df
+
+
 def close_result(df: DataFrame) -> None:
     """Free what a query's result reads from, if it owns anything; it cannot be read any more."""
     held = getattr(df, "_kestrel_held", None)
