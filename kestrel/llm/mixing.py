@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.words import row_key, words
-from kestrel.session import reliable_checkpoint
+from kestrel.session import Held, owned
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -75,14 +75,15 @@ class Mix:
     slots: DataFrame      # (shard, skey, i, block, take): which block part fills each slot
     pieces: DataFrame     # (skey, block, begin, end, word, document columns): documents in blocks
     block: int
+    held: Held            # owns the tables that these read; the results hand it on
 
     def documents(self) -> DataFrame:
         """(doc_id, source, size, source_size, target, taken), one row per document."""
-        return document_counts(self)
+        return owned(document_counts(self), self.held)
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """(shard, source, i, block, text): the words of every slot, in order."""
-        return slot_texts(self, docs)
+        return owned(slot_texts(self, docs), self.held)
 
 
 def source_plan(rows: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS,
@@ -152,9 +153,10 @@ def _draws(sources: DataFrame, slots_per_shard: int, bins: int, seed: int) -> Da
 
 
 def slot_plan(sources: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS_PER_SHARD,
-              bins: int = BINS, seed: int = SEED) -> DataFrame:
+              bins: int = BINS, seed: int = SEED, held: Held | None = None) -> DataFrame:
     """(shard, skey, i, block, take): every output slot, the block it holds and how many words."""
-    drawn = reliable_checkpoint(_draws(sources, slots_per_shard, bins, seed))
+    held = held or Held(sources.sparkSession)
+    drawn = held.checkpoint(_draws(sources, slots_per_shard, bins, seed))
     earlier = Window.partitionBy("skey").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # one row per shard and source
     drawn = drawn.withColumn("first", F.coalesce(F.sum("drawn").over(earlier), F.lit(0)))
@@ -201,12 +203,13 @@ def _placed(rows: DataFrame, buckets: int, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS_PER_SHARD, buckets: int = BUCKETS,
         bins: int = BINS, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> Mix:
-    rows = reliable_checkpoint(docs.select(
+    held = Held(docs.sparkSession)
+    rows = held.checkpoint(docs.select(
         "doc_id", "source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("skey"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
         row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key")))
-    sources = reliable_checkpoint(source_plan(rows, block, weights, seed))
-    slots = slot_plan(sources, block, slots_per_shard, bins, seed)
+    sources = held.checkpoint(source_plan(rows, block, weights, seed))
+    slots = slot_plan(sources, block, slots_per_shard, bins, seed, held)
     placed = _placed(rows, buckets, seed)
     each = F.when(F.col("size") > 0, F.expr(f"sequence(at div {block}, (at + size - 1) div {block})"))
     pieces = placed.select("doc_id", "source", "skey", "size", "key", "bucket", "turn", "at",
@@ -215,7 +218,7 @@ def mix(docs: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS_PER_SH
         "begin": F.greatest(F.col("at") - F.col("block") * block, F.lit(0)),
         "end": F.least(F.col("at") + F.col("size") - F.col("block") * block, F.lit(block))})
     return Mix(sources, slots, pieces.withColumn("word", F.greatest(
-        F.col("block") * block - F.col("at"), F.lit(0))), block)
+        F.col("block") * block - F.col("at"), F.lit(0))), block, held)
 
 
 def document_counts(mixed: Mix) -> DataFrame:

@@ -41,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.order import PART_SHIFT, stored
+from kestrel.llm.order import PART_SHIFT
+from kestrel.session import Held, owned
 
 VOCABULARY = "byte_bpe_50k"
 SIZE = 2048
@@ -108,7 +109,7 @@ def distinct_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokenized(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str = VOCABULARY,
-              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+              doc_id: str = "doc_id", text: str = "text", held: Held | None = None) -> DataFrame:
     """Per document (doc_id, doc_tokens, windows, rest): the crc32 of each full sequence, and the ids after them.
 
     One more row per task, its other columns NULL, has ``seen``: how many of the task's rests hold each id.
@@ -148,7 +149,7 @@ def tokenized(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([None] * 4 + [counted], kinds)], names)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(encode, schema), "packing")
+    return (held or Held(docs.sparkSession)).store(rows.mapInArrow(encode, schema), "packing")
 
 
 class Statistics:
@@ -333,12 +334,14 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str = VO
          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents.
 
-    Full sequences of one document have even ids, packed ones odd ids.
+    Full sequences of one document have even ids, packed ones odd ids.  The result owns the tables that it
+    reads (``session.close_result`` deletes them).
     """
     if size < 1 or shard < 1:
         raise ValueError("size and shard must be positive")
     known = encoder(name)
-    tokens = tokenized(docs, size, end_id, name, doc_id, text)
+    held = Held(docs.sparkSession)
+    tokens = tokenized(docs, size, end_id, name, doc_id, text, held)
     whole = tokens.where(F.size("windows") > 0).select("doc_id", "doc_tokens", F.posexplode("windows").alias("k", "crc"))
     whole = whole.select("doc_id", (F.col("k").cast("long") * size).alias("start"), F.lit(size).cast("long").alias("length"),
                          F.col("crc").alias("ids_crc32"), "doc_tokens", (F.monotonically_increasing_id() * 2).alias("sequence_id"),
@@ -346,10 +349,11 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, name: str = VO
     stats = statistics(tokens, known.size, known.dtype)
     rests = tokens.where(F.length("rest") > 0).select("doc_id", "doc_tokens", F.size("windows").alias("full"), "rest")
     # stored, since a range sort reads its input twice
-    keyed = stored(_keyed(rests, stats, known.dtype), "packing").withColumn("row", F.monotonically_increasing_id())
+    keyed = held.store(_keyed(rests, stats, known.dtype), "packing").withColumn("row", F.monotonically_increasing_id())
     sorted_rests = keyed.repartitionByRange("first", "second", "row").sortWithinPartitions("first", "second", "row")
     packed = _packed(sorted_rests.select("doc_id", "doc_tokens", (F.col("full").cast("long") * size).alias("start"), "rest"),
                      stats, known.dtype, size, shard)
     window = F.shiftleft(F.spark_partition_id().cast("long"), PART_SHIFT) + F.col("window")
-    return whole.unionByName(packed.withColumn("window", window).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("window") * 2 + 1).alias("sequence_id"), "offset"))
+    return owned(whole.unionByName(packed.withColumn("window", window).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("window") * 2 + 1).alias("sequence_id"), "offset")),
+        held)

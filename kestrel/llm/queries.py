@@ -15,13 +15,14 @@ from kestrel.llm import (decontam, langid, licenses, mixing, packing, pages, pii
                          spelling, substrings, suffixes)
 from kestrel.llm.oracle import ORACLE_SQL  # noqa: F401
 from kestrel.llm.words import documents
+from kestrel.session import pass_on
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).documents().select(
-        "doc_id", "size", "source_size", "target", "taken", "source")
+    found = mixing.mix(documents(spark, sf_dir)).documents()
+    return pass_on(found, found.select("doc_id", "size", "source_size", "target", "taken", "source"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return pass_on(found, found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                                       "component_id"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

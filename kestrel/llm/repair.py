@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.order import dense_positions, sorted_ids
-from kestrel.session import release_checkpoint, reliable_checkpoint
+from kestrel.session import Held, owned
 
 BLOCK = 1024                 # rows of a block at most
 CHUNK = 1 << 14              # rows ranked at once within a task
@@ -84,7 +84,7 @@ def damaged(turns: DataFrame) -> DataFrame:
         "copy")
 
 
-def _ordered(turns: DataFrame) -> DataFrame:
+def _ordered(turns: DataFrame, held: Held) -> DataFrame:
     """Checkpointed rows (conv, turn, role, text, digest, pos): ``pos`` counts the rows in order."""
     role, text = _space(F.col("role")), _space(F.col("text"))
     rows = turns.select(F.col("conv_id").alias("conv"), "turn", F.when(role == "", " ").otherwise(role).alias("role"),
@@ -92,7 +92,7 @@ def _ordered(turns: DataFrame) -> DataFrame:
                         # parts equal rows, however many there are, over the partitions
                         F.monotonically_increasing_id().alias("tie"))
     order = [F.col(c).asc_nulls_first() for c in ("conv", "turn", "role", "digest", "tie")]
-    return sorted_ids(rows, *order, name="pos").drop("tie")
+    return sorted_ids(rows, *order, name="pos", held=held).drop("tie")
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -181,21 +181,21 @@ def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(matrices, pa.list_(pa.int64()))], ["start", "m"])
 
 
-def _doubled(chain: DataFrame, to: str, value: str, combine: str) -> DataFrame:
+def _doubled(chain: DataFrame, to: str, value: str, combine: str, held: Held) -> DataFrame:
     """``chain`` (start, ``to``, ``value``) with ``value`` combined along the pointers ``to`` to their end.
 
     ``combine`` is SQL over ``value`` (near) and ``far``.  Every round doubles the reach and is
     written to the checkpoint folder; the pointer of the result names the last block met.
     """
-    current = reliable_checkpoint(chain.select("start", F.col(to).alias("to"), F.col(to).alias("last"), value))
+    current = held.checkpoint(chain.select("start", F.col(to).alias("to"), F.col(to).alias("last"), value))
     while not current.where(F.col("to").isNotNull()).isEmpty():
         ahead = current.select(F.col("start").alias("to"), F.col("to").alias("further"), F.col("last").alias("end"),
                                F.col(value).alias("far"))
         step = current.join(ahead, "to", "left").select(
             "start", F.col("further").alias("to"), F.coalesce("end", "last").alias("last"),
             F.when(F.col("to").isNull(), F.col(value)).otherwise(F.expr(combine)).alias(value))
-        following = reliable_checkpoint(step)
-        release_checkpoint(current)
+        following = held.checkpoint(step)
+        held.release(current)
         current = following
     return current.select("start", "last", value)
 
@@ -205,11 +205,11 @@ MIN_PLUS = "transform(sequence(0, 15), e -> least({0}, {1}L))".format(
 COMPOSED = "transform(far, s -> state[s])"
 
 
-def _costs_after(linked: DataFrame) -> DataFrame:
+def _costs_after(linked: DataFrame, held: Held) -> DataFrame:
     """(start, after): costs from the block's end, by state, for blocks that another one follows."""
     chained = linked.where(F.col("next").isNotNull() | F.col("previous").isNotNull())
     matrices = chained.select("start", "initials", "faults").mapInArrow(_matrices, "start long, m array<long>")
-    whole = _doubled(chained.select("start", "next").join(matrices, "start"), "next", "m", MIN_PLUS)
+    whole = _doubled(chained.select("start", "next").join(matrices, "start"), "next", "m", MIN_PLUS, held)
     ended = "array(" + ", ".join(f"{c}L" for c in ENDED) + ")"
     vector = F.expr(f"transform(sequence(0, 3), i -> array_min(transform({ended}, (c, j) -> least(m[4 * i + j] + c, {FAR}L))))")
     return chained.where(F.col("next").isNotNull()).select("start", "next").join(
@@ -352,14 +352,14 @@ def _choices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 CHOICES = "start long, leaving array<int>, audits array<string>, costs array<long>"
 
 
-def _entries(linked: DataFrame, choices: DataFrame) -> DataFrame:
+def _entries(linked: DataFrame, choices: DataFrame, held: Held) -> DataFrame:
     """(start, head, entry) of every block: the conversation's first block, and the state at entry."""
     onward = linked.select("start", "previous").join(
         choices.select(F.col("start").alias("previous"), F.col("leaving").alias("state")), "previous").select(
         "start", "previous", "state")
     heads = linked.where(F.col("previous").isNull() & F.col("next").isNotNull()).select(
         "start", F.lit(None).cast("long").alias("previous"), F.array(F.lit(NOTHING)).alias("state"))
-    whole = _doubled(onward.unionByName(heads), "previous", "state", COMPOSED)
+    whole = _doubled(onward.unionByName(heads), "previous", "state", COMPOSED, held)
     return linked.select("start").join(whole, "start", "left").select(
         "start", F.coalesce("last", "start").alias("head"), F.coalesce(F.col("state")[0], F.lit(NOTHING)).alias("entry"))
 
@@ -415,11 +415,12 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Repair:
-    """What ``repair`` found; every frame is read from checkpointed tables."""
+    """What ``repair`` found; every frame is read from checkpointed tables until ``held`` is closed."""
 
     rows: DataFrame      # conv, turn, role, text, digest, pos
     marks: DataFrame     # conv, turn, pos, initial, fault
     blocks: DataFrame    # conv, start, initials, seam, head, entry, audit, cost
+    held: Held           # owns the tables that these read
 
     def edits(self) -> DataFrame:
         """One row per input row, ``EDITS``; ``head`` numbers the conversation, ``pos`` the row."""
@@ -471,27 +472,30 @@ class Repair:
 
 def repair(turns: DataFrame) -> Repair:
     """Cheapest edits of all conversations of (conv_id, turn, role, text)."""
-    rows = _ordered(turns)
-    rows = dense_positions(rows, "pos")
+    held = Held(turns.sparkSession)
+    rows = dense_positions(_ordered(turns, held), "pos")
     marks = _marked(rows)
-    linked = reliable_checkpoint(_linked(reliable_checkpoint(_blocks(marks))))
-    blocks = linked.join(_costs_after(linked), "start", "left").select(
+    cut = held.checkpoint(_blocks(marks))
+    linked = held.checkpoint(_linked(cut))
+    held.release(cut)
+    blocks = linked.join(_costs_after(linked, held), "start", "left").select(
         "start", "initials", "faults", "after", F.col("previous").isNull().alias("first"))
-    choices = reliable_checkpoint(blocks.mapInArrow(_choices, CHOICES))
-    chosen = linked.join(choices, "start").join(_entries(linked, choices), "start").select(
+    choices = held.checkpoint(blocks.mapInArrow(_choices, CHOICES))
+    chosen = linked.join(choices, "start").join(_entries(linked, choices, held), "start").select(
         "conv", "start", "initials", "seam", "head", "entry", F.get("audits", F.col("entry")).alias("audit"),
         F.get("costs", F.col("entry")).alias("cost"))
-    return Repair(rows, marks, chosen)
+    return Repair(rows, marks, chosen, held)
 
 
 def summaries(turns: DataFrame, original: DataFrame) -> DataFrame:
     """``Repair.summary`` of ``turns`` for every conv_id of ``original``; one without rows in ``turns``
     has zeros, an empty audit and the hash of the empty string."""
     known = original.select(F.col("conv_id").alias("id")).distinct()
-    found = repair(turns).summary()
+    repaired = repair(turns)
+    found = repaired.summary()
     joined = known.join(found, known["id"].eqNullSafe(found["conv_id"]), "left")
     zeros = [F.coalesce(c, F.lit(0).cast("long")).alias(c)
              for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     empty = hashlib.sha256().hexdigest()
-    return joined.select(F.col("id").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
-                         F.coalesce("repaired_sha256", F.lit(empty)).alias("repaired_sha256"))
+    return owned(joined.select(F.col("id").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                               F.coalesce("repaired_sha256", F.lit(empty)).alias("repaired_sha256")), repaired.held)

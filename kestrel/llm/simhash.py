@@ -7,7 +7,9 @@ Candidates come from the pigeonring principle.  The bits are cut into ``segments
 ring.  If two fingerprints differ in at most d bits, some segment starts a chain in which every
 prefix of l segments holds at most floor(l * d / segments) differing bits.  The leading segments
 whose budget is zero must be equal, which is an equi-key: every fingerprint is indexed once per
-starting segment under those leading bits.  The later budgets prune a pair before its full
+starting segment under those leading bits.  The next budget is one bit, so of the ``extra`` segments behind
+them at most one differs: the key goes on with all of them but one, once for each.  Keys of 16 segments have
+20 + 4 (extra - 1) bits in 16 * extra rows a fingerprint.  The later budgets prune a pair before its full
 Hamming distance is computed.  The principle loses no pair within the distance.
 
 Scale: copies share a fingerprint, so all later work runs on distinct fingerprints.  A key with
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.graph import connected_components
 from kestrel.llm.words import packed, row_key
-from kestrel.session import reliable_checkpoint
+from kestrel.session import Held, owned, pass_on
 
 SEED = 42        # of XXH64
 BITS = 64
@@ -41,6 +43,7 @@ SHINGLE = 3      # words
 MAX_DISTANCE = 3
 SEGMENTS = 16
 BLOCK = 1024
+EXTRA = 3        # segments that lengthen the key; one more for 16 times as many fingerprints
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -124,22 +127,35 @@ def _spanning_links(x: np.ndarray, part: np.ndarray, checks: list[tuple[int, int
     return out
 
 
+def extra_segments(segments: int, max_distance: int) -> int:
+    """How many segments after the equal ones may hold one differing bit in all."""
+    return (2 * segments - 1) // max_distance - (segments - 1) // max_distance
+
+
 def fingerprint_links(fps: DataFrame, segments: int = SEGMENTS, max_distance: int = MAX_DISTANCE,
-                      block: int = BLOCK) -> DataFrame:
+                      block: int = BLOCK, extra: int = EXTRA) -> DataFrame:
     """(a, b): links between distinct fingerprints whose components are those of all links.
 
-    ``fps``: one column ``fp`` of distinct signed fingerprints.
+    ``fps``: one column ``fp`` of distinct signed fingerprints.  ``extra`` of the segments behind the
+    equal ones lengthen the key: at most one of them differs, so a fingerprint is indexed once without each.
     """
     if BITS % segments or not 0 < max_distance < segments:
         raise ValueError("segments must divide 64 and exceed max_distance")
+    if extra == 1 or not 0 <= extra <= extra_segments(segments, max_distance):
+        raise ValueError(f"extra must be 0 or 2 to {extra_segments(segments, max_distance)} segments")
     width = BITS // segments
     lead, checks = ring_budgets(segments, max_distance)
-    turn = F.col("turn") * width
     spun = F.expr(f"shiftleft(fp, int(turn * {width})) | shiftrightunsigned(fp, int(64 - turn * {width}))")
     index = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("turn"))
     index = index.select("fp", "turn", spun.alias("x"))
-    # the starting segment and the leading bits, as one number
-    index = index.withColumn("k", F.expr(f"shiftrightunsigned(x, {BITS - lead}) * {segments} + turn"))
+    # the leading bits, those of the extra segments but one, that one and the starting segment, as one number
+    code = F.expr(f"shiftrightunsigned(x, {BITS - lead})")
+    index = index.withColumn("without", F.explode(F.sequence(F.lit(0), F.lit(max(extra, 1) - 1))))
+    for e in range(extra):
+        bits = F.expr(f"shiftrightunsigned(x, {BITS - lead - (e + 1) * width}) & {(1 << width) - 1}L")
+        code = code * (1 << width) + F.when(F.col("without") != e, bits).otherwise(0)
+    code = (code * max(extra, 1) + F.col("without")) * segments + F.col("turn")
+    index = index.select("fp", "turn", "x", code.alias("k"))
     hot = index.groupBy("k").count().where(F.col("count") > block).select(
         "k", F.ceil(F.col("count") / block).cast("int").alias("parts"))
     index = index.join(hot, "k", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -191,19 +207,26 @@ def fingerprint_links(fps: DataFrame, segments: int = SEGMENTS, max_distance: in
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", shingle: int = SHINGLE,
-                    max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
-    """(id_col, fp, component_id) per row: the smallest id that its fingerprint links reach."""
-    rows = reliable_checkpoint(fingerprints(docs, id_col, shingle))
-    fps = reliable_checkpoint(rows.groupBy("fp").agg(F.min("id").alias("first")))
-    roots = connected_components(fingerprint_links(fps.select("fp"), segments, max_distance, block))
+                    max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS, block: int = BLOCK,
+                    extra: int = EXTRA) -> DataFrame:
+    """(id_col, fp, component_id) per row: the smallest id that its fingerprint links reach.
+
+    The result owns the tables that it reads (``session.close_result`` deletes them).
+    """
+    held = Held(docs.sparkSession)
+    rows = held.checkpoint(fingerprints(docs, id_col, shingle))
+    fps = held.checkpoint(rows.groupBy("fp").agg(F.min("id").alias("first")))
+    roots = connected_components(fingerprint_links(fps.select("fp"), segments, max_distance, block, extra), held=held)
     member = fps.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first")
     least = member.groupBy("root").agg(F.min("first").alias("least"))
     merged = member.join(least, "root").select("fp", "least")
     # Written before the join with all rows: with a plain exchange on either side Spark can split
     # the rows of a fingerprint that very many copies share.
-    named = reliable_checkpoint(
+    named = held.checkpoint(
         fps.join(merged, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")))
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    held.release(fps)
+    held.release(roots)
+    return owned(rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id"), held)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -217,4 +240,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance:
     keyed = rows.select("row", "text", F.concat(order, F.hex(row_key(F.col("doc_id"), F.col("text")))).alias("s_id"))
     groups = near_duplicates(keyed.select("s_id", "text"), "s_id", shingle, max_distance)
     stay = groups.where(F.col("s_id") == F.col("component_id")).select("s_id").distinct()
-    return keyed.select("s_id", "row").join(stay, "s_id").dropDuplicates(["s_id"]).select("row.*")
+    return pass_on(groups, keyed.select("s_id", "row").join(stay, "s_id").dropDuplicates(["s_id"]).select("row.*"))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.order import PART_SHIFT, sorted_ids
 from kestrel.llm.words import whole
-from kestrel.session import release_checkpoint, reliable_checkpoint
+from kestrel.session import Held, owned
 
 RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -234,36 +234,40 @@ def _near(pairs: DataFrame) -> DataFrame:
     return each.groupBy("id").agg(F.sum("c").alias("n_near"), F.min("best").alias("best"))
 
 
-def _roots(forms: DataFrame) -> DataFrame:
+def _roots(forms: DataFrame, held: Held) -> DataFrame:
     """(id, root) by pointer doubling over (id, up).
 
     Each step of a chain at least doubles the count, so there are few rounds.
     """
-    current = reliable_checkpoint(forms.select("id", F.col("up").alias("root")))
+    current = held.checkpoint(forms.select("id", F.col("up").alias("root")))
     while True:
         above = current.select(F.col("id").alias("root"), F.col("root").alias("higher"))
-        moved = reliable_checkpoint(current.join(above, "root", "left").select(
+        moved = held.checkpoint(current.join(above, "root", "left").select(
             "id", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved")))
-        release_checkpoint(current)
-        current = moved.select("id", "root")
+        held.release(current)
+        current = moved
         if moved.where("moved").isEmpty():
-            return current
+            return current.select("id", "root")
 
 
 def variants(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
-    """(word, n, form, root, n_near, form_n) for each of the distinct words (word, n)."""
-    vocabulary = sorted_ids(counts.select("word", "n"), "word")
-    turned = sorted_ids(vocabulary.select("id", F.reverse("word").alias("turned")), "turned", name="place")
+    """(word, n, form, root, n_near, form_n) for each of the distinct words (word, n).
+
+    The result owns the tables that it reads (``session.close_result`` deletes them).
+    """
+    held = Held(counts.sparkSession)
+    vocabulary = sorted_ids(counts.select("word", "n"), "word", held=held)
+    turned = sorted_ids(vocabulary.select("id", F.reverse("word").alias("turned")), "turned", name="place", held=held)
     pairs = _pairs(vocabulary, number_trie(vocabulary, "id", "id", "word"), number_trie(turned, "id", "place", "turned"))
-    near = reliable_checkpoint(_near(pairs))
-    release_checkpoint(turned)
+    near = held.checkpoint(_near(pairs))
+    held.release(turned)
     known = vocabulary.join(near, "id", "left")
     enough = -F.col("best.k") >= F.col("n") * ratio
     known = known.select("id", "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
                          F.when(enough, F.col("best.id")).alias("up"))
     names = vocabulary.select(F.col("id").alias("up"), F.col("word").alias("form"), F.col("n").alias("form_n"))
-    roots = _roots(known.where(F.col("up").isNotNull()).select("id", "up"))
+    roots = _roots(known.where(F.col("up").isNotNull()).select("id", "up"), held)
     root_names = vocabulary.select(F.col("id").alias("root_id"), F.col("word").alias("root"))
-    return (known.join(names, "up", "left").join(roots.withColumnRenamed("root", "root_id"), "id", "left")
+    return owned(known.join(names, "up", "left").join(roots.withColumnRenamed("root", "root_id"), "id", "left")
             .join(root_names, "root_id", "left")
-            .select("word", "n", "form", F.coalesce("root", "word").alias("root"), "n_near", "form_n"))
+            .select("word", "n", "form", F.coalesce("root", "word").alias("root"), "n_near", "form_n"), held)

@@ -63,8 +63,8 @@ def test_links_of_dense_groups(spark):
     signed = np.array(values, np.uint64).view(np.int64).tolist()
     want = brute_components([(i, v) for i, v in enumerate(values)])
     fps = spark.createDataFrame([(v,) for v in signed], "fp long")
-    for segments, block in ((16, 8), (4, 1024), (8, 3)):
-        links = simhash.fingerprint_links(fps, segments=segments, block=block)
+    for segments, block, extra in ((16, 8, 0), (16, 1024, 2), (16, 8, 3), (16, 5, 5), (4, 1024, 0), (8, 3, 3)):
+        links = simhash.fingerprint_links(fps, segments=segments, block=block, extra=extra)
         roots = {r.node: r.root for r in graph.connected_components(links).collect()}
         groups = defaultdict(set)
         for i, v in enumerate(signed):
@@ -99,3 +99,35 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     roots = {r.node: r.root for r in graph.connected_components(links).collect()}
     assert {roots[i] for i in range(61)} == {roots[0]} and roots[100] == roots[101] != roots[0]
+
+
+def test_extra_segments_shorten_groups(spark):
+    """Longer keys: the same components from far fewer pairs."""
+    rnd = random.Random(8)
+    base = [rnd.getrandbits(64) for _ in range(1500)]
+    values = sorted({x ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for x in base} | set(base))
+    # a third share their first 24 bits, so keys of 20 bits hold them all
+    values = sorted({x & (2**40 - 1) if i % 3 == 0 else x for i, x in enumerate(values)})
+    fps = spark.createDataFrame([(v,) for v in np.array(values, np.uint64).view(np.int64).tolist()], "fp long")
+    found = [set(map(tuple, simhash.fingerprint_links(fps, extra=extra).collect())) for extra in (0, 5)]
+    linked = {frozenset((i, j)) for i, a in enumerate(values) for j, b in enumerate(values[:i]) if (a ^ b).bit_count() <= 3}
+    place = {v: i for i, v in enumerate(np.array(values, np.uint64).view(np.int64).tolist())}
+    for links in found:
+        assert {frozenset((place[a], place[b])) for a, b in links} <= linked
+    assert components(found[0], place) == components(found[1], place) == components(
+        [(a, b) for a, b in map(tuple, linked)], {i: i for i in range(len(values))})
+
+
+def components(links, place):
+    root = list(range(len(place)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((find(place[a]), find(place[b])))
+        root[y] = x
+    return [find(i) for i in range(len(place))]

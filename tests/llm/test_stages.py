@@ -1,11 +1,14 @@
 """Columns of any name pass through the filtering stages, and short benchmark items are found."""
 
-from itertools import product
+import os
+import random
 
 import pytest
 
-from kestrel.llm import decontam, quality, simhash
+from conftest import SF001
+from kestrel.llm import decontam, quality, queries, simhash
 from kestrel.llm.decontam import greedy_tiles, word_list
+from kestrel.session import close_result, ensure_checkpoint_dir
 
 TEXT = ("The old house by the sea was built with stone from a quarry that nobody in the village could name, and "
         "its rooms were cold even when the sun stood high over the water and the garden.")
@@ -28,12 +31,13 @@ def benchmark(spark):
 
 def test_stages_pass_any_columns(wide, benchmark):
     rows = {r.doc_id: tuple(r) for r in wide.collect()}
-    for got, want in ((quality.quality_filter(wide), {1, 2, 4}), (simhash.drop_near_duplicates(wide), {None, 1, 3, 4}),
+    kept = {r.doc_id for r in quality.quality(wide).collect() if r.kept}
+    assert 3 not in kept and None not in kept
+    for got, want in ((quality.quality_filter(wide), kept), (simhash.drop_near_duplicates(wide), {None, 1, 3, 4}),
                       (decontam.drop_contaminated(wide, benchmark), {None, 3, 4})):
         assert got.columns == wide.columns
-        found = got.collect()
-        assert all(tuple(r) == rows[r.doc_id] for r in found)
-        assert want == {r.doc_id for r in found} or got.columns and want >= {r.doc_id for r in found} >= {1, 2}
+        found = {r.doc_id: tuple(r) for r in got.collect()}
+        assert found == {i: rows[i] for i in want}
 
 
 def judged(spark, texts, items, **params):
@@ -79,8 +83,6 @@ def brute_hits(text, items, min_match=4, threshold=0.6, min_item_words=8):
 
 
 def test_all_documents_against_all_items(spark):
-    import random
-
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(25)]
     items = [(f"i{k}", " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 14)))) for k in range(40)]
@@ -96,6 +98,18 @@ def test_all_documents_against_all_items(spark):
     for i, text in enumerate(texts):
         assert set(filter(None, got[i].split(","))) == brute_hits(text, items), text
     assert sum(bool(v) for v in got.values()) > 20
-    for size, block in product([3], [7]):  # blocks of items, one pass each
-        assert {k: set(v.split(",")) for k, v in judged(spark, texts, items, block_items=block).items()} == {
-            k: set(v.split(",")) for k, v in got.items()}, size
+    blocks = judged(spark, texts, items, block_items=7)  # of items, one pass each
+    assert {k: set(v.split(",")) for k, v in blocks.items()} == {k: set(v.split(",")) for k, v in got.items()}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_queries_leave_no_files(spark, tmp_path, name):
+    before = ensure_checkpoint_dir(spark)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        result = queries.QUERIES[name](spark, SF001)
+        assert result.count() > 0
+        close_result(result)
+        assert [f for _, _, files in os.walk(tmp_path) for f in files] == []
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
