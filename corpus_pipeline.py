@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import decontam, mixing, pii, quality, simhash
-from kestrel.session import ensure_checkpoint_dir
+from kestrel.session import close_result, ensure_checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +61,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(f"{folder}/{name}")
+        close_result(kept)
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
 
