@@ -3,8 +3,8 @@
 The library of licence texts is indexed by its rarest words: each template posts the positions of
 its ``RARE`` highest-IDF words (IDF over the library).  A file looks up those of its words that
 the index holds; postings are intersected by relative position, so that words which agree on one
-start of a template vote for it.  A start with enough votes is kept if the template's mandatory
-key phrase stands there word by word.
+start of a template vote for it.  A start with enough votes is kept if one of the template's
+key phrases stands there word by word.
 
 Everything happens inside the row, on arrays of the file's rare words: no shuffle, and no table
 but the library, which is part of the plan.  Sorting replaces pairwise comparison, so a text that
@@ -32,27 +32,53 @@ BASE = [
     ("apache", "apache license", "apache license"),
     ("gpl", "general public license", "general public license"),
 ]
-# ... and of passages that identify further licences, or the same ones without their name.
+# ... and of passages that identify further licences, or the same ones without their name; of several
+# key phrases one is enough, so a changed word hides no licence.
 PASSAGES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files", "free of charge to any person obtaining a copy"),
+            "associated documentation files",
+     "free of charge to any person obtaining a copy", "this software and associated documentation files"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
-            "that the following conditions are met", "redistribution and use in source and binary forms"),
+            "that the following conditions are met",
+     "redistribution and use in source and binary forms", "permitted provided that the following conditions are met"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-            "hereby granted", "distribute this software for any purpose with or without fee"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
+            "hereby granted",
+     "distribute this software for any purpose with or without fee", "permission to use copy modify and or distribute"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license",
+     "mozilla public license", "this source code form is subject to the terms"),
     ("unlicense", "this is free and unencumbered software released into the public domain",
-     "free and unencumbered software"),
+     "free and unencumbered software", "software released into the public domain"),
     ("cc-by-nc", "licensed under cc by nc", "cc by nc"),
     ("cc-by-sa", "licensed under cc by sa", "cc by sa"),
     ("cc-by", "licensed under the creative commons attribution license", "creative commons attribution"),
+    ("cc0", "waived all copyright and related or neighboring rights to",
+     "waived all copyright and related", "related or neighboring rights to"),
     ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the "
-            "free software foundation", "as published by the free software foundation"),
+            "free software foundation",
+     "as published by the free software foundation", "under the terms of the gnu general public license"),
+    ("lgpl", "redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+             "by the free software foundation",
+     "gnu lesser general public license", "the terms of the gnu lesser", "lesser general public license as published"),
+    ("agpl", "redistribute it and or modify it under the terms of the gnu affero general public license as published "
+             "by the free software foundation",
+     "gnu affero general public license", "the terms of the gnu affero", "affero general public license as published"),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in "
-               "compliance with the license", "you may not use this file except in compliance with the license"),
+               "compliance with the license",
+     "you may not use this file except in compliance with the license", "licensed under the apache license version 2 0"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public "
+            "license", "eclipse public license", "this program and the accompanying materials are made available"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be "
+             "held liable for any damages arising from the use of this software",
+     "in no event will the authors be held liable", "as is without any express or implied warranty"),
+    ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software "
+            "and accompanying documentation covered by this license",
+     "any person or organization obtaining a copy", "accompanying documentation covered by this license"),
+    ("artistic", "state the conditions under which a package may be copied such that the copyright holder maintains "
+                 "some semblance of artistic control over the development of the package",
+     "some semblance of artistic control", "conditions under which a package may be copied"),
 ]
-RARE = 4   # words of a passage that are indexed
-VOTES = 3  # of them, that must agree on one start
+RARE = 6   # words of a passage that are indexed
+VOTES = 4  # of them, that must agree on one start
 
 # ASCII characters that separate words, listed one by one (see words.SPACE)
 SEPARATORS = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum() or chr(c).isupper()) + "]+"
@@ -63,26 +89,25 @@ P = "_c_"
 class Template:
     label: str
     words: tuple[str, ...]
-    key: tuple[str, ...]
-    key_at: int
+    keys: tuple[tuple[int, tuple[str, ...]], ...]  # (position, words) of the key phrases
     rare: tuple[tuple[str, int], ...]  # (word, position)
     votes: int
 
 
 def build_library(base=tuple(BASE), passages=tuple(PASSAGES), rare: int = RARE, votes: int = VOTES) -> list[Template]:
     """The templates with their indexed words; the first ``len(base)`` are the base phrases."""
-    texts = [t.split() for _, t, _ in (*base, *passages)]
+    texts = [t.split() for _, t, *_ in (*base, *passages)]
     holders = Counter(w for t in texts for w in set(t))
     idf = {w: math.log(len(texts) / n) for w, n in holders.items()}
     out = []
-    for i, (label, text, key) in enumerate((*base, *passages)):
-        ws, ks = text.split(), key.split()
+    for i, (label, text, *keys) in enumerate((*base, *passages)):
+        ws = text.split()
         once = [w for w in ws if ws.count(w) == 1]  # a word at one position votes for one start
         ranked = sorted(once, key=lambda w: (-idf[w], -len(w), w))
         picked = ranked[:1 if i < len(base) else rare]
-        at = next(j for j in range(len(ws)) if ws[j:j + len(ks)] == ks)
-        out.append(Template(label, tuple(ws), tuple(ks), at, tuple((w, ws.index(w)) for w in picked),
-                            min(len(picked), 1 if i < len(base) else votes)))
+        at = [next(j for j in range(len(ws)) if ws[j:j + len(k.split())] == k.split()) for k in keys]
+        out.append(Template(label, tuple(ws), tuple((j, tuple(k.split())) for j, k in zip(at, keys)),
+                            tuple((w, ws.index(w)) for w in picked), min(len(picked), 1 if i < len(base) else votes)))
     return out
 
 
@@ -141,13 +166,12 @@ def scan(docs: DataFrame, library: list[Template] | None = None, n_base: int = l
     counted = F.transform(first, lambda x: F.struct(
         x["p0"]["t"].alias("t"), x["p0"]["start"].alias("start"), votes(x).alias("votes")))
     need = F.array(*[F.lit(t.votes) for t in library])
-    keys = F.array(*[_literal_words(t.key) for t in library])
-    at = F.array(*[F.lit(t.key_at) for t in library])
+    keys = F.array(*[F.array(*[F.struct(F.lit(at).alias("at"), _literal_words(k).alias("words")) for at, k in t.keys])
+                     for t in library])
     enough = F.filter(counted, lambda c: c["votes"] >= F.element_at(need, c["t"] + 1))
-    # the mandatory phrase, word by word; both array columns were materialised above
-    sure = F.filter(enough, lambda c: (c["start"] + F.element_at(at, c["t"] + 1) >= 0) & (F.slice(
-        w, F.greatest(c["start"] + F.element_at(at, c["t"] + 1), F.lit(0)) + 1,
-        F.size(F.element_at(keys, c["t"] + 1))) == F.element_at(keys, c["t"] + 1)))
+    # a key phrase, word by word; both array columns were materialised above
+    sure = F.filter(enough, lambda c: F.exists(F.element_at(keys, c["t"] + 1), lambda k: (c["start"] + k["at"] >= 0) & (
+        F.slice(w, F.greatest(c["start"] + k["at"], F.lit(0)) + 1, F.size(k["words"])) == k["words"])))
     empty = F.array().cast("array<struct<t:int,start:int,votes:int>>")
     return rows.select("doc_id", "n_words", F.size(w).alias(P + "n"), F.when(
         F.size(p) > 0, sure).otherwise(empty).alias("matches"))

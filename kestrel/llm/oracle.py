@@ -81,18 +81,21 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 def license_sql() -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     posted = ", ".join(f"({t}, {_text(w)}, {at})" for t, tpl in enumerate(licenses.LIBRARY) for w, at in tpl.rare)
-    library = ", ".join(f"({t}, {_text(tpl.label)}, {tpl.votes}, {len(tpl.rare)}, {tpl.key_at}, {_list(tpl.key)})"
+    library = ", ".join(f"({t}, {_text(tpl.label)}, {tpl.votes}, {len(tpl.rare)})"
                         for t, tpl in enumerate(licenses.LIBRARY))
+    keys = ", ".join(f"({t}, {at}, {_list(key)})" for t, tpl in enumerate(licenses.LIBRARY) for at, key in tpl.keys)
     base = len(licenses.BASE)
     return f"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
     lambda x: x <> '') AS w FROM documents),
 p AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
 posted(t, word, pos) AS (VALUES {posted}),
-library(t, label, need, total, key_at, key) AS (VALUES {library}),
+library(t, label, need, total) AS (VALUES {library}),
+keys(t, key_at, key) AS (VALUES {keys}),
 places AS (SELECT doc_id, t, i - pos AS start, count(*) AS votes FROM p JOIN posted ON x = word GROUP BY ALL),
 sure AS (SELECT places.*, label, votes / total AS share FROM places JOIN library USING (t) JOIN d USING (doc_id)
-  WHERE votes >= need AND start + key_at >= 0 AND list_slice(w, start + key_at + 1, start + key_at + len(key)) = key)
+  WHERE votes >= need AND EXISTS (SELECT 1 FROM keys WHERE keys.t = places.t AND start + key_at >= 0
+    AND list_slice(w, start + key_at + 1, start + key_at + len(key)) = key))
 SELECT d.doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words, count(*) FILTER (t < {base}) AS n_base,
   CAST(min(start) FILTER (t < {base}) AS BIGINT) AS first_word,
   CAST(max(start) FILTER (t < {base}) AS BIGINT) AS last_word,

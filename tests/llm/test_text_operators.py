@@ -47,6 +47,47 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(empty_frame(spark)).count() == 0
 
 
+LICENSE_TEXTS = {
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+            "General Public License as published by the Free Software Foundation; version 2.1",
+    "agpl": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+            "by the Free Software Foundation, either version 3",
+    "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+            "held liable for any damages arising from the use of this software.",
+    "bsl": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+           "accompanying documentation covered by this license (the Software)",
+    "artistic": "The intent of this document is to state the conditions under which a Package may be copied, such that the "
+                "Copyright Holder maintains some semblance of artistic control over the development of the package",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met:",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+}
+
+
+def test_licenses_survive_a_changed_word(spark):
+    """Every word of a passage may be changed, one at a time; unrelated texts have no label."""
+    rows = []
+    for label, text in LICENSE_TEXTS.items():
+        ws = text.split()
+        rows += [(label, " ".join(["Some words before."] + ws + ["and after it."]))]
+        rows += [(label, " ".join([*ws[:i], "changed", *ws[i + 1:]])) for i in range(len(ws))]
+    frame = spark.createDataFrame([(i, t, l) for i, (l, t) in enumerate(rows)], "doc_id long, text string, want string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan_licenses(frame).collect()}
+    found = Counter(label for i, (label, _) in enumerate(rows) if label in got[i])
+    total = Counter(label for label, _ in rows)
+    assert all(LICENSE_TEXTS[label] and found[label] >= 0.9 * total[label] for label in total), (found, total)
+    for i, (label, text) in enumerate(rows):
+        assert got[i] - {""} <= {label, "gpl"}, (label, got[i], text)
+    words = sorted({w for _, t in rows for w in t.split()})
+    noise = [(i, " ".join(random.Random(i).choices(words, k=400))) for i in range(50)]
+    clean = licenses.scan_licenses(spark.createDataFrame(noise, "doc_id long, text string")).collect()
+    assert all(r.labels == "" for r in clean)
+
+
 # --- pages --------------------------------------------------------------------------------------
 
 PAGE = """<html><body class="home"><div id="header">Site name</div><ul class="menu"><li><a href=/a>A</a><li>B</ul>
