@@ -6,9 +6,9 @@ running Karp-Rabin with a shrinking search length, until none of ``min_match`` w
 tiles do not overlap and may lie in any order, so reordered passages count like copied ones.  A
 document is contaminated by an item if the tiles cover ``threshold`` of the item's words.
 
-The benchmark is the query set: it is read in blocks of at most ``block_items`` items, and each
-block's seed index (that bound times the words of an item) is broadcast to one pass over the
-documents.  The seed join is a hash look-up on arrays of rolling hashes; a pair goes on only if
+The benchmark is the query set: it is read in blocks of at most ``block_items`` items and
+``block_words`` words, and each block's seed index, bounded by these, is broadcast.  The documents are
+passed over once, whatever the number of blocks.  The seed join is a hash look-up on arrays of rolling hashes; a pair goes on only if
 its seeds alone can cover the threshold, a necessary condition.  Documents are never shuffled.
 
 Items of fewer than ``min_item_words`` words are too short for tiles to tell.  They are found exactly:
@@ -41,6 +41,7 @@ MIN_MATCH = 4
 THRESHOLD = 0.6
 MIN_ITEM_WORDS = 8
 BLOCK_ITEMS = 20000
+BLOCK_WORDS = 1 << 20  # of a block's items
 FIRST_LENGTH = 32   # of the search for tiles
 BASE = 0x9E3779B97F4A7C15  # of the rolling hash, modulo 2**64
 
@@ -204,40 +205,43 @@ def build_index(items: list[tuple], min_match: int = MIN_MATCH, threshold: float
                  {n: dict(of) for n, of in short.items()}, min_match, threshold)
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple]]:
-    block = []
+def _blocks(benchmark: DataFrame, block_items: int, block_words: int) -> Iterator[list[tuple]]:
+    """The items in order, in blocks of at most so many items and (but for the last item) words."""
+    block, words = [], 0
     for row in benchmark.select("item_id", "text").where("text is not null").orderBy(
             "item_id", "text").toLocalIterator():
         block.append((row["item_id"], row["text"]))
-        if len(block) == block_items:
+        words += len(word_list(row["text"]))
+        if len(block) == block_items or words >= block_words:
             yield block
-            block = []
+            block, words = [], 0
     if block:
         yield block
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
-              min_item_words: int = MIN_ITEM_WORDS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+              min_item_words: int = MIN_ITEM_WORDS, block_items: int = BLOCK_ITEMS,
+              block_words: int = BLOCK_WORDS) -> DataFrame:
     """(row, text, hits): ``docs`` packed, and the (item_id, coverage) of the items that contaminate each."""
     hit = T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("coverage", T.DoubleType())])
     out = packed(docs, "text").withColumn("hits", F.array().cast(T.ArrayType(hit)))
-    spark, schema = docs.sparkSession, out.schema
-    kind = to_arrow_type(T.ArrayType(hit))
-
-    def scan(shipped):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = shipped.value
-            for batch in batches:
-                row, text, old = batch.columns
-                hits = [[*before, *({"item_id": i, "coverage": c} for i, c in index.hits(t))]
-                        for before, t in zip(old.to_pylist(), text.to_pylist())]
-                yield pa.RecordBatch.from_arrays([row, text, pa.array(hits, kind)], ["row", "text", "hits"])
-        return run
-
-    for block in _blocks(benchmark, block_items):
-        index = build_index(block, min_match, threshold, min_item_words)
-        out = out.mapInArrow(scan(spark.sparkContext.broadcast(index)), schema)
-    return out
+    context, kind = docs.sparkSession.sparkContext, to_arrow_type(T.ArrayType(hit))
+    shipped = [context.broadcast(build_index(block, min_match, threshold, min_item_words))
+               for block in _blocks(benchmark, block_items, block_words)]
+    if not shipped:
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, text, _ = batch.columns
+            texts = text.to_pylist()
+            hits: list[list[dict]] = [[] for _ in texts]
+            for block in shipped:
+                for found, t in zip(hits, texts):
+                    found.extend({"item_id": i, "coverage": c} for i, c in block.value.hits(t))
+            yield pa.RecordBatch.from_arrays([row, text, pa.array(hits, kind)], ["row", "text", "hits"])
+
+    return out.mapInArrow(run, out.schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

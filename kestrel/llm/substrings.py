@@ -40,48 +40,56 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes per word.
+OF_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first bytes
 
-    A word is folded eight bytes at a time, each step mixing all bits, so no polynomial identity makes
-    two words collide in one hash, let alone in both.
+
+def word_hashes(text: str | None, count: int = 2) -> tuple[np.ndarray, ...]:
+    """The first ``count`` of two independent 64-bit hashes per word.
+
+    A word is folded eight bytes at a time, each of them mixed first, so no polynomial identity makes two
+    words collide in one hash, let alone in both.
     """
-    none = np.zeros(0, np.uint64)
+    none = (np.zeros(0, np.uint64),) * count
     if not text:
-        return none, none
+        return none
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8)))
     if not len(edge):
-        return none, none
+        return none
     starts, ends = edge[::2], edge[1::2]
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    first, second = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
-    for at in range(0, len(starts), PIECE):  # so many words at once
-        first[at:at + PIECE], second[at:at + PIECE] = _folded(padded, starts[at:at + PIECE], ends[at:at + PIECE])
-    return first, second
+    parts = [_folded(padded, starts[at:at + PIECE], ends[at:at + PIECE], count)  # so many words at once
+             for at in range(0, len(starts), PIECE)]
+    return tuple(np.concatenate(part) for part in zip(*parts))
 
 
-def _folded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each range of ``data``, which has eight bytes more than the last end."""
+def _folded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, count: int) -> list[np.ndarray]:
+    """``count`` hashes of each range of ``data``, which has eight bytes more than the last end."""
     sizes = ends - starts
-    hashes = [mixed(sizes.astype(np.uint64) ^ np.uint64(seed)) for seed in SEEDS]
-    open_, at = np.arange(len(starts)), starts
+    hashes = [(sizes.astype(np.uint64) + np.uint64(seed)) * np.uint64(seed) for seed in SEEDS[:count]]
+    # the eight bytes from every place on, as one number
+    eights = np.ndarray((len(data) - 7,), np.dtype("<u8"), data.data, strides=(1,))
+    open_, at = None, starts  # None: all words
     for _ in range(FOLDED):
-        left = ends[open_] - at
-        chunk = np.zeros(len(open_), np.uint64)
-        for k in range(8):
-            chunk |= np.where(left > k, data[np.minimum(at + k, len(data) - 1)], 0).astype(np.uint64) << np.uint64(8 * k)
+        left = (ends if open_ is None else ends[open_]) - at
+        chunk = mixed(eights[at] & OF_BYTES[np.minimum(left, 8)])
         for h, step in zip(hashes, STEPS):
-            h[open_] = mixed((h[open_] ^ mixed(chunk + np.uint64(step))) + np.uint64(step))
-        more = left > 8
-        open_, at = open_[more], at[more] + 8
+            if open_ is None:
+                h ^= chunk
+                h *= np.uint64(step)
+                h ^= h >> np.uint64(32)
+            else:
+                part = (h[open_] ^ chunk) * np.uint64(step)
+                h[open_] = part ^ (part >> np.uint64(32))
+        more = np.flatnonzero(left > 8)
+        open_, at = more if open_ is None else open_[more], at[more] + 8
         if not len(open_):
             break
     for i, begin in zip(open_.tolist(), at.tolist()):  # the rest of very long words, one by one
         rest = data[begin:ends[i]].tobytes()
         for h in hashes:
             h[i] = xxhash.xxh64_intdigest(rest, seed=int(h[i]))
-    return hashes[0], hashes[1]
+    return [mixed(h) for h in hashes]
 
 
 def window_anchors(hashes: np.ndarray, prefix: Prefix | None = None) -> np.ndarray:
@@ -94,7 +102,7 @@ def window_anchors(hashes: np.ndarray, prefix: Prefix | None = None) -> np.ndarr
 
 def document_anchors(texts: list[str]) -> np.ndarray:
     """The anchor keys of every text, once per text."""
-    found = [np.unique(window_anchors(word_hashes(t)[0])) for t in texts]
+    found = [np.unique(window_anchors(*word_hashes(t, 1))) for t in texts]
     return np.concatenate([np.zeros(0, np.uint64), *found])
 
 

@@ -113,3 +113,13 @@ def test_queries_leave_no_files(spark, tmp_path, name):
         assert [f for _, _, files in os.walk(tmp_path) for f in files] == []
     finally:
         spark.sparkContext.setCheckpointDir(before)
+
+
+def test_large_benchmark_is_one_pass(spark, wide):
+    """Blocks of bounded words, one Python stage over the documents."""
+    items = spark.range(3000).selectExpr("id AS item_id", "concat_ws(' ', transform(sequence(1, 20), i -> concat('w', id * 20 + i))) AS text")
+    found = decontam.with_hits(wide, items.unionByName(spark.createDataFrame([(-1, TEXT)], "item_id long, text string")),
+                               block_words=4000)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.row.doc_id for r in found.where("size(hits) > 0").collect()} == {1, 2}
+    assert len(list(decontam._blocks(items, 10 ** 6, 4000))) == 15
