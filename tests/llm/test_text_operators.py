@@ -356,3 +356,24 @@ def test_js_distance(spark):
 
     assert of([0.5, 0.5], [0.5, 0.5]) == pytest.approx(0) and of([1, 0], [0, 1]) == pytest.approx(1)
     assert of([0.75, 0.25], [0.25, 0.75]) == pytest.approx(0.43436, abs=1e-4)
+
+
+def test_quality_fit_has_one_vote_per_text(spark):
+    """Copies don't move a reference; its shares add up, and unused halves are told apart."""
+    from kestrel.llm import quality_fit
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    fitted = quality_fit.fit(docs, labels)
+    assert fitted["en"][2] > 50
+    for classes, common, _ in fitted.values():
+        assert abs(sum(classes) - 10 ** 6) < 20 and abs(sum(common) - 10 ** 6) < 20
+    good = labels.where("quality = 1").join(docs.where("lang = 'en'"), "doc_id").select(docs["*"]).limit(1)
+    copied = docs
+    for _ in range(3):
+        copied = copied.unionByName(good)
+    assert quality_fit.fit(copied, labels) == fitted
+    used, unused = quality_fit.halves(docs)
+    assert used.count() + unused.count() == docs.count()
+    counts = {r["quality"]: (r.n, r.kept) for r in quality_fit.judged(unused, labels, quality_fit.fit(used, labels)).collect()}
+    assert counts[1][1] >= 0.95 * counts[1][0]
