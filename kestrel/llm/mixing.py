@@ -137,9 +137,9 @@ def source_plan(rows: DataFrame, block: int = BLOCK, weights: tuple[int, ...] =
 
 def _draws(sources: DataFrame, slots_per_shard: int, bins: int, seed: int) -> DataFrame:
     """(shard, skey, drawn): the multinomial source counts of every shard."""
-    total = sources.groupBy().agg(F.max("all_slots").alias("n")).where("n > 0")
-    shards = total.select("n", F.explode(F.expr(f"sequence(0, (n - 1) div {slots_per_shard})")).alias("shard"))
-    shards = shards.repartition("shard")
+    n = sources.agg(F.max("all_slots")).first()[0] or 0  # one number of the checkpointed sources
+    shards = sources.sparkSession.range(0, -(-n // slots_per_shard)).select(
+        F.lit(n).cast("long").alias("n"), F.col("id").alias("shard")).repartition("shard")
     slots = shards.select("n", "shard", F.explode(F.expr(
         f"sequence(0, least({slots_per_shard}, n - shard * {slots_per_shard}) - 1)")).alias("slot"))
     slots = slots.withColumn("u", F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "shard", "slot"), F.col("n")))
