@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kestrel.llm import licenses, pages, pii, quality, queries
+from kestrel.session import close_result
 from tests.llm.edge import edge_frame, empty_frame
 
 SF001 = "/root/testdata/sf0.001"
@@ -377,3 +378,60 @@ def test_quality_fit_has_one_vote_per_text(spark):
     assert used.count() + unused.count() == docs.count()
     counts = {r["quality"]: (r.n, r.kept) for r in quality_fit.judged(unused, labels, quality_fit.fit(used, labels)).collect()}
     assert counts[1][1] >= 0.95 * counts[1][0]
+
+
+def invented(rng, n, digits=0.0):
+    """``n`` words with the common words, capitals and marks of the English reference; some words are digits."""
+    def word(w):
+        if not w:
+            w = "".join(rng.choices("0123456789" if rng.random() < digits else "bcdefghklmnoprstu", k=rng.randint(4, 7)))
+        w = w.capitalize() if rng.random() < 0.09 else w
+        return w + (rng.choice(".,") if rng.random() < 0.15 else "")
+
+    return " ".join(map(word, rng.choices([*quality.COMMON_WORDS["en"], ""], quality.REFERENCES["en"][1], k=n)))
+
+
+def test_quality_query_learns_from_the_whole_table(spark, tmp_path):
+    """The same rows are judged by what the other rows of their table are; copies and junk have no say."""
+    rng = random.Random(5)
+    probe, plain = invented(rng, 4000, 0.04), invented(rng, 4000)
+    junk = " ".join(f"x{i} | #{i * 7} & ZZ{i * i}" for i in range(60))
+    judged = [(-1, probe, "en"), (-2, junk, "en"), (-3, junk, "de"), (-4, None, "en"), (-5, plain, None)]
+    others = [(i, invented(rng, 300, 0.04), "en") for i in range(400)]
+    copies = [(1000 + i, others[0][1], "en") for i in range(400)]
+    noise = [(2000 + i, junk if i % 2 else f"{junk} {i}", "en") for i in range(400)]
+
+    def kept(name, rows):
+        folder = tmp_path / name
+        folder.mkdir()
+        spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+        found = queries.op7_quality_rules(spark, str(folder))
+        got = {r.doc_id: r.kept for r in found.collect()}
+        close_result(found)
+        assert len(got) == len(rows)
+        return [got[i] for i, _, _ in judged]
+
+    alone = [False, False, False, False, True]
+    assert kept("alone", judged) == alone
+    assert kept("copies", judged + copies) == alone
+    assert kept("others", judged + others) == [True, *alone[1:]]
+    assert kept("noise", judged + others + copies + noise) == [True, *alone[1:]]
+
+
+def test_quality_references_of_a_table(spark):
+    rng = random.Random(6)
+    rows = [(i, invented(rng, 80, 0.03), "en") for i in range(50)]
+
+    def of(table):
+        found = quality.language_references(spark.createDataFrame(table, "doc_id long, text string, lang string"))
+        got = {r["_q_ref_lang"]: (r["_q_ref_classes"], r["_q_ref_common"]) for r in found.collect()}
+        close_result(found)
+        return got
+
+    fixed = {r["_q_ref_lang"]: (r["_q_ref_classes"], r["_q_ref_common"]) for r in quality.fixed_references(spark).collect()}
+    none, some = of([(0, "too short", "en"), (1, None, None)]), of(rows)
+    assert none == fixed
+    assert {k for k in fixed if some[k] != fixed[k]} == {"en", ""}
+    digits = [1_000_000 * sum(c in "0123456789" for c in t) / len(t.encode()) for _, t, _ in rows]
+    assert some["en"][0][1] == pytest.approx((sum(digits) + 100 * fixed["en"][0][1]) / 150, abs=1)
+    assert of(rows + rows[:10] * 5) == some
