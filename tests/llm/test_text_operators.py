@@ -2,11 +2,13 @@
 
 import hashlib
 import html as html_lib
+import math
 import random
 import re
 import time
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -435,3 +437,51 @@ def test_quality_references_of_a_table(spark):
     digits = [1_000_000 * sum(c in "0123456789" for c in t) / len(t.encode()) for _, t, _ in rows]
     assert some["en"][0][1] == pytest.approx((sum(digits) + 100 * fixed["en"][0][1]) / 150, abs=1)
     assert of(rows + rows[:10] * 5) == some
+
+
+def brute_histograms(text, lang):
+    ws = re.findall("[^\x20\x09-\x0d]+", text)
+    k = [sum(text.count(c) for c in chars.replace("\\", "")) for chars in quality.CLASSES.values()]
+    k += [len(text) - sum(map(len, ws)), len(text.encode()) - len(text)]
+    m = [ws.count(x) for x in quality.COMMON_WORDS[lang]]
+    return [*k, len(text.encode()) - sum(k)], [*m, len(ws) - sum(m)]
+
+
+def brute_distance(counts, sums):
+    total = 0
+    for x, y in zip(counts, sums):
+        p, q = x / sum(counts), y / sum(sums)
+        total += sum(a * math.log2(2 * a / (p + q)) / 2 for a in (p, q) if a > 0)
+    return math.sqrt(max(total, 0))
+
+
+def test_quality_query_compares_with_the_sums_of_all_rows(spark, tmp_path):
+    """Copies, texts that the rules reject and junk all count in the sums that every row is compared with."""
+    rng, cuts = random.Random(7), quality.QualityParams()
+    plain = [(i, invented(rng, n), "en") for i, n in enumerate((60, 90, 200, 1000))] + [(9, invented(rng, 200), None)]
+    junk = " ".join(f"x{i} | #{i * 7} & ZZ{i * i}" for i in range(60))
+    other = [(100 + i, junk, ("de", "it")[i % 2]) for i in range(300)]
+    short = [(500 + i, " ".join(junk.split()[:49]), "en") for i in range(300)]
+    more = {"copies": [(100 + i, junk, "en") for i in range(300)],
+            "base_failed": [(100 + i, "ZZ9 | #7 & " * 60, "en") for i in range(300)],
+            "not in the sums": [(900, junk, "en"), (901, f"{junk} 1", "en"), *other, *short]}
+    for name, added in more.items():
+        folder, rows = tmp_path / name, plain + added
+        folder.mkdir()
+        spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+        found = queries.op7_quality_rules(spark, str(folder))
+        got = sorted(map(tuple, found.collect()))
+        close_result(found)
+        pool = [brute_histograms(t, "en") for _, t, lang in rows if lang == "en" and len(t.split()) >= 50]
+        classes, common = ([sum(x) for x in zip(*(h[j] for h in pool))] for j in (0, 1))
+        for i, text, _ in plain[:4]:
+            k, m = brute_histograms(text, "en")
+            far = brute_distance(k, classes) > cuts.max_class_distance or (
+                len(text.split()) >= 80 and brute_distance(m, common) > cuts.max_word_distance)
+            assert got[i][-1] is not far, (name, i)
+            assert far == (name in ("copies", "base_failed")), (name, i)
+        assert got[4][0] == 9 and got[4][-1] and not any(r[-1] for r in got[5:])
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+        assert sorted(con.execute(queries.ORACLE_SQL["op7_quality_rules"]).fetchall()) == got, name
+        con.close()
